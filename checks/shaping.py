@@ -34,7 +34,7 @@ def _stats(frame=""):
     pre = f"{frame}_" if frame else ""
     fns = {"min": "min", "max": "max", "mean": "avg"}
     return ", ".join(
-        f"round({fn}(value) filter (event_type = '{e}'{cond}), 4) as {pre}{e}_{s}" for e in TYPES for s, fn in fns.items())
+        f"round({fn}(value) filter (event_type = '{e}'{cond}), 8) as {pre}{e}_{s}" for e in TYPES for s, fn in fns.items())
 
 
 @check("vitals_first_day", "JON3 AGG2 DAT1", f"""
@@ -43,7 +43,7 @@ select user_id, {_stats()} from events join anchor using (user_id)
 where ts <= t0 + interval 1 day group by user_id""")
 def vitals_first_day(spark, d):
     seen = anchored(Tables(spark, d), 1)
-    return rounded(P.summarise(seen, ["user_id"], "event_type", "value", {e: [e] for e in TYPES}, ["min", "max", "mean"]))
+    return rounded(P.summarise(seen, ["user_id"], "event_type", "value", {e: [e] for e in TYPES}, ["min", "max", "mean"]), 8)
 
 
 @check("vitals_two_frames", "FLT4 AGG3 AGG5 CON3", f"""
@@ -51,10 +51,10 @@ with {ANCHOR}
 select user_id, {_stats("d1")}, {_stats("d7")} from events join anchor using (user_id)
 where ts <= t0 + interval 7 day group by user_id""")
 def vitals_two_frames(spark, d):
-    frames = {"d1": F.col("ts") <= S.shift("t0", days=1), "d7": F.lit(True)}
+    frames = {"d7": F.lit(True), "d1": F.col("ts") <= S.shift("t0", days=1)}
     seen = anchored(Tables(spark, d), 7)
     return rounded(P.summarise(seen, ["user_id"], "event_type", "value", {e: [e] for e in TYPES},
-                               ["min", "max", "mean"], frames))
+                               ["min", "max", "mean"], frames), 8)
 
 
 @check("label_sets", "AGG5 AGG4", """
@@ -120,12 +120,12 @@ def first_times(spark, d):
 
 @check("any_flag", "AGG9 AGG10", """
 select user_id, max(case when event_type = 'signup' then 1 else 0 end) as signed_up,
-  round(avg(value) filter (event_type = 'view'), 4) as view_mean from events group by user_id""")
+  round(avg(value) filter (event_type = 'view'), 8) as view_mean from events group by user_id""")
 def any_flag(spark, d):
     ev = Tables(spark, d).events
     flag = P.any_flag(ev, ["user_id"], F.col("event_type") == "signup", "signed_up")
     mean = P.summarise(ev, ["user_id"], "event_type", "value", {"view": ["view"]}, ["mean"])
-    return rounded(J.assemble(flag, [mean], "user_id"))
+    return rounded(J.assemble(flag, [mean], "user_id"), 8)
 
 
 @check("conditional_having", "AGG12", """
@@ -155,8 +155,8 @@ def asof_tolerance(spark, d):
     ev = Tables(spark, d).events
     bought = ev.where("event_type = 'purchase'").select("event_id", "user_id", "ts")
     seen = ev.where("event_type = 'view'").select("user_id", F.col("ts").alias("seen_at"), "value")
-    hit = O.asof_backward(bought, seen, ["user_id"], "ts", "seen_at", 2 * HOUR,
-                          {"value": "view_value", "seen_at": "view_ts"})
+    take = {"value": "view_value", "seen_at": "view_ts"}
+    hit = O.asof_backward(bought, ["user_id"], "ts", [O.Carried(seen, "seen_at", 2 * HOUR, take)])
     return hit.drop("ts")
 
 

@@ -57,6 +57,14 @@ def within(c, lo=None, hi=None, lo_closed: bool = True, hi_closed: bool = True)
     return reduce(lambda a, b: a & b, parts)
 
 
+def within_rule(c, rule: str = "") -> Column:
+    """Range predicate whose bounds are columns ``lo, hi, lo_closed, hi_closed`` of the row."""
+    c, lo, hi = _col(c), F.col(f"{rule}lo"), F.col(f"{rule}hi")
+    above = lo.isNull() | (c > lo) | (F.col(f"{rule}lo_closed") & (c == lo))
+    below = hi.isNull() | (c < hi) | (F.col(f"{rule}hi_closed") & (c == hi))
+    return c.isNotNull() & above & below
+
+
 def keep_within(c, lo=None, hi=None, lo_closed: bool = True, hi_closed: bool = True) -> Column:
     """The value inside its plausible range, else null."""
     return F.when(within(c, lo, hi, lo_closed, hi_closed), _col(c))
@@ -181,13 +189,17 @@ def pf_ratio(po2, fio2) -> Column:
 # --- time -----------------------------------------------------------------------------------
 def micros(ts) -> Column:
     """Microseconds since the epoch of a zone-free timestamp (session zone UTC)."""
-    epoch = F.expr("timestamp_ntz'1970-01-01 00:00:00'")
-    return F.timestamp_diff("MICROSECOND", epoch, _col(ts))
+    return F.unix_micros(_col(ts).cast("timestamp"))
+
+
+def seconds(ts) -> Column:
+    """Whole seconds since the epoch, rounded down."""
+    return _col(ts).cast("timestamp").cast("long")
 
 
 def elapsed(start, end, unit: str = "minutes") -> Column:
     per = {"seconds": 1e6, "minutes": 6e7, "hours": 3.6e9, "days": 8.64e10}[unit]
-    return F.timestamp_diff("MICROSECOND", _col(start), _col(end)) / per
+    return (micros(end) - micros(start)) / per
 
 
 def shift(ts, **parts) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalars import within
@@ -44,6 +44,35 @@ def filter_valid(df: DataFrame, item: str, value: str, rules: list[tuple]) -> Da
     return df.where(cond)
 
 
+def rule_table(spark: SparkSession, columns: list[str], rows: list[tuple]) -> DataFrame:
+    """A constant table written into the plan. Rules are fixed text, so broadcasting them is safe."""
+    def text(v):
+        return "null" if v is None else repr(v) if isinstance(v, str) else str(v).lower() if isinstance(v, bool) else str(v)
+
+    listed = ", ".join("(" + ", ".join(map(text, row)) + ")" for row in rows)
+    return F.broadcast(spark.sql(f"select * from values {listed} as r({', '.join(columns)})"))
+
+
+def with_rules(events: DataFrame, item: str, rules: dict, extra: list[str] | None = None) -> DataFrame:
+    """Events of the listed items with the rule of their item.
+
+    ``rules`` maps an item to ``(label, lo, hi, lo_closed, hi_closed, *extra)``. The item list also
+    goes into a filter, which the scan can use; the rule columns come from a map-side join.
+    """
+    columns = [item, "label", "lo", "hi", "lo_closed", "hi_closed", *(extra or [])]
+    rows = [(k, r[0], *[None if b is None else f"{float(b)}D" for b in r[1:3]], *r[3:]) for k, r in rules.items()]
+    rows = [tuple(_Raw(v) if isinstance(v, str) and i in (2, 3) else v for i, v in enumerate(r)) for r in rows]
+    table = rule_table(events.sparkSession, columns, rows)
+    return events.where(F.col(item).isin(*rules)).join(table, item)
+
+
+class _Raw(str):
+    """SQL text that is not quoted."""
+
+    def __repr__(self) -> str:
+        return str(self)
+
+
 def label_items(item: str, rules: dict[str, list]) -> Column:
     """Label of the item set an item belongs to, null outside all sets."""
     out = None

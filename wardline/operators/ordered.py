@@ -3,18 +3,21 @@
 A SQL window sorts a whole partition in one task, which fails when one key holds a large share
 of all rows. Here every group is cut into *cells* by a coarse, order-preserving function of the
 order key (an hour of time, a quantile range of a number). Each cell is summarised with partial
-aggregation, the summaries (one row per cell) are carried forward with a window over cells, and
-the detail rows only meet the other rows of their own cell. Results are exact: cells change
-where the work happens, not what it computes.
+aggregation, what later cells need from it is handed on as one row per cell, and the detail rows
+only meet the other rows of their own cell. Results are exact: cells change where the work
+happens, not what it computes.
 """
 
 from __future__ import annotations
 
+import math
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions.scalars import _col, micros
+from ..functions.scalars import _col, micros, seconds
 
 _CELL, _BASE, _TOTAL = "__cell", "__base", "__total"
 _BEFORE = (Window.unboundedPreceding, -1)
@@ -22,9 +25,9 @@ _UP_TO = (Window.unboundedPreceding, Window.currentRow)
 
 
 # --- cells ----------------------------------------------------------------------------------
-def time_cell(ts, seconds: int) -> Column:
-    """Cell number of a timestamp; missing times sort last."""
-    cell = F.floor(micros(ts) / F.lit(seconds * 1_000_000))
+def time_cell(ts, width: int) -> Column:
+    """Number of the ``width``-second cell of a timestamp; missing times sort last."""
+    cell = F.floor(seconds(ts) / F.lit(width))
     return F.coalesce(cell, F.lit(9_223_372_036_854_775_807))
 
 
@@ -111,31 +114,58 @@ def sequence(
 
 
 # --- carrying values forward -----------------------------------------------------------------
-def carry_forward(
-    df: DataFrame,
-    keys: list[str],
-    order: list[str],
-    value: Column,
-    cell: Column,
-    out: str,
-    include_current: bool = False,
+@dataclass(frozen=True)
+class Carried:
+    """Rows whose latest value is wanted: ``take`` maps their columns to output names."""
+
+    rows: DataFrame
+    ts: str
+    reach_seconds: int
+    take: dict[str, str]
+
+
+def _carry(rows: DataFrame, on: list[str], width: int, reach: int, order: list[str], value: str) -> DataFrame:
+    """The last ``value`` of each time cell, copied into the following cells its reach touches.
+
+    ``rows`` has the key columns, ``__cell``, the order columns and ``value``. At most one row per
+    cell is copied, so the copies stay few however dense a cell is.
+    """
+    ranked = F.struct(*order)
+    last = rows.groupBy(*on, "__cell").agg(F.max(ranked).alias("__o"), F.max_by(value, ranked).alias(value))
+    ahead = F.explode(F.sequence(F.lit(1), F.lit(math.ceil(reach / width))))
+    return last.withColumn("__step", ahead).select(
+        *on, (F.col("__cell") + F.col("__step")).alias("__cell"), *[F.col("__o")[c].alias(c) for c in order], value)
+
+
+def asof_backward(
+    left: DataFrame, on: list[str], left_ts: str, sides: list[Carried], width: int | None = None
 ) -> DataFrame:
-    """Latest non-null ``value`` seen before each row (or up to it) in ascending ``order``.
+    """Every left row with the latest row of each side at or before it, within that side's reach.
 
-    ``order`` names columns without nulls. Rows meet only their own cell; the latest value of
-    every earlier cell arrives as one carried row.
+    Left rows, side rows and the carried last rows of earlier cells are stacked, partitioned by key
+    and time cell, and read once in time order. Neither input is joined and no pair is formed that
+    the result does not contain; the left side is computed and shuffled once. A smaller ``width``
+    splits a dense key further. Side rows of equal time need distinct values to be told apart.
     """
-    celled = _with_cell(df, keys, cell).withColumn("__v", value)
-    rank_key = F.when(F.col("__v").isNotNull(), F.struct(*order))
-    latest = celled.groupBy(_CELL).agg(F.max_by("__v", rank_key).alias("__last"))
-    carried = F.last("__last", ignorenulls=True).over(_over_cells(keys).rowsBetween(*_BEFORE))
-    bases = latest.select(_CELL, carried.alias(_BASE))
-    frame = _UP_TO if include_current else _BEFORE
-    local = F.last("__v", ignorenulls=True).over(
-        Window.partitionBy(_CELL).orderBy(*order).rowsBetween(*frame)
-    )
-    joined = celled.join(bases, _CELL)
-    return joined.select(*df.columns, F.coalesce(local, F.col(_BASE)).alias(out))
+    width = width or max(s.reach_seconds for s in sides)
+    stacked = left.select(
+        *on, time_cell(left_ts, width).alias("__cell"), F.col(left_ts).alias("__ts"), F.lit(len(sides)).alias("__side"),
+        F.struct(*[F.col(c) for c in left.columns]).alias("__l"))
+    for i, side in enumerate(sides):
+        value = f"__r{i}"
+        rows = side.rows.where(F.col(side.ts).isNotNull()).select(
+            *on, time_cell(side.ts, width).alias("__cell"), F.col(side.ts).alias("__ts"), F.lit(i).alias("__side"),
+            F.struct(F.col(side.ts).alias("t"), *[F.col(c).alias(o) for c, o in side.take.items()]).alias(value))
+        copies = _carry(rows, on, width, side.reach_seconds, ["__ts", "__side"], value)
+        stacked = stacked.unionByName(rows, allowMissingColumns=True).unionByName(copies, allowMissingColumns=True)
+    window = Window.partitionBy(*on, "__cell").orderBy("__ts", "__side").rowsBetween(*_UP_TO)
+    hits = [F.last(f"__r{i}", ignorenulls=True).over(window).alias(f"__h{i}") for i in range(len(sides))]
+    found = stacked.select("__side", "__ts", "__l", *hits).where(F.col("__side") == len(sides))
+    outs = []
+    for i, side in enumerate(sides):
+        fresh = micros("__ts") - micros(f"__h{i}.t") <= side.reach_seconds * 1_000_000
+        outs += [F.when(fresh, F.col(f"__h{i}.{o}")).alias(o) for o in side.take.values()]
+    return found.select(*[F.col(f"__l.{c}").alias(c) for c in left.columns], *outs)
 
 
 def previous_within(
@@ -143,63 +173,27 @@ def previous_within(
     keys: list[str],
     ts: str,
     values: list[str],
-    seconds: int,
+    reach_seconds: int,
     tiebreak: list[str] | None = None,
-    cell_seconds: int = 3600,
+    width: int | None = None,
     closed: bool = False,
     prefix: str = "prev_",
 ) -> DataFrame:
-    """Values of the row just before, where it lies less than ``seconds`` back, else null."""
+    """Values of the row just before, where it lies less than ``reach_seconds`` back, else null."""
+    width = width or reach_seconds
+    order = [ts, *(tiebreak or [])]
     row = F.struct(F.col(ts).alias("t"), *[F.col(v).alias(f"v{i}") for i, v in enumerate(values)])
-    found = carry_forward(
-        df, keys, [ts, *(tiebreak or [])], row, time_cell(ts, cell_seconds), "__prev"
-    )
+    rows = df.select("*", time_cell(ts, width).alias("__cell"), row.alias("__v"), F.lit(True).alias("__own"))
+    copies = _carry(rows.where(F.col(ts).isNotNull()), keys, width, reach_seconds, order, "__v")
+    stacked = rows.unionByName(copies, allowMissingColumns=True)
+    window = Window.partitionBy(*keys, "__cell").orderBy(*order).rowsBetween(*_BEFORE)
+    found = stacked.select("*", F.last("__v", ignorenulls=True).over(window).alias("__prev")).where("__own")
     age = micros(ts) - micros("__prev.t")
-    fresh = age <= seconds * 1_000_000 if closed else age < seconds * 1_000_000
+    fresh = age <= reach_seconds * 1_000_000 if closed else age < reach_seconds * 1_000_000
     taken = [F.when(fresh, F.col(f"__prev.v{i}")).alias(prefix + v) for i, v in enumerate(values)]
     return found.select(*df.columns, *taken)
 
 
-def asof_backward(
-    left: DataFrame,
-    right: DataFrame,
-    on: list[str],
-    left_ts: str,
-    right_ts: str,
-    seconds: int,
-    take: dict[str, str],
-    cell_seconds: int = 3600,
-    right_tiebreak: list[str] | None = None,
-) -> DataFrame:
-    """Every left row with the latest right row at or before it, at most ``seconds`` older.
-
-    ``take`` maps right columns to output names; they are null without a match. Both sides are
-    stacked and the right row is carried forward, so no pair of rows is ever formed that the
-    result does not contain.
-    """
-    ties = right_tiebreak or []
-    lrow = F.struct(*[F.col(c) for c in left.columns])
-    rrow = F.struct(F.col(right_ts).alias("t"), *[F.col(c).alias(o) for c, o in take.items()])
-    lside = left.select(
-        *on, F.col(left_ts).alias("__ts"), F.lit(1).alias("__side"), lrow.alias("__l"),
-        *[F.lit(None).cast(right.schema[c].dataType).alias(f"__o{i}") for i, c in enumerate(ties)],
-    )
-    rside = right.where(F.col(right_ts).isNotNull()).select(
-        *on, F.col(right_ts).alias("__ts"), F.lit(0).alias("__side"), rrow.alias("__r"),
-        *[F.col(c).alias(f"__o{i}") for i, c in enumerate(ties)],
-    )
-    both = lside.unionByName(rside, allowMissingColumns=True)
-    order = ["__ts", "__side", *[f"__o{i}" for i in range(len(ties))]]
-    found = carry_forward(
-        both, on, order, F.col("__r"), time_cell("__ts", cell_seconds), "__hit", include_current=True
-    ).where(F.col("__side") == 1)
-    fresh = micros("__ts") - micros("__hit.t") <= seconds * 1_000_000
-    return found.select(
-        *[F.col("__l")[c].alias(c) for c in left.columns],
-        *[F.when(fresh, F.col("__hit")[o]).alias(o) for o in take.values()],
-    )
-
-
 # --- one row per key -------------------------------------------------------------------------
 def nulls_last(c) -> Column:
     c = _col(c)

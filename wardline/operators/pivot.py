@@ -1,20 +1,35 @@
-"""Long-to-wide reshaping and per-stay summaries."""
+"""Long-to-wide reshaping and per-stay summaries.
+
+Rows are combined per (key, label, time frame) first, on the map side, with a handful of plain
+aggregates; only those combined rows are spread into columns. A wide list of conditional
+aggregates would instead evaluate every column's condition for every event.
+"""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalars import within
+from ..functions.scalars import is_true, within
 
-STATS = {"min": F.min, "max": F.max, "mean": F.avg}
 
-
-def long_to_wide(df: DataFrame, keys: list[str], label: str, value: str, labels: list[str],
-                 prefix: str = "") -> DataFrame:
+def long_to_wide(df: DataFrame, keys: list[str], label: str, value: str, labels: list[str]) -> DataFrame:
     """One row per key with a column per label holding the largest value."""
-    aggs = [F.max(F.when(F.col(label) == x, F.col(value))).alias(prefix + x) for x in labels]
-    return df.groupBy(*keys).agg(*aggs)
+    return df.groupBy(*keys).pivot(label, labels).agg(F.max(value))
+
+
+def _level(frames: dict[str, Column]) -> Column:
+    """Index of the innermost frame a row lies in, null outside all frames."""
+    out = F.lit(None).cast("int")
+    for i, cond in reversed(list(enumerate(frames.values()))):
+        out = F.when(is_true(cond), F.lit(i)) if i == len(frames) - 1 else F.coalesce(out, F.when(is_true(cond), F.lit(i)))
+    return out
+
+
+def _pick(fn, cols: list[Column]) -> Column:
+    return cols[0] if len(cols) == 1 else fn(*cols)
 
 
 def summarise(
@@ -29,15 +44,34 @@ def summarise(
     """min/max/mean per label set, for several time frames in one pass.
 
     ``columns`` maps an output stem to the labels it pools (for instance both ways of measuring
-    blood pressure); ``frames`` maps a prefix to the row condition of that frame.
+    blood pressure). ``frames`` maps a prefix to the row condition of that frame; list the widest
+    first, each frame lying inside the one before.
     """
-    aggs = []
-    for frame, cond in (frames or {"": F.lit(True)}).items():
-        stem_prefix = f"{frame}_" if frame else ""
-        for stem, labels in columns.items():
-            v = F.when(cond & F.col(label).isin(*labels), F.col(value))
-            aggs += [STATS[s](v).alias(f"{stem_prefix}{stem}_{s}") for s in stats]
-    return df.groupBy(*keys).agg(*aggs)
+    frames = frames or {"": F.lit(True)}
+    labels = list(dict.fromkeys(x for xs in columns.values() for x in xs))
+    cell = F.concat(F.col(label), F.lit("__"), _level(frames).cast("string"))
+    cells = [f"{x}__{i}" for x in labels for i in range(len(frames))]
+    v = F.col(value)
+    aggs = [F.min(v).alias("lo"), F.max(v).alias("hi")]
+    if "mean" in stats:
+        aggs += [F.sum(v).alias("sum"), F.count(v).alias("n")]
+    wide = df.withColumn("__cell", cell).groupBy(*keys).pivot("__cell", cells).agg(*aggs)
+    outs = []
+    for i, frame in enumerate(frames):
+        for stem, pooled in columns.items():
+            at = [f"{x}__{j}" for x in pooled for j in range(i, len(frames))]
+
+            def part(kind, at=at):
+                return [F.col(f"{c}_{kind}") for c in at]
+
+            made = {"min": lambda: _pick(F.least, part("lo")), "max": lambda: _pick(F.greatest, part("hi")),
+                    "mean": lambda: _total(part("sum")) / F.nullif(_total(part("n")), F.lit(0))}
+            outs += [made[s]().alias(f"{frame}_{stem}_{s}" if frame else f"{stem}_{s}") for s in stats]
+    return wide.select(*keys, *outs)
+
+
+def _total(cols: list[Column]) -> Column:
+    return reduce(lambda a, b: a + b, [F.coalesce(c, F.lit(0)) for c in cols])
 
 
 def minmax(
@@ -47,18 +81,28 @@ def minmax(
     frames: dict[str, Column] | None = None,
     ranges: dict[str, tuple] | None = None,
 ) -> DataFrame:
-    """Smallest and largest value per wide column, optionally inside a range, per time frame."""
-    aggs = []
-    for frame, cond in (frames or {"": None}).items():
-        stem_prefix = f"{frame}_" if frame else ""
-        for stem, src in columns.items():
-            v = F.col(src) if isinstance(src, str) else src
-            if ranges and stem in ranges:
-                v = F.when(within(v, *ranges[stem]), v)
-            if cond is not None:
-                v = F.when(cond, v)
-            aggs += [F.min(v).alias(f"{stem_prefix}{stem}_min"), F.max(v).alias(f"{stem_prefix}{stem}_max")]
-    return df.groupBy(*keys).agg(*aggs)
+    """Smallest and largest value per wide column, optionally inside a range, per time frame.
+
+    ``frames`` are nested as in ``summarise``. Each frame level is aggregated once; the frames are
+    then put together from at most one row per key and level.
+    """
+    cols = {}
+    for stem, src in columns.items():
+        v = F.col(src) if isinstance(src, str) else src
+        cols[stem] = F.when(within(v, *ranges[stem]), v) if ranges and stem in ranges else v
+    if not frames:
+        ready = df.select(*keys, *[v.alias(stem) for stem, v in cols.items()])
+        return ready.groupBy(*keys).agg(*[fn(s).alias(f"{s}_{e}") for s in cols for e, fn in (("min", F.min), ("max", F.max))])
+    ready = df.select(*keys, _level(frames).alias("__lv"), *[v.alias(stem) for stem, v in cols.items()])
+    ends = [fn(s).alias(f"{s}_{e}") for s in cols for e, fn in (("min", F.min), ("max", F.max))]
+    levels = ready.groupBy(*keys, "__lv").agg(*ends)
+    outs = []
+    for i, frame in enumerate(frames):
+        inside = F.col("__lv") >= i
+        for s in cols:
+            outs += [fn(F.when(inside, F.col(f"{s}_{e}"))).alias(f"{frame}_{s}_{e}")
+                     for e, fn in (("min", F.min), ("max", F.max))]
+    return levels.groupBy(*keys).agg(*outs)
 
 
 def signed_sum(df: DataFrame, keys: list[str], value: str, negative: Column, out: str) -> DataFrame:

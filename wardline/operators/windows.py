@@ -16,7 +16,7 @@ def events_in_window(
     ts: str,
     lo: Column,
     hi: Column,
-    cell_seconds: int = 3600,
+    cell_seconds: int = 6 * 3600,
     lo_closed: bool = True,
     hi_closed: bool = True,
 ) -> DataFrame:

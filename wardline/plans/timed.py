@@ -39,14 +39,12 @@ def _frame(ts: str, name: str) -> Column:
 # --- vitals ---------------------------------------------------------------------------------
 def vitals(stays: DataFrame, chart: DataFrame) -> DataFrame:
     """min, max and mean per vital sign for the first day and first hour, from one scan."""
-    items = [i for rule in R.VITALS for i in rule[1]]
-    fahrenheit = R.VITALS[2][1]
-    value = F.when(F.col("itemid").isin(*fahrenheit), S.fahrenheit_to_celsius("valuenum"))
-    events = chart.where(F.col("itemid").isin(*items) & _not_error(chart)).select(
-        "icustay_id", "charttime",
-        J.label_valid("itemid", "valuenum", R.VITALS).alias("label"),
-        value.otherwise(F.col("valuenum")).alias("v"),
-    )
+    rules = {item: (label, lo, hi, lc, hc) for label, items, lo, hi, lc, hc in R.VITALS for item in items}
+    typed = J.with_rules(chart.where(_not_error(chart)).select("icustay_id", "charttime", "itemid", "valuenum"),
+                         "itemid", rules)
+    celsius = F.when(F.col("label") == "tempf", S.fahrenheit_to_celsius("valuenum")).otherwise(F.col("valuenum"))
+    events = typed.select("icustay_id", "charttime", F.when(S.within_rule("valuenum"), F.col("label")).alias("label"),
+                          celsius.alias("v"))
     seen = events_in_window(
         stays.select(*STAY, "intime"), events, ["icustay_id"], "charttime",
         S.shift("intime", hours=-2), S.shift("intime", days=1),
@@ -56,54 +54,44 @@ def vitals(stays: DataFrame, chart: DataFrame) -> DataFrame:
 
 
 # --- chemistry --------------------------------------------------------------------------------
-def _lab_value(literal_ranges: bool) -> tuple[Column, Column]:
-    label = J.label_items("itemid", {name: list(items) for name, items, _, _ in R.LABS})
-    value = None
-    for _, items, lo, hi in R.LABS:
+def _lab_draws(stays: DataFrame, lab: DataFrame, first_day_only: bool, literal_ranges: bool) -> DataFrame:
+    """Cleaned analyte values of each stay with their minute offset."""
+    rules = {}
+    for label, items, lo, hi in R.LABS:
         # read literally, a two-sided check asks for a value below and above the range at once
-        kept = F.col("valuenum") if literal_ranges and lo is not None else S.keep_within("valuenum", lo, hi)
-        cond = F.col("itemid").isin(*items)
-        value = F.when(cond, kept) if value is None else value.when(cond, kept)
-    return label, value
-
-
-def labs_wide(stays: DataFrame, lab: DataFrame, first_day_only: bool = False,
-              literal_ranges: bool = False) -> DataFrame:
-    """One row per stay and draw time with a column per analyte and the minute offset."""
-    items = [i for rule in R.LABS for i in rule[1]]
-    label, value = _lab_value(literal_ranges)
-    events = lab.where(F.col("itemid").isin(*items) & (F.col("valuenum") > 0)).select(
-        "hadm_id", "charttime", label.alias("label"), value.alias("v"))
+        open_ended = literal_ranges and lo is not None
+        rules.update({i: (label, None if open_ended else lo, None if open_ended else hi, True, True) for i in items})
+    rows = lab.where(F.col("valuenum") > 0).select("hadm_id", "charttime", "itemid", "valuenum")
+    events = J.with_rules(rows, "itemid", rules).select(
+        "hadm_id", "charttime", "label", F.when(S.within_rule("valuenum"), F.col("valuenum")).alias("v"))
     end = S.shift("outtime", hours=1)
     if first_day_only:
         end = F.least(end, S.shift("intime", days=1))
     seen = events_in_window(
         stays.select("hadm_id", "icustay_id", "intime", "outtime"), events, ["hadm_id"], "charttime",
-        S.shift("intime", hours=-1), end, cell_seconds=DAY,
-    ).withColumn("laboffset", S.elapsed("intime", "charttime", "minutes"))
-    return P.long_to_wide(seen, ["icustay_id", "laboffset"], "label", "v", [r[0] for r in R.LABS])
+        S.shift("intime", hours=-1), end, cell_seconds=DAY)
+    return seen.select("icustay_id", "label", "v", S.elapsed("intime", "charttime", "minutes").alias("laboffset"))
+
+
+def labs_wide(stays: DataFrame, lab: DataFrame, literal_ranges: bool = False) -> DataFrame:
+    """One row per stay and draw time with a column per analyte and the minute offset."""
+    draws = _lab_draws(stays, lab, False, literal_ranges)
+    return P.long_to_wide(draws, ["icustay_id", "laboffset"], "label", "v", [r[0] for r in R.LABS])
 
 
 def labs(stays: DataFrame, lab: DataFrame, literal_ranges: bool = False) -> DataFrame:
-    """min and max per analyte for the first day and first hour (from one hour before admission)."""
-    wide = labs_wide(stays, lab, first_day_only=True, literal_ranges=literal_ranges)
+    """min and max per analyte for the first day and first hour (from one hour before admission).
+
+    Simultaneous values of one analyte count as their largest.
+    """
+    draws = _lab_draws(stays, lab, True, literal_ranges)
+    once = draws.groupBy("icustay_id", "laboffset", "label").agg(F.max("v").alias("v"))
     frames = {"d1": S.within("laboffset", -60, 1440), "h1": S.within("laboffset", -60, 60)}
-    return P.minmax(wide, ["icustay_id"], {r[0]: r[0] for r in R.LABS}, frames)
+    stems = {r[0]: [r[0]] for r in R.LABS}
+    return P.summarise(once, ["icustay_id"], "label", "v", stems, ["min", "max"], frames)
 
 
 # --- blood gas ----------------------------------------------------------------------------------
-def _gas_value() -> tuple[Column, Column]:
-    v = F.when(F.col("valuenum") > 0, F.col("valuenum"))
-    label = J.label_items("itemid", {name: [item] for name, item, _, _ in R.GASES})
-    value = None
-    for name, item, lo, hi in R.GASES:
-        kept = v if lo is None and hi is None else S.keep_within(v, lo, hi)
-        kept = S.percent_to_fraction(kept) if name == "fio2" else kept / 100.0 if name == "hematocrit" else kept
-        cond = F.col("itemid") == item
-        value = F.when(cond, kept) if value is None else value.when(cond, kept)
-    return label, value
-
-
 def _fio2_chart() -> Column:
     v, item = F.col("valuenum"), F.col("itemid")
     percent = F.when(S.within(v, 20, 100, False, True), v / 100.0)
@@ -124,11 +112,15 @@ def blood_gas(stays: DataFrame, lab: DataFrame, chart: DataFrame, first_day_only
     end = S.shift("outtime", days=1)
     if first_day_only:
         end = F.least(end, S.shift("intime", days=1))
-    items = [R.GAS_SPECIMEN_ITEM, *R.GAS_OTHER_ITEMS, *[r[1] for r in R.GASES]]
-    label, value = _gas_value()
-    draws = lab.where(F.col("itemid").isin(*items)).select(
-        "subject_id", "charttime", label.alias("label"), value.alias("v"),
-        F.when(F.col("itemid") == R.GAS_SPECIMEN_ITEM, F.col("value")).alias("sp"))
+    rules = {item: (name, lo, hi, True, True) for name, item, lo, hi in R.GASES}
+    rules[R.GAS_SPECIMEN_ITEM] = ("specimen", None, None, True, True)
+    rules.update({item: (None, None, None, True, True) for item in R.GAS_OTHER_ITEMS})
+    rows = J.with_rules(lab.select("subject_id", "charttime", "itemid", "valuenum", "value"), "itemid", rules)
+    valid = F.when((F.col("valuenum") > 0) & S.within_rule("valuenum"), F.col("valuenum"))
+    scaled = (F.when(F.col("label") == "fio2", S.percent_to_fraction(valid))
+              .when(F.col("label") == "hematocrit", valid / 100.0).otherwise(valid))
+    draws = rows.select("subject_id", "charttime", "label", scaled.alias("v"),
+                        F.when(F.col("label") == "specimen", F.col("value")).alias("sp"))
     seen = events_in_window(stay, draws, ["subject_id"], "charttime", S.shift("intime", hours=-1), end, DAY)
     aggs = [F.max(F.when(F.col("label") == n, F.col("v"))).alias(n) for n, *_ in R.GASES]
     gas = (
@@ -138,18 +130,20 @@ def blood_gas(stays: DataFrame, lab: DataFrame, chart: DataFrame, first_day_only
     )
     near = stay.select("icustay_id", "intime", "outtime")
     start = S.shift("intime", hours=-5)
-    spo2_rows = chart.where(F.col("itemid").isin(*R.SPO2_ITEMS)).select(
-        "icustay_id", "charttime", S.keep_within("valuenum", 0, 100, False, True).alias("v"))
-    spo2 = events_in_window(near, spo2_rows, ["icustay_id"], "charttime", start, end, DAY).groupBy(
-        "icustay_id", F.col("charttime").alias("t")).agg(F.max("v").alias("spo2"))
+
+    def charted(rows: DataFrame, value: Column, name: str) -> DataFrame:
+        read = rows.select("icustay_id", "charttime", value.alias("v"))
+        inside = events_in_window(near, read, ["icustay_id"], "charttime", start, end, DAY)
+        return inside.groupBy("icustay_id", F.col("charttime").alias("t")).agg(F.max("v").alias(name))
+
+    spo2 = charted(chart.where(F.col("itemid").isin(*R.SPO2_ITEMS)),
+                   S.keep_within("valuenum", 0, 100, False, True), "spo2")
     fio2_items = [*R.FIO2_MIXED_ITEMS, *R.FIO2_PERCENT_ITEMS, *R.FIO2_FRACTION_ITEMS]
-    fio2_rows = chart.where(F.col("itemid").isin(*fio2_items) & _not_error(chart)).select(
-        "icustay_id", "charttime", _fio2_chart().alias("v"))
-    fio2 = events_in_window(near, fio2_rows, ["icustay_id"], "charttime", start, end, DAY).groupBy(
-        "icustay_id", F.col("charttime").alias("t")).agg(F.max("v").alias("fio2_chart"))
-    gas = O.asof_backward(gas, spo2, ["icustay_id"], "charttime", "t", R.SPO2_REACH_SECONDS, {"spo2": "spo2"})
-    gas = O.asof_backward(gas, fio2, ["icustay_id"], "charttime", "t", R.FIO2_REACH_SECONDS,
-                          {"fio2_chart": "fio2_chart"})
+    fio2 = charted(chart.where(F.col("itemid").isin(*fio2_items) & _not_error(chart)), _fio2_chart(), "fio2_chart")
+    gas = O.asof_backward(gas, ["icustay_id"], "charttime", [
+        O.Carried(spo2, "t", R.SPO2_REACH_SECONDS, {"spo2": "spo2"}),
+        O.Carried(fio2, "t", R.FIO2_REACH_SECONDS, {"fio2_chart": "fio2_chart"}),
+    ])
     z = F.lit(R.SPECIMEN_INTERCEPT) + R.SPECIMEN_PO2 * F.col("po2") + S.imputed_terms(R.SPECIMEN_TERMS)
     gas = gas.withColumn("specimen_prob", S.logistic(z)).withColumn("fio2", F.coalesce("fio2", "fio2_chart"))
     guess = F.when(F.col("specimen_prob") > R.ARTERIAL_CUTOFF, F.lit(R.ARTERIAL))
