@@ -227,7 +227,7 @@ SEG = {"icu_stay_type": "case caretype when 1 then 'ICU' when 2 then 'HDU' end",
        "smoking_status": "case smokingstatus when 1 then 'Current Smoker' when 2 then 'Ex-Smoker' when 3 then 'Never Smoked' when 4 then 'Unknown' end",
        "hospital_death": "case died_hosp when 1 then 1 when 2 then 0 end", "elective_surgery": "case elect when 1 then 1 when 2 then 0 end",
        "bmi": "round(weight / (height / 100 * height / 100), 6)", "hospital_los_days": "round(hosp_hrs / 24.0, 6)",
-       "d1_creatinine_min": "round(creatlo / 88.42, 6)", "d1_hematocrit_min": "round(hctlo * 100.0, 6)", "d1_heartrate_min": "hrlo",
+       "d1_creatinine_min": "round(creatlo / 88.42, 6)", "d1_hematocrit_min": "round(hctlo * 100.0, 6)", "d1_heartrate_min": "cast(hrlo as double)",
        "immunosuppression": "cast(immundis = 2 as integer)", "apache_3j_diagnosis": "coalesce(ap3_subcode, ap3diag)",
        "apsiii": "cast(" + " + ".join(flat.SUB_SCORES) + " as double)", "teaching_hospital": "cast(cast(cicmlevel = '3/PICU' as integer) as varchar)",
        "icu_admit_source": "case icu_srce when 1 then 'Operating Room / Recovery' when 2 then 'Accident & Emergency' when 3 then 'Floor' when 4 then 'Other ICU' when 5 then 'Other Hospital' when 6 then 'Other ICU' end"}

@@ -114,11 +114,21 @@ def recode(c, groups: dict[str, list], default=None) -> Column:
     return out.otherwise(F.lit(default))
 
 
+def literal(v) -> str:
+    """SQL text of a constant."""
+    if v is None:
+        return "null"
+    return "'" + v.replace("'", "''") + "'" if isinstance(v, str) else str(v)
+
+
 def band(c, edges: list, labels: list) -> Column:
     """Step function: ``labels[i]`` for the first ``c < edges[i]``, the last label otherwise."""
     if len(labels) != len(edges) + 1:
         raise ValueError("band needs one label more than it has edges")
-    c = _col(c)
+    if isinstance(c, str):
+        # one parsed expression instead of dozens of calls into the JVM
+        steps = " ".join(f"when `{c}` < {e} then {literal(x)}" for e, x in zip(edges, labels))
+        return F.expr(f"case when `{c}` is null then null {steps} else {literal(labels[-1])} end")
     out = F.when(c.isNull(), F.lit(None))
     for edge, label in zip(edges, labels):
         out = out.when(c < edge, F.lit(label))

@@ -34,12 +34,12 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     missing = [f.name for f in schema if f.name not in have]
     if missing:
         warnings.warn(f"not available in this source: {', '.join(missing)}", stacklevel=2)
-    return df.select(*[_cast(F.col(have[f.name]), f) if f.name in have
-                       else F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
+    return df.selectExpr(*[_cast(have.get(f.name), f) for f in schema])
 
 
-def _cast(c: Column, field: T.StructField) -> Column:
-    return c.try_cast(field.dataType).alias(field.name)
+def _cast(source: str | None, field: T.StructField) -> str:
+    value = "null" if source is None else f"`{source}`"
+    return f"try_cast({value} as {field.dataType.simpleString()}) as `{field.name}`"
 
 
 def apply_field_map(df: DataFrame, fields: dict, schema: T.StructType) -> DataFrame:
@@ -48,19 +48,19 @@ def apply_field_map(df: DataFrame, fields: dict, schema: T.StructType) -> DataFr
     A target that is absent from the map, mapped to ``None`` or mapped to a column the source
     lacks becomes a typed null.
     """
-    cols, unmapped = [], []
+    computed, picked, unmapped, have = [], {}, [], set(df.columns)
     for field in schema:
         source = fields.get(field.name)
-        if isinstance(source, str):
-            source = F.col(f"`{source}`") if source.lower() in df.columns else None
-            if source is None:
-                unmapped.append(field.name)
-        cols.append(F.lit(None).cast(field.dataType).alias(field.name) if source is None
-                    else _cast(source, field))
-    unmapped += [f.name for f in schema if f.name not in fields]
+        if isinstance(source, Column):
+            picked[field.name] = f"__{field.name}"
+            computed.append(source.alias(f"__{field.name}"))
+        elif source is not None and source.lower() in have:
+            picked[field.name] = source.lower()
+        elif source is not None or field.name not in fields:
+            unmapped.append(field.name)
     if unmapped:
         warnings.warn(f"not found in this source: {', '.join(unmapped)}", stacklevel=2)
-    return df.select(*cols)
+    return df.select("*", *computed).selectExpr(*[_cast(picked.get(f.name), f) for f in schema])
 
 
 def stack(frames: list[DataFrame]) -> DataFrame:

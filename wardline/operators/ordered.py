@@ -150,7 +150,7 @@ def asof_backward(
     width = width or max(s.reach_seconds for s in sides)
     stacked = left.select(
         *on, time_cell(left_ts, width).alias("__cell"), F.col(left_ts).alias("__ts"), F.lit(len(sides)).alias("__side"),
-        F.struct(*[F.col(c) for c in left.columns]).alias("__l"))
+        F.struct(*left.columns).alias("__l"))
     for i, side in enumerate(sides):
         value = f"__r{i}"
         rows = side.rows.where(F.col(side.ts).isNotNull()).select(
@@ -165,7 +165,7 @@ def asof_backward(
     for i, side in enumerate(sides):
         fresh = micros("__ts") - micros(f"__h{i}.t") <= side.reach_seconds * 1_000_000
         outs += [F.when(fresh, F.col(f"__h{i}.{o}")).alias(o) for o in side.take.values()]
-    return found.select(*[F.col(f"__l.{c}").alias(c) for c in left.columns], *outs)
+    return found.select("__l.*", *outs)
 
 
 def previous_within(

@@ -7,8 +7,6 @@ aggregates would instead evaluate every column's condition for every event.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,10 +26,6 @@ def _level(frames: dict[str, Column]) -> Column:
     return out
 
 
-def _pick(fn, cols: list[Column]) -> Column:
-    return cols[0] if len(cols) == 1 else fn(*cols)
-
-
 def summarise(
     df: DataFrame,
     keys: list[str],
@@ -60,18 +54,19 @@ def summarise(
     for i, frame in enumerate(frames):
         for stem, pooled in columns.items():
             at = [f"{x}__{j}" for x in pooled for j in range(i, len(frames))]
+            text = {"min": _fold("least", at, "lo"), "max": _fold("greatest", at, "hi"),
+                    "mean": f"({_total(at, 'sum')}) / nullif({_total(at, 'n')}, 0)"}
+            outs += [f"{text[s]} as `{frame}_{stem}_{s}`" if frame else f"{text[s]} as `{stem}_{s}`" for s in stats]
+    return wide.selectExpr(*keys, *outs)
 
-            def part(kind, at=at):
-                return [F.col(f"{c}_{kind}") for c in at]
 
-            made = {"min": lambda: _pick(F.least, part("lo")), "max": lambda: _pick(F.greatest, part("hi")),
-                    "mean": lambda: _total(part("sum")) / F.nullif(_total(part("n")), F.lit(0))}
-            outs += [made[s]().alias(f"{frame}_{stem}_{s}" if frame else f"{stem}_{s}") for s in stats]
-    return wide.select(*keys, *outs)
+def _fold(fn: str, cells: list[str], kind: str) -> str:
+    names = [f"`{c}_{kind}`" for c in cells]
+    return names[0] if len(names) == 1 else f"{fn}({', '.join(names)})"
 
 
-def _total(cols: list[Column]) -> Column:
-    return reduce(lambda a, b: a + b, [F.coalesce(c, F.lit(0)) for c in cols])
+def _total(cells: list[str], kind: str) -> str:
+    return " + ".join(f"coalesce(`{c}_{kind}`, 0)" for c in cells)
 
 
 def minmax(
@@ -86,22 +81,18 @@ def minmax(
     ``frames`` are nested as in ``summarise``. Each frame level is aggregated once; the frames are
     then put together from at most one row per key and level.
     """
-    cols = {}
+    cols = []
     for stem, src in columns.items():
         v = F.col(src) if isinstance(src, str) else src
-        cols[stem] = F.when(within(v, *ranges[stem]), v) if ranges and stem in ranges else v
+        if ranges and stem in ranges:
+            v = F.when(within(v, *ranges[stem]), v)
+        cols.append(v.alias(stem))
+    ends = [F.expr(f"{e}(`{s}`) as `{s}_{e}`") for s in columns for e in ("min", "max")]
     if not frames:
-        ready = df.select(*keys, *[v.alias(stem) for stem, v in cols.items()])
-        return ready.groupBy(*keys).agg(*[fn(s).alias(f"{s}_{e}") for s in cols for e, fn in (("min", F.min), ("max", F.max))])
-    ready = df.select(*keys, _level(frames).alias("__lv"), *[v.alias(stem) for stem, v in cols.items()])
-    ends = [fn(s).alias(f"{s}_{e}") for s in cols for e, fn in (("min", F.min), ("max", F.max))]
-    levels = ready.groupBy(*keys, "__lv").agg(*ends)
-    outs = []
-    for i, frame in enumerate(frames):
-        inside = F.col("__lv") >= i
-        for s in cols:
-            outs += [fn(F.when(inside, F.col(f"{s}_{e}"))).alias(f"{frame}_{s}_{e}")
-                     for e, fn in (("min", F.min), ("max", F.max))]
+        return df.select(*keys, *cols).groupBy(*keys).agg(*ends)
+    levels = df.select(*keys, _level(frames).alias("__lv"), *cols).groupBy(*keys, "__lv").agg(*ends)
+    outs = [F.expr(f"{e}(`{s}_{e}`) filter (where __lv >= {i}) as `{frame}_{s}_{e}`")
+            for i, frame in enumerate(frames) for s in columns for e in ("min", "max")]
     return levels.groupBy(*keys).agg(*outs)
 
 

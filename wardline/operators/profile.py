@@ -52,8 +52,7 @@ def _unpivot(df: DataFrame, keys: list[str], columns: list[str], name: str, valu
 
 def completion(df: DataFrame, columns: list[str], by: str) -> DataFrame:
     """Percent of known values per variable and source; a column that is empty there is null."""
-    n = F.count(F.lit(1))
-    share = [F.nullif(F.count(c) * 100.0 / n, F.lit(0.0)).alias(c) for c in columns]
+    share = [F.expr(f"nullif(count(`{c}`) * 100.0D / count(1), 0.0D) as `{c}`") for c in columns]
     return _unpivot(df.groupBy(by).agg(*share), [by], columns, "variable", "percent")
 
 
@@ -66,7 +65,7 @@ def completion_requiring(df: DataFrame, columns: list[str], by: str, source) ->
 
 def availability(df: DataFrame, columns: list[str], by: str) -> DataFrame:
     """1 where a variable has no data at all in a source, else 0."""
-    empty = [(F.count(c) == 0).cast("int").alias(c) for c in columns]
+    empty = [F.expr(f"cast(count(`{c}`) = 0 as int) as `{c}`") for c in columns]
     return _unpivot(df.groupBy(by).agg(*empty), [by], columns, "variable", "all_missing")
 
 
@@ -81,7 +80,7 @@ def common_variables(avail: DataFrame, by: str, sources: list) -> DataFrame:
 
 def missingness(df: DataFrame, columns: list[str], denominator: str) -> DataFrame:
     """Percent of missing rows per column, relative to the known rows of one column."""
-    share = [(F.count(F.when(F.col(c).isNull(), 1)) * 100.0 / F.count(denominator)).alias(c) for c in columns]
+    share = [F.expr(f"count_if(`{c}` is null) * 100.0D / count(`{denominator}`) as `{c}`") for c in columns]
     return _unpivot(df.agg(*share), [], columns, "variable", "percent_missing")
 
 

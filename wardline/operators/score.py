@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..functions.scalars import _col, band
+from ..functions.scalars import _col, band, literal
 
 
 def band_score(c, edges: list, points: list) -> Column:
@@ -30,8 +30,8 @@ def worst_of(lo, hi, lo_score: Column, hi_score: Column) -> tuple[Column, Column
 
 def grid_score(x, y, rows: list[tuple]) -> Column:
     """Two-way bands: ``rows`` holds ``(x_edge, y_edges, points)``, the last edge is ``None``."""
-    x, y = _col(x), _col(y)
-    out = F.when(x.isNull() | y.isNull(), F.lit(None))
+    x = _col(x)
+    out = F.when(x.isNull() | _col(y).isNull(), F.lit(None))
     for edge, y_edges, points in rows:
         inner = band(y, y_edges, points)
         if edge is None:
@@ -42,10 +42,7 @@ def grid_score(x, y, rows: list[tuple]) -> Column:
 
 def table_score(rules: list[tuple[dict, int | None]]) -> Column:
     """Points of the first rule whose named columns all hold one of the listed values."""
-    out = None
-    for wanted, points in rules:
-        cond = F.lit(True)
-        for name, values in wanted.items():
-            cond = cond & F.col(name).isin(*values)
-        out = F.when(cond, F.lit(points)) if out is None else out.when(cond, F.lit(points))
-    return out
+    def holds(wanted):
+        return " and ".join(f"`{n}` in ({', '.join(map(literal, v))})" for n, v in wanted.items())
+
+    return F.expr("case " + " ".join(f"when {holds(w)} then {literal(p)}" for w, p in rules) + " end")

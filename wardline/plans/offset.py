@@ -17,7 +17,7 @@ from ..operators import joins as J
 from ..operators import ordered as O
 from ..operators import pivot as P
 from ..operators.cohort import flag_exclusions
-from ..operators.conform import conform
+from ..operators.conform import apply_field_map
 from ..registry import header_schema
 from . import offset_rules as R
 
@@ -172,7 +172,7 @@ def extract(source: str, patient: DataFrame, hospital: DataFrame, inputs: DataFr
     score = results.where(F.col("apacheversion") == R.SCORE_VERSION).select(
         STAY, "acutephysiologyscore", F.col("apachescore").alias("total_score"),
         "predictedicumortality", "predictedhospitalmortality")
-    raw = inputs.select(STAY, *[F.col(c).alias(f"in_{c}") for c in [*dict.fromkeys(R.SCORE_INPUTS.values()), "fio2"]])
+    raw = inputs.selectExpr(STAY, *[f"{c} as in_{c}" for c in [*dict.fromkeys(R.SCORE_INPUTS.values()), "fio2"]])
     pred = predictors.select(STAY, F.col("age").alias("pred_age"), "electivesurgery", "oobventday1", "admitdiagnosis",
                              *[F.col(c).alias(f"co_{c}") for c in R.COMORBIDITIES.values()])
     parts = [raw, pred, score, _prefixed(lab_summary, "lab_"), _prefixed(gas_summary, "gas_"),
@@ -184,28 +184,28 @@ def extract(source: str, patient: DataFrame, hospital: DataFrame, inputs: DataFr
     names = {
         "data_source": F.lit(source), "encounter_id": key_of(F.lit(f"{source}_"), STAY),
         "patient_id": key_of(F.lit(f"{source}_"), "uniquepid"), "country": F.lit(R.COUNTRY),
-        "hospital_id": F.col("hospitalid"), "teaching_hospital": F.col("teachingstatus"),
-        "hospital_bed_size": F.col("numbedscategory"), "icu_id": F.col("wardid"), "icu_type": F.col("unittype"),
-        "icu_stay_type": F.col("unitstaytype"), "age": F.col("pred_age"),
-        "gender": S.map_codes("gender", R.GENDER), "weight": F.col("kg"), "height": F.col("cm"),
-        "bmi": S.bmi("kg", "cm"), "ethnicity": F.col("ethnicity"),
-        "hospital_admit_source": F.col("hospitaladmitsource"),
-        "hospital_disch_location": F.col("hospitaldischargelocation"),
+        "hospital_id": "hospitalid", "teaching_hospital": "teachingstatus",
+        "hospital_bed_size": "numbedscategory", "icu_id": "wardid", "icu_type": "unittype",
+        "icu_stay_type": "unitstaytype", "age": "pred_age",
+        "gender": S.map_codes("gender", R.GENDER), "weight": "kg", "height": "cm",
+        "bmi": S.bmi("kg", "cm"), "ethnicity": "ethnicity",
+        "hospital_admit_source": "hospitaladmitsource",
+        "hospital_disch_location": "hospitaldischargelocation",
         "hospital_los_days": S.minutes_to_days("hospitaldischargeoffset"),
         "hospital_death": S.map_codes("hospitaldischargestatus", R.DIED),
         "icu_admit_source": S.recode("unitadmitsource", R.UNIT_ADMIT_SOURCE),
-        "icu_disch_location": F.col("unitdischargelocation"),
+        "icu_disch_location": "unitdischargelocation",
         "pre_icu_los_days": -S.minutes_to_days("hospitaladmitoffset"),
         "icu_los_days": S.minutes_to_days("unitdischargeoffset"),
         "icu_death": S.map_codes("unitdischargestatus", R.DIED),
         "elective_surgery": S.is_true(F.col("electivesurgery") == 1).cast("int"),
         # one row per stay, so a stay is never its own repeat
         "readmission_status": F.lit(0),
-        **{out: F.col(f"co_{c}") for out, c in R.COMORBIDITIES.items()},
+        **{out: f"co_{c}" for out, c in R.COMORBIDITIES.items()},
         **{out: S.sentinel_null(f"in_{c}") for out, c in R.SCORE_INPUTS.items()},
         "fio2_apache": S.sentinel_null("in_fio2") / 100.0,
         "ventilated_apache": S.sentinel_null("oobventday1"),
-        "apsiii": F.col("acutephysiologyscore"), "apache_3j_score": F.col("total_score"),
+        "apsiii": "acutephysiologyscore", "apache_3j_score": "total_score",
         "apache_4a_icu_death_prob": S.to_number("predictedicumortality"),
         "apache_4a_hospital_death_prob": S.to_number("predictedhospitalmortality"),
     }
@@ -224,14 +224,14 @@ def extract(source: str, patient: DataFrame, hospital: DataFrame, inputs: DataFr
         if f"c_{field}" in have and f"m_{field}" in have:
             names[field] = F.coalesce(f"c_{field}", f"m_{field}")
         elif f"lab_{field}" in have:
-            names[field] = F.col(f"lab_{field}")
+            names[field] = f"lab_{field}"
         elif f"gas_{frame}_{gas_names.get(stem, stem)}_{end}" in have:
-            names[field] = F.col(f"gas_{frame}_{gas_names.get(stem, stem)}_{end}")
+            names[field] = f"gas_{frame}_{gas_names.get(stem, stem)}_{end}"
     if diagnosis is not None:
         for c in ("apache_3j_diagnosis", "apache_2_diagnosis", "apache_post_operative"):
-            names[c] = F.col(c)
-    return conform(wide.select(*[c.alias(n) for n, c in names.items()]), header_schema())
+            names[c] = c
+    return apply_field_map(wide, names, header_schema())
 
 
 def _prefixed(df: DataFrame, prefix: str) -> DataFrame:
-    return df.select(STAY, *[F.col(c).alias(prefix + c) for c in df.columns if c != STAY])
+    return df.selectExpr(STAY, *[f"{c} as {prefix}{c}" for c in df.columns if c != STAY])

@@ -18,7 +18,7 @@ from ..operators import ordered as O
 from ..operators import pivot as P
 from ..operators import score as SC
 from ..operators.cohort import flag_exclusions
-from ..operators.conform import conform
+from ..operators.conform import apply_field_map
 from ..operators.windows import events_before, events_in_window, overlap_flag
 from ..registry import header_schema
 from . import timed_rules as R
@@ -122,7 +122,7 @@ def blood_gas(stays: DataFrame, lab: DataFrame, chart: DataFrame, first_day_only
     draws = rows.select("subject_id", "charttime", "label", scaled.alias("v"),
                         F.when(F.col("label") == "specimen", F.col("value")).alias("sp"))
     seen = events_in_window(stay, draws, ["subject_id"], "charttime", S.shift("intime", hours=-1), end, DAY)
-    aggs = [F.max(F.when(F.col("label") == n, F.col("v"))).alias(n) for n, *_ in R.GASES]
+    aggs = [F.expr(f"max(v) filter (where label = '{n}') as `{n}`") for n, *_ in R.GASES]
     gas = (
         seen.groupBy(*STAY, "intime", "charttime")
         .agg(F.max("sp").alias("specimen"), F.count("sp").alias("n_sp"), *aggs)
@@ -170,28 +170,24 @@ def blood_gas_summary(stays: DataFrame, gases: DataFrame) -> DataFrame:
     """
     art = gases.where(F.col("specimen_pred") == R.ARTERIAL).select(
         "*", oxygenation_points().alias("oxy"), acid_base_points().alias("ab"))
+    art = art.select("*", *[_frame("charttime", name).alias(f"in_{name}") for name in FRAMES])
+    oxy_order = F.struct(O.descending("oxy").alias("a"), O.nulls_last("po2").alias("b"),
+                         F.col("fio2").isNull().alias("c"), F.col("charttime").alias("d"))
+    ab_order = F.struct(O.descending("ab").alias("a"), O.descending("pco2").alias("b"), F.col("charttime").alias("c"))
     aggs, outs = [], []
     for name in FRAMES:
-        cond = _frame("charttime", name)
         for stem, src in R.GAS_SUMMARY.items():
-            v = F.when(cond, F.col(src))
-            aggs += [F.min(v).alias(f"{name}_{stem}_min"), F.max(v).alias(f"{name}_{stem}_max")]
-            outs += [f"{name}_{stem}_min", f"{name}_{stem}_max"]
-        oxy_order = F.struct(O.descending("oxy").alias("a"), O.nulls_last("po2").alias("b"),
-                             F.col("fio2").isNull().alias("c"), F.col("charttime").alias("d"))
-        ab_order = F.struct(O.descending("ab").alias("a"), O.descending("pco2").alias("b"),
-                            F.col("charttime").alias("c"))
-        oxy_row = F.struct("po2", "pco2", "fio2", "aado2", "oxy")
-        ab_row = F.struct("ph", "pco2", "ab")
-        aggs.append(F.min_by(oxy_row, F.when(cond, oxy_order)).alias(f"{name}_o"))
-        aggs.append(F.min_by(ab_row, F.when(cond & F.col("ab").isNotNull(), ab_order)).alias(f"{name}_a"))
-        o, a = f"{name}_o", f"{name}_a"
-        outs += [F.col(f"{o}.po2").alias(f"{name}_oxy_pao2"), F.col(f"{o}.pco2").alias(f"{name}_oxy_paco2"),
-                 F.col(f"{o}.fio2").alias(f"{name}_oxy_fio2"), F.col(f"{o}.aado2").alias(f"{name}_oxy_aado2"),
-                 F.col(f"{o}.oxy").alias(f"{name}_oxygenation_score"),
-                 F.col(f"{a}.ph").alias(f"{name}_acidbase_ph"), F.col(f"{a}.pco2").alias(f"{name}_acidbase_paco2"),
-                 F.col(f"{a}.ab").alias(f"{name}_acidbase_score")]
-    per_stay = art.groupBy("icustay_id").agg(*aggs).select("icustay_id", *outs)
+            for end in ("min", "max"):
+                aggs.append(F.expr(f"{end}(`{src}`) filter (where in_{name}) as {name}_{stem}_{end}"))
+                outs.append(f"{name}_{stem}_{end}")
+        inside = F.col(f"in_{name}")
+        aggs.append(F.min_by(F.struct("po2", "pco2", "fio2", "aado2", "oxy"), F.when(inside, oxy_order)).alias(f"{name}_o"))
+        aggs.append(F.min_by(F.struct("ph", "pco2", "ab"), F.when(inside & F.col("ab").isNotNull(), ab_order)).alias(f"{name}_a"))
+        outs += [f"{name}_o.{src} as {name}_{out}" for src, out in (
+            ("po2", "oxy_pao2"), ("pco2", "oxy_paco2"), ("fio2", "oxy_fio2"), ("aado2", "oxy_aado2"), ("oxy", "oxygenation_score"))]
+        outs += [f"{name}_a.{src} as {name}_{out}" for src, out in (
+            ("ph", "acidbase_ph"), ("pco2", "acidbase_paco2"), ("ab", "acidbase_score"))]
+    per_stay = art.groupBy("icustay_id").agg(*aggs).selectExpr("icustay_id", *outs)
     return stays.select(*STAY).join(per_stay, "icustay_id", "left")
 
 
@@ -363,17 +359,18 @@ def apsiii(stays: DataFrame, vital_summary: DataFrame, lab_summary: DataFrame, g
     else:
         vent = overlap_flag(base.select("icustay_id", "intime"), ventilation, "icustay_id", "intime",
                             "starttime", "endtime", F.expr("INTERVAL 1 DAY"), "vent").drop("intime")
-    v = vital_summary.select("icustay_id", *[F.col(f"d1_{n}_{e}").alias(f"{n}_{e}")
-                                             for n in ("heartrate", "mbp", "temp", "resprate") for e in ("min", "max")],
-                             F.col("d1_glucose_min").alias("vg_min"), F.col("d1_glucose_max").alias("vg_max"))
-    chem = ("hematocrit", "wbc", "creatinine", "bun", "sodium", "albumin", "bilirubin")
-    lb = lab_summary.select("icustay_id", *[F.col(f"d1_{n}_{e}").alias(f"{n}_{e}") for n in chem for e in ("min", "max")],
-                            F.col("d1_glucose_min").alias("lg_min"), F.col("d1_glucose_max").alias("lg_max"))
-    g = gas_summary.select("icustay_id", F.col("d1_oxy_pao2").alias("pao2"), F.col("d1_oxy_fio2").alias("fio2"),
-                           F.col("d1_oxy_paco2").alias("paco2_oxy"), F.col("d1_oxy_aado2").alias("aado2"),
-                           F.col("d1_oxygenation_score").alias("oxygenation_score"),
-                           F.col("d1_acidbase_ph").alias("ph"), F.col("d1_acidbase_paco2").alias("paco2"),
-                           F.col("d1_acidbase_score").alias("acidbase_score"))
+    def first_day(names):
+        return [f"d1_{n}_{e} as {n}_{e}" for n in names for e in ("min", "max")]
+
+    v = vital_summary.selectExpr("icustay_id", *first_day(("heartrate", "mbp", "temp", "resprate")),
+                                 "d1_glucose_min as vg_min", "d1_glucose_max as vg_max")
+    lb = lab_summary.selectExpr(
+        "icustay_id", *first_day(("hematocrit", "wbc", "creatinine", "bun", "sodium", "albumin", "bilirubin")),
+        "d1_glucose_min as lg_min", "d1_glucose_max as lg_max")
+    g = gas_summary.selectExpr(
+        "icustay_id", "d1_oxy_pao2 as pao2", "d1_oxy_fio2 as fio2", "d1_oxy_paco2 as paco2_oxy", "d1_oxy_aado2 as aado2",
+        "d1_oxygenation_score as oxygenation_score", "d1_acidbase_ph as ph", "d1_acidbase_paco2 as paco2",
+        "d1_acidbase_score as acidbase_score")
     arf = renal_failure(stays, lab_summary, urine, diagnoses)
     parts = [vent, v, lb, g, coma.drop("subject_id", "hadm_id"), urine.select("icustay_id", "urineoutput"), arf]
     wide = J.assemble(base.drop("intime"), parts, "icustay_id").select(
@@ -439,40 +436,40 @@ def extract(stays: DataFrame, patients: DataFrame, admissions: DataFrame, includ
     cm = S.inches_to_cm("height")
     ids = ["subject_id", "hadm_id"]
     # the three summaries share stems such as glucose and calcium, so two of them get a prefix
-    vitals_part = vital_summary.drop(*ids, *[f"{f}_glucose_{e}" for f in FRAMES for e in P.STATS])
-    lab_part = lab_summary.select("icustay_id", *[F.col(c).alias(f"lab_{c}") for c in lab_summary.columns if c[2] == "_"])
-    gas_part = gas_summary.select("icustay_id", *[F.col(c).alias(f"gas_{c}") for c in gas_summary.columns if c[2] == "_"])
+    vitals_part = vital_summary.drop(*ids, *[f"{f}_glucose_{e}" for f in FRAMES for e in ("min", "max", "mean")])
+    lab_part = lab_summary.selectExpr("icustay_id", *[f"{c} as lab_{c}" for c in lab_summary.columns if c[2] == "_"])
+    gas_part = gas_summary.selectExpr("icustay_id", *[f"{c} as gas_{c}" for c in gas_summary.columns if c[2] == "_"])
     wide = J.assemble(s, [demo.drop(*ids), vitals_part, lab_part, gas_part, aps.drop(*ids)], "icustay_id")
     frames = list(FRAMES)
     names = {
-        "data_source": F.col("dbsource"), "encounter_id": F.col("icustay_id").cast("string"),
+        "data_source": "dbsource", "encounter_id": F.col("icustay_id").cast("string"),
         "patient_id": F.col("subject_id").cast("string"),
         **{k: F.lit(v) for k, v in R.HOSPITAL.items()},
-        "icu_id": F.col("first_wardid"), "icu_type": F.col("first_careunit"), "icu_stay_type": F.col("first_service"),
-        "age": S.age_years("dob", "intime", 4), "gender": F.col("gender"), "weight": F.col("weight"), "height": cm,
+        "icu_id": "first_wardid", "icu_type": "first_careunit", "icu_stay_type": "first_service",
+        "age": S.age_years("dob", "intime", 4), "gender": "gender", "weight": "weight", "height": cm,
         "bmi": F.when(F.col("height") > 0, S.bmi("weight", cm)),
-        "ethnicity": S.recode("ethnicity", R.ETHNICITY, R.OTHER_ETHNICITY), "pregnant": F.col("pregnant"),
-        "smoking_status": F.col("smoking"),
+        "ethnicity": S.recode("ethnicity", R.ETHNICITY, R.OTHER_ETHNICITY), "pregnant": "pregnant",
+        "smoking_status": "smoking",
         "hospital_admit_source": S.recode("admission_location", R.ADMIT_SOURCE),
         "hospital_disch_location": S.recode("discharge_location", R.DISCHARGE_LOCATION),
         "hospital_los_days": S.days_between("admittime", "dischtime"),
-        "hospital_death": F.col("hospital_expire_flag"),
-        "pre_icu_los_days": F.round(S.elapsed("admittime", "intime", "days"), 4), "icu_los_days": F.col("los"),
+        "hospital_death": "hospital_expire_flag",
+        "pre_icu_los_days": F.round(S.elapsed("admittime", "intime", "days"), 4), "icu_los_days": "los",
         "icu_death": S.is_true(F.col("deathtime") <= F.col("outtime")).cast("int"),
         "elective_surgery": S.is_true(F.col("admission_type") == "ELECTIVE").cast("int"),
-        "readmission_status": F.col("readmission"),
-        "fio2_apache": F.col("fio2"), "paco2_apache": F.col("paco2_oxy"), "pao2_apache": F.col("pao2"),
-        "ph_apache": F.col("ph"), "paco2_for_ph_apache": F.col("paco2"),
-        "heart_rate_apache": F.col("heartrate"), "map_apache": F.col("mbp"),
-        "gcs_eyes_apache": F.col("gcseyes"), "gcs_motor_apache": F.col("gcsmotor"),
+        "readmission_status": "readmission",
+        "fio2_apache": "fio2", "paco2_apache": "paco2_oxy", "pao2_apache": "pao2",
+        "ph_apache": "ph", "paco2_for_ph_apache": "paco2",
+        "heart_rate_apache": "heartrate", "map_apache": "mbp",
+        "gcs_eyes_apache": "gcseyes", "gcs_motor_apache": "gcsmotor",
         # a verbal reading of 0 stands for an intubated patient assumed normal
         "gcs_verbal_apache": F.when(F.col("gcsverbal") == 0, F.lit(5.0)).otherwise(F.col("gcsverbal")),
-        "gcs_unable_apache": F.col("endotrachflag"), "ventilated_apache": F.col("vent"), "arf_apache": F.col("arf"),
-        "apsiii": F.col("apsiii"),
+        "gcs_unable_apache": "endotrachflag", "ventilated_apache": "vent", "arf_apache": "arf",
+        "apsiii": "apsiii",
     }
     for v in ("albumin", "bilirubin", "creatinine", "glucose", "hematocrit", "sodium", "resprate", "temp", "bun",
               "urineoutput", "wbc"):
-        names[f"{v}_apache"] = F.col(v)
+        names[f"{v}_apache"] = v
     lab_names = {"hemaglobin": "hemoglobin", "platelets": "platelet"}
     gas_names = {"arterial_ph": "ph", "arterial_po2": "pao2", "arterial_pco2": "paco2", "pao2fio2ratio": "pao2fio2"}
     schema = header_schema()
@@ -485,7 +482,7 @@ def extract(stays: DataFrame, patients: DataFrame, admissions: DataFrame, includ
             for table, tag in ((lab_names, "lab"), (gas_names, "gas")):
                 source = f"{tag}_{frame}_{table.get(stem, stem)}_{end}"
                 if source in have:
-                    names[field] = F.col(source)
+                    names[field] = source
             if field not in names and field in have:
-                names[field] = F.col(field)
-    return conform(wide.select(*[c.alias(n) for n, c in names.items()]), schema)
+                names[field] = field
+    return apply_field_map(wide, names, schema)
