@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .ordered import exact_quantiles
 
@@ -42,8 +43,9 @@ def crosstab_share(df: DataFrame, a: str, by: list[str], scale: float = 1.0) ->
         "n",
     )
     table = named.groupBy(a, *by).agg(F.sum("n").alias("n"))
-    totals = table.where(F.col(a) == "All").select(*by, F.col("n").alias("__t"))
-    return table.join(totals, by).select(a, *by, "n", (F.col("n") * scale / F.col("__t")).alias("share"))
+    # the table holds one row per pair of categories, so a window over it is small
+    total = F.max(F.when(F.col(a) == "All", F.col("n"))).over(Window.partitionBy(*by))
+    return table.select(a, *by, "n", (F.col("n") * scale / total).alias("share"))
 
 
 def _unpivot(df: DataFrame, keys: list[str], columns: list[str], name: str, value: str) -> DataFrame:
@@ -59,8 +61,8 @@ def completion(df: DataFrame, columns: list[str], by: str) -> DataFrame:
 def completion_requiring(df: DataFrame, columns: list[str], by: str, source) -> DataFrame:
     """Completion limited to the variables the given source has data for."""
     table = completion(df, columns, by)
-    present = table.where((F.col(by) == source) & F.col("percent").isNotNull()).select("variable")
-    return table.join(F.broadcast(present), "variable", "left_semi")
+    there = F.max(F.when(F.col(by) == source, F.col("percent"))).over(Window.partitionBy("variable"))
+    return table.withColumn("__there", there).where("__there is not null").drop("__there")
 
 
 def availability(df: DataFrame, columns: list[str], by: str) -> DataFrame:
@@ -101,9 +103,9 @@ def table_one(df: DataFrame, by: str, categorical: list[str], continuous: list[s
             .where(F.col("level").isNotNull())
             .groupBy(by, "variable", "level").agg(F.count(F.lit(1)).alias("n"))
         )
-        totals = levels.groupBy(by, "variable").agg(F.sum("n").alias("__t"))
-        parts.append(levels.join(totals, [by, "variable"]).select(
-            by, "variable", "level", "n", (F.col("n") * 100.0 / F.col("__t")).alias("percent"),
+        total = F.sum("n").over(Window.partitionBy(by, "variable"))
+        parts.append(levels.select(
+            by, "variable", "level", "n", (F.col("n") * 100.0 / total).alias("percent"),
             F.lit(None).cast("double").alias("mean"), F.lit(None).cast("double").alias("sd"),
         ))
     if continuous:
@@ -138,11 +140,11 @@ def histogram(df: DataFrame, column: str, lo: float, hi: float, bins: int,
         df.where(x.between(lo, hi)).groupBy(*(by or []), bin_no.alias("bin"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    totals = counts.groupBy(*(by or [])).agg(F.sum("n").alias("__t"))
-    joined = counts.join(totals, by) if by else counts.join(F.broadcast(totals))
-    return joined.select(
+    # at most ``bins`` rows per group reach the window
+    total = F.sum("n").over(Window.partitionBy(*(by or [])))
+    return counts.select(
         *(by or []), "bin", (F.lit(lo) + F.col("bin") * width).alias("left_edge"), "n",
-        (F.col("n") / (F.col("__t") * width)).alias("density"),
+        (F.col("n") / (total * width)).alias("density"),
     )
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
 
 def replace_table(df: DataFrame, name: str) -> None:
@@ -26,14 +26,17 @@ def write_by_category(table: DataFrame, path: str, category: str = "category") -
     table.write.mode("overwrite").option("header", True).partitionBy(category).csv(path)
 
 
-def reuse(df: DataFrame, spark: SparkSession, checkpoint_dir: str | None = None) -> DataFrame:
-    """Cut the lineage of a frame that several later steps read.
+def reuse(df: DataFrame, checkpoint_dir: str | None = None) -> DataFrame:
+    """Cut the lineage of a frame that several later steps read, so it is computed once.
 
     The folder comes from ``spark.checkpoint.dir``; ``checkpoint_dir`` is used only where the
-    session names none (tests). The checkpoint lies on shared storage and outlives executors.
+    session names none. The checkpoint lies on shared storage and outlives executors. Without any
+    folder the frame comes back as it is.
     """
+    spark = df.sparkSession
     folder = spark.conf.get("spark.checkpoint.dir", None) or checkpoint_dir
     if not folder:
         return df
-    spark.sparkContext.setCheckpointDir(folder)
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(folder)
     return df.checkpoint()
