@@ -345,7 +345,7 @@ select o_orderkey, o_custkey, row_number() over (partition by o_custkey order by
 from orders""")
 def seq_number(spark, d):
     out = O.sequence(Tables(spark, d).orders, ["o_custkey"], [F.col("o_orderdate"), F.col("o_orderkey")],
-                     O.time_cell("o_orderdate", 90 * DAY))
+                     O.time_cell("o_orderdate", 7 * DAY))
     return out.select("o_orderkey", "o_custkey", F.col("seq").cast("long").alias("seq"))
 
 
@@ -353,7 +353,7 @@ def seq_number(spark, d):
 select o_orderkey, rank() over (partition by o_custkey order by o_orderdate) as rnk from orders""")
 def rank_orders(spark, d):
     out = O.sequence(Tables(spark, d).orders, ["o_custkey"], [F.col("o_orderdate")],
-                     O.time_cell("o_orderdate", 90 * DAY), "rnk", ties=True)
+                     O.time_cell("o_orderdate", 7 * DAY), "rnk", ties=True)
     return out.select("o_orderkey", F.col("rnk").cast("long").alias("rnk"))
 
 
@@ -362,7 +362,8 @@ select l_orderkey, l_linenumber, l_suppkey, l_partkey, cast(case when row_number
   order by l_shipdate desc, l_suppkey, l_partkey, l_extendedprice) > 1 then 1 else 0 end as integer) as dup from lineitem""")
 def dup_flag(spark, d):
     order = [F.col("l_shipdate").desc_nulls_first(), F.col("l_suppkey"), F.col("l_partkey"), F.col("l_extendedprice")]
-    out = O.sequence(Tables(spark, d).lineitem, ["l_orderkey", "l_linenumber"], order, None, "no")
+    newest_first = -O.time_cell("l_shipdate", 7 * DAY)
+    out = O.sequence(Tables(spark, d).lineitem, ["l_orderkey", "l_linenumber"], order, newest_first, "no")
     return out.select("l_orderkey", "l_linenumber", "l_suppkey", "l_partkey", (F.col("no") > 1).cast("int").alias("dup"))
 
 
@@ -371,7 +372,7 @@ select o_orderkey, round(sum(o_totalprice) over (partition by o_custkey order by
   rows unbounded preceding), 2) as spent from orders""")
 def running_spend(spark, d):
     out = O.running_total(Tables(spark, d).orders, ["o_custkey"], [F.col("o_orderdate"), F.col("o_orderkey")],
-                          F.col("o_totalprice"), O.time_cell("o_orderdate", 90 * DAY), "spent")
+                          F.col("o_totalprice"), O.time_cell("o_orderdate", 7 * DAY), "spent")
     return out.select("o_orderkey", F.round("spent", 2).alias("spent"))
 
 

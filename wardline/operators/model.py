@@ -9,7 +9,7 @@ from pyspark.ml.regression import GeneralizedLinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .ordered import quantile_cell, running_total
+from .ordered import running_total, with_quantile_cell
 
 
 def split(df: DataFrame, source_column: str, source, columns: list[str]) -> DataFrame:
@@ -116,7 +116,7 @@ def coefficients(fitted, df: DataFrame) -> list[tuple]:
 
 
 # --- evaluation ----------------------------------------------------------------------------------
-def auroc(df: DataFrame, outcome: str, score_column: str, cells: int = 64) -> DataFrame:
+def auroc(df: DataFrame, outcome: str, score_column: str, cells: int | None = None) -> DataFrame:
     """Exact area under the ROC curve; tied scores count half.
 
     Rows collapse to counts per score; the negatives below each score are a running total.
@@ -127,8 +127,8 @@ def auroc(df: DataFrame, outcome: str, score_column: str, cells: int = 64) -> Da
         F.sum(F.when(F.col(outcome) == 1, 1).otherwise(0)).alias("__p"),
         F.sum(F.when(F.col(outcome) == 1, 0).otherwise(1)).alias("__q"),
     )
-    cell = quantile_cell(known.select(x), "__x", cells)
-    cum = running_total(per_score, [], [F.col("__x")], F.col("__q"), cell, "__neg")
+    per_score = with_quantile_cell(per_score, known.select(x), "__x", "__cellno", cells)
+    cum = running_total(per_score, [], [F.col("__x")], F.col("__q"), F.col("__cellno"), "__neg")
     wins = F.sum(F.col("__p") * (F.col("__neg") - F.col("__q") / 2.0))
     return cum.agg(
         F.sum("__p").alias("n_pos"), F.sum("__q").alias("n_neg"),

@@ -13,6 +13,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -36,18 +37,19 @@ def number_cell(c, width: float) -> Column:
     return F.coalesce(F.floor(_col(c) / F.lit(width)), F.lit(9_223_372_036_854_775_807))
 
 
-def quantile_cell(df: DataFrame, column: str, cells: int = 64) -> Column:
-    """Cell number from approximate quantile bounds of the column.
+def with_quantile_cell(df: DataFrame, sample: DataFrame, column: str, out: str, cells: int | None = None) -> DataFrame:
+    """Add the cell number of a numeric column, with approximate quantiles of ``sample`` as bounds.
 
-    Only the bounds (fewer than ``cells`` numbers) reach the driver. They enter the plan as
-    literals, so a recomputed task sees the same cells.
+    Only the bounds (one number per shuffle partition unless ``cells`` is given) reach the driver.
+    They enter the plan as constants, so a recomputed task sees the same cells.
     """
+    cells = cells or max(64, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     probs = [i / cells for i in range(1, cells)]
-    bounds = sorted(set(df.approxQuantile(column, probs, 1 / (4 * cells))))
+    bounds = sorted(set(sample.approxQuantile(column, probs, 1 / (4 * cells))))
     if not bounds:
-        return F.lit(0)
-    cuts = F.array(*[F.lit(float(b)) for b in bounds])
-    return F.size(F.filter(cuts, lambda b: b <= F.col(column).cast("double")))
+        return df.withColumn(out, F.lit(0.0))
+    splits = [-math.inf, *bounds, math.inf]
+    return Bucketizer(splits=splits, inputCol=column, outputCol=out, handleInvalid="keep").transform(df)
 
 
 def _with_cell(df: DataFrame, keys: list[str], cell: Column) -> DataFrame:
@@ -227,20 +229,17 @@ def first_row(df: DataFrame, keys: list[str], order: list[Column], take: list[st
 
 # --- quantiles -------------------------------------------------------------------------------
 def exact_quantiles(
-    df: DataFrame, by: list[str], column: str, probs: dict[str, float], cells: int = 64
+    df: DataFrame, by: list[str], column: str, probs: dict[str, float], cells: int | None = None
 ) -> DataFrame:
     """Linear-interpolation quantiles per group, exact at any size.
 
     Equal values collapse to counts first, the counts are accumulated cell by cell, and each
     wanted rank is picked from the cumulative count.
     """
-    counts = (
-        df.where(F.col(column).isNotNull())
-        .groupBy(*by, F.col(column).cast("double").alias("__x"))
-        .agg(F.count(F.lit(1)).alias("__n"))
-    )
-    cell = quantile_cell(df.select(F.col(column).cast("double").alias("__x")), "__x", cells)
-    cum = running_total(counts, by, [F.col("__x")], F.col("__n"), cell, "__cum", "__all")
+    known = df.where(F.col(column).isNotNull()).select(*by, F.col(column).cast("double").alias("__x"))
+    counts = known.groupBy(*by, "__x").agg(F.count(F.lit(1)).alias("__n"))
+    counts = with_quantile_cell(counts, known, "__x", "__q", cells)
+    cum = running_total(counts, by, [F.col("__x")], F.col("__n"), F.col("__q"), "__cum", "__all")
     aggs, outs = [], []
     for name, p in probs.items():
         pos = F.lit(p) * (F.col("__all") - 1)

@@ -120,7 +120,7 @@ def table_one(df: DataFrame, by: str, categorical: list[str], continuous: list[s
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
-def describe_by(df: DataFrame, by: str, column: str, cells: int = 64) -> DataFrame:
+def describe_by(df: DataFrame, by: str, column: str, cells: int | None = None) -> DataFrame:
     """Mean, SD, median, 5th and 95th percentile by group, exact."""
     moments = df.groupBy(by).agg(F.count(column).alias("n"), F.avg(column).alias("mean"), F.stddev(column).alias("sd"))
     quantiles = exact_quantiles(df, [by], column, {"p5": 0.05, "median": 0.5, "p95": 0.95}, cells)

@@ -126,7 +126,9 @@ def cohort(patient: DataFrame, lab: DataFrame, periodic: DataFrame, results: Dat
     iva = results.where(F.col("apacheversion") == R.SCORE_VERSION).groupBy(STAY).agg(
         F.max("apachescore").alias("apachescore"),
         F.min(S.to_number("predictedhospitalmortality")).alias("predicted"))
-    base = J.assemble(patient, [first, iva, predictors.select(STAY, "readmit", F.lit(1).alias("in_pred"))], STAY)
+    numbered = O.sequence(patient, [STAY], [F.col("hospitaldischargeoffset").desc_nulls_first()],
+                          -O.number_cell("hospitaldischargeoffset", 1440), "copy_no")
+    base = J.assemble(numbered, [first, iva, predictors.select(STAY, "readmit", F.lit(1).alias("in_pred"))], STAY)
     for out, (table, counted) in covers.items():
         base = base.join(J.coverage(patient, table, STAY, group, counted, out), group, "left")
     if stay_types is not None:
@@ -134,7 +136,6 @@ def cohort(patient: DataFrame, lab: DataFrame, periodic: DataFrame, results: Dat
         by_type = (~S.is_true(F.col("stay_type").isin(*R.FIRST_STAY_TYPES))).cast("int")
     else:
         by_type = F.lit(None).cast("int")
-    numbered = O.sequence(base, [STAY], [F.col("hospitaldischargeoffset").desc_nulls_first()], None, "copy_no")
     age = S.to_number("age")
     open_age = F.col("age").isin(R.OLDEST_AGE, "")
     no_status = F.coalesce("hospitaldischargestatus", F.lit("")) == ""
@@ -148,7 +149,7 @@ def cohort(patient: DataFrame, lab: DataFrame, periodic: DataFrame, results: Dat
         "exclusion_short_or_secondary_stay": F.col("is_first").isNull(),
         "exclusion_missing_data": ~S.is_true(has_data),
     }
-    flagged = flag_exclusions(numbered, rules, "any_flag")
+    flagged = flag_exclusions(base, rules, "any_flag")
     known = S.is_true(open_age | (age >= R.MIN_AGE)) & S.is_true(F.col("unitdischargestatus").isin(*R.OUTCOMES))
     return flagged.select(
         STAY, F.col("readmit").alias("readmission_apache"), by_type.alias("readmission_by_type"),

@@ -290,7 +290,7 @@ def demographics(stays: DataFrame, chart: DataFrame, notes: DataFrame, services:
         F.avg(of("weight")).alias("weight"), F.avg(of("height")).alias("height"),
         F.max(of("pregnant")).alias("pregnant"), F.max(of("smoking")).alias("item_smoking"))
     numbered = O.sequence(stays.select(*STAY, "intime"), ["hadm_id"], [F.col("intime").asc_nulls_last(), F.col("icustay_id")],
-                          O.time_cell("intime", 30 * DAY), "stay_no")
+                          O.time_cell("intime", 7 * DAY), "stay_no")
     named = S.map_codes(F.col("item_smoking").cast("int"), R.SMOKING_LABELS)
     noted = S.map_codes("note_smoking", R.SMOKING_LABELS)
     return (
@@ -403,9 +403,9 @@ def cohort(stays: DataFrame, patients: DataFrame, admissions: DataFrame, service
     # one row per stay from here on; both numberings read it twice, the chart scan must run once
     base = reuse(base)
     numbered = O.sequence(base, ["subject_id"], [F.col("intime_hr").asc_nulls_last(), F.col("icustay_id")],
-                          O.time_cell("intime_hr", 30 * DAY), "icustay_num")
+                          O.time_cell("intime_hr", 7 * DAY), "icustay_num")
     ranked = O.sequence(numbered, ["subject_id"], [F.col("admittime").asc_nulls_last()],
-                        O.time_cell("admittime", 30 * DAY), "admission_rank", ties=True)
+                        O.time_cell("admittime", 7 * DAY), "admission_rank", ties=True)
     long_enough = F.col("outtime_hr") - F.col("intime_hr") >= F.expr(f"INTERVAL {R.MIN_STAY_HOURS} HOUR")
     full = ranked.select(
         *STAY, "intime_hr", "outtime_hr", "admission_rank", "icustay_num", "gender", "first_service",
