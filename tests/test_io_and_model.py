@@ -82,6 +82,14 @@ def test_tables_parquet_and_category_folders(spark, tmp_path):
     assert {p.name for p in (tmp_path / "c").iterdir() if p.is_dir()} == {"category=labs", "category=vitals"}
 
 
+def test_replace_table(spark, tmp_path):
+    spark.sql(f"create database if not exists kept location '{tmp_path}'")
+    for n in (3, 5):
+        WR.replace_table(spark.range(n), "kept.stays")
+    assert RD.read_table(spark, "kept.stays").count() == 5
+    spark.sql("drop table kept.stays")
+
+
 def test_reuse_cuts_the_lineage(spark, tmp_path):
     df = spark.range(10).withColumn("x", F.col("id") * 2)
     kept = WR.reuse(df, str(tmp_path / "ck"))

@@ -114,23 +114,23 @@ def blood_gas(stays: DataFrame, lab: DataFrame, chart: DataFrame, first_day_only
     if first_day_only:
         end = F.least(end, S.shift("intime", days=1))
     rules = {item: (name, lo, hi, True, True) for name, item, lo, hi in R.GASES}
-    rules[R.GAS_SPECIMEN_ITEM] = ("specimen", None, None, True, True)
     rules.update({item: (None, None, None, True, True) for item in R.GAS_OTHER_ITEMS})
-    rows = J.with_rules(lab.select("subject_id", "charttime", "itemid", "valuenum", "value"), "itemid", rules)
+    rows = J.with_rules(lab.select("subject_id", "charttime", "itemid", "valuenum"), "itemid", rules)
     valid = F.when((F.col("valuenum") > 0) & S.within_rule("valuenum"), F.col("valuenum"))
     scaled = (F.when(F.col("label") == "fio2", S.percent_to_fraction(valid))
               .when(F.col("label") == "hematocrit", valid / 100.0).otherwise(valid))
-    draws = rows.select("subject_id", "charttime", "label", scaled.alias("v"),
-                        F.when(F.col("label") == "specimen", F.col("value")).alias("sp"))
-    seen = events_in_window(stay, draws, ["subject_id"], "charttime", S.shift("intime", hours=-1), end, DAY)
-    aggs = [F.expr(f"max(v) filter (where label = '{n}') as `{n}`") for n, *_ in R.GASES]
-    gas = (
-        seen.groupBy(*STAY, "intime", "charttime")
-        .agg(F.max("sp").alias("specimen"), F.count("sp").alias("n_sp"), *aggs)
-        .where((F.col("n_sp") < 2) & F.col("po2").isNotNull()).drop("n_sp")
-    )
+    start, keys = S.shift("intime", hours=-1), [*STAY, "intime", "charttime"]
+    draws = rows.select("subject_id", "charttime", "label", scaled.alias("v"))
+    seen = events_in_window(stay, draws, ["subject_id"], "charttime", start, end, DAY)
+    # the few specimen texts are read apart, so that the measured values stay plain numbers
+    texts = lab.where((F.col("itemid") == R.GAS_SPECIMEN_ITEM) & F.col("value").isNotNull()).select(
+        "subject_id", "charttime", "value")
+    specimens = events_in_window(stay, texts, ["subject_id"], "charttime", start, end, DAY).groupBy(*keys).agg(
+        F.max("value").alias("specimen"), F.count("value").alias("n_sp"))
+    measured = P.long_to_wide(seen, keys, "label", "v", [r[0] for r in R.GASES]).where(F.col("po2").isNotNull())
+    gas = measured.join(specimens, keys, "left").where(F.coalesce("n_sp", F.lit(0)) < 2).drop("n_sp")
     near = stay.select("icustay_id", "intime", "outtime")
-    start = S.shift("intime", hours=-5)
+    start = S.shift("intime", hours=-5)  # an hour before admission plus the longest reach
 
     def charted(rows: DataFrame, value: Column, name: str) -> DataFrame:
         read = rows.select("icustay_id", "charttime", value.alias("v"))
