@@ -263,7 +263,7 @@ def text_registry(spark, d):
     pairs = [f"{s}_{e}" for s in [*flat.TEXT_PAIRS.values(), *flat.TEXT_PERCENT_PAIRS.values()] for e in ("lowest", "highest")]
     older = part.selectExpr("p_partkey as id", "p_partkey % 5 as site")
     codes = spark.sql("""select * from values ('1', 'a', 11, 'x', 'Non-operative'), ('2', 'b', 21, 'y', 'Post-operative'), ('2', 'b', 22, 'y', 'Non-operative'),
-      ('3', 'c', 0, 'z', 'Post-operative') as m(nicst_id, nicst_name, anzics_id, anzics_name, anzics_operative)""")
+      ('3', 'c', 0, 'z', 'Post-operative') as m(code, name, target_id, target_name, target_operative)""")
     out = flat.text_extract(H.null_columns(sheet, pairs), older, codes, "r")
     return rounded(out.select("encounter_id", "country", "weight", "height", "apache_post_operative", "apache_2_diagnosis"))
 
@@ -346,5 +346,5 @@ def merged_completion(spark, d):
     three, two = spark.sql(THREE), spark.sql(TWO)
     coded = flat.coded_extract(coded_registry(t), text_map(t), "carevue")
     second = flat.coded_extract(coded_registry(t).where("age > 40"), text_map(t), "other")
-    whole = merge.top_code_age(merge.merge([coded, second], three, two, {"mimic": ["carevue", "metavision", "both"]}), "mimic")
+    whole = merge.top_code_age(merge.merge([coded, second], three, two, {"pooled": ["carevue", "metavision", "both"]}), "pooled")
     return rounded(merge.completion_table(whole).where(F.col("percent").isNotNull()))

@@ -56,7 +56,7 @@ def test_text_registry(rows):
     df = rows(schema, [(1, "40 yrs", "x", "NA 62", "male", "surgical ward", 0, "12", "2", *pair.values()), (2, "30", "70 kg", "160", ".", None, 1, "5", "1", *pair.values()),
                        (3, "30", "70", "160", "Male", "medical", None, "5", "1", *pair.values()), (4, "30", "70", "160", "Male", "medical", 0, "0", "1", *pair.values())])
     older = rows("id int, age string, sys_bp_highest string, site int", [(1, "40", "1", 3), (2, "30", None, 4), (3, "31", "2", 1)])
-    codes = rows("nicst_id string, nicst_name string, anzics_id int, anzics_name string, anzics_operative string", [
+    codes = rows("code string, name string, target_id int, target_name string, target_operative string", [
         ("1", "a", 0, "x", "Non-operative"), ("2", "b", 21, "y", "Post-operative"), ("2", "b", 22, "y", "Non-operative"), ("2", None, 23, "y", "Non-operative")])
     out = flat.text_extract(df, older, codes, "src")
     assert out.columns == header()

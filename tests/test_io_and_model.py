@@ -115,14 +115,14 @@ def test_merge_and_profile(rows):
         a = CF.conform(rows("data_source string, age double, apache_3j_diagnosis string, apache_2_diagnosis string, apache_post_operative int",
                             [("carevue", 300.0, "101.01", "115", 0), ("metavision", 50.0, None, None, None)]), REG.header_schema())
         b = CF.conform(rows("data_source string, gender string", [("reg", "F")]), REG.header_schema())
-    whole = merge.top_code_age(merge.merge([a, b], three, two, {"mimic": ["carevue", "metavision", "both"]}), "mimic")
+    whole = merge.top_code_age(merge.merge([a, b], three, two, {"pooled": ["carevue", "metavision", "both"]}), "pooled")
     assert len(whole.columns) == 215
     assert table(whole, "data_source", "age", "apache_3j_bodysystem", "apache_2_bodysystem") == [
-        ("mimic", 50.0, None, None), ("mimic", 91.4, "Heart", "Heart A"), ("reg", None, None, None)]
+        ("pooled", 50.0, None, None), ("pooled", 91.4, "Heart", "Heart A"), ("reg", None, None, None)]
     comp = {(r.variable, r.data_source): r.percent for r in merge.completion_table(whole).collect()}
-    assert comp[("age", "mimic")] == 100.0 and comp[("apache_3j_diagnosis", "mimic")] == 50.0 and comp[("gender", "mimic")] is None
+    assert comp[("age", "pooled")] == 100.0 and comp[("apache_3j_diagnosis", "pooled")] == 50.0 and comp[("gender", "pooled")] is None
     avail = merge.availability_table(whole)
-    assert {r.variable for r in PR.common_variables(avail, "data_source", ["mimic", "reg"]).collect()} == set()
+    assert {r.variable for r in PR.common_variables(avail, "data_source", ["pooled", "reg"]).collect()} == set()
 
 
 def test_crosstab_margins_add_up(rows):

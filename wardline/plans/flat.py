@@ -95,7 +95,7 @@ TEXT_PAIRS = {
 TEXT_PERCENT_PAIRS = {"spo2": "saturate", "hematocrit": "pcv"}
 TEXT_COPIES = {
     "icu_id": "icu_id", "icu_los_days": "lengthofstay", "icu_death": "mortality", "diabetes_mellitus": "diabetes",
-    "aids": "aids", "ventilated_apache": "mechanical_first_24h", "apache_2_diagnosis": "anzics_id",
+    "aids": "aids", "ventilated_apache": "mechanical_first_24h", "apache_2_diagnosis": "target_id",
 }
 
 # study layout
@@ -248,7 +248,7 @@ def text_fields(source: str) -> dict[str, Column | str | None]:
         "gender": S.map_codes("sex", TEXT_GENDER), "weight": kg, "height": cm, "bmi": S.bmi(kg, cm),
         "apache_post_operative": (F.col("operative") == POST_OPERATIVE).cast("int"),
         **TEXT_COPIES,
-        "apache_2_diagnosis": X.code_text("anzics_id"),
+        "apache_2_diagnosis": X.code_text("target_id"),
     }
     for end, side in (("min", "lowest"), ("max", "highest")):
         for stem, src in TEXT_PAIRS.items():
@@ -259,10 +259,13 @@ def text_fields(source: str) -> dict[str, Column | str | None]:
 
 
 def text_extract(df: DataFrame, older: DataFrame, code_map: DataFrame, source: str) -> DataFrame:
-    """Cohort, repaired text, two-step diagnosis lookup and header of a text registry."""
+    """Cohort, repaired text, two-step diagnosis lookup and header of a text registry.
+
+    ``code_map`` has code, name, target_id, target_name and target_operative; a row with a null is ignored.
+    """
     kept = text_cohort(text_prepare(df, older)).where(F.col("excluded") == 0)
-    dx = code_map.select("nicst_id", "nicst_name", "anzics_id", "anzics_name", "anzics_operative")
-    coded = J.two_step_lookup(kept, dx, ("apachecode", "nicst_id"), ("operative", "anzics_operative"), ["anzics_id"])
+    dx = code_map.select("code", "name", "target_id", "target_name", "target_operative")
+    coded = J.two_step_lookup(kept, dx, ("apachecode", "code"), ("operative", "target_operative"), ["target_id"])
     return apply_field_map(coded, text_fields(source), header_schema())
 
 
