@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, simhash
+from . import bpe_codec, exact_dedup, packing, simhash, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -43,6 +44,22 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.classes(_table(spark, folder, "documents"))
 
 
+@query("op4_best_fit_packing")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.packed_pieces(_table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query("op5_byte_bpe")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe_codec.round_trip(_table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"),
+                                public_tokenizers.PATTERN)
+
+
+@query("op9_token_counts")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.token_counts(_table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 @query("op10_simhash_dedup")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.classes(_table(spark, folder, "documents"))
