@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_codec, exact_dedup, packing, simhash, token_counts
+from . import bpe_codec, exact_dedup, packing, simhash, substring_dedup, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -44,6 +44,30 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.classes(_table(spark, folder, "documents"))
 
 
+@query("op3_substring_dedup", r"""
+with worded as (
+  select row_number() over () as id, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words
+  from documents
+), places as (
+  select id, unnest(range(1, len(words) - 33)) as first from worded
+), windows as (
+  select id, first, array_to_string(words[first:first + 34], ' ') as content from places join worded using (id)
+), repeated as (
+  select id, first from (select *, count(*) over (partition by content) as n from windows) where n > 1
+), gone as (
+  select distinct id, unnest(range(first, first + 35)) as place from repeated
+), each as (
+  select id, unnest(words) as word, unnest(range(1, len(words) + 1)) as place from worded
+), kept as (
+  select id, count(*) as n, string_agg(word, ' ' order by place) as text from each anti join gone using (id, place) group by id
+)
+select doc_id, len(words) as n_words, len(words) - coalesce(n, 0) as n_removed, sha256(coalesce(kept.text, '')) as kept_sha256
+from worded left join kept using (id)
+""")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    return substring_dedup.digests(_table(spark, folder, "documents"))
+
+
 @query("op4_best_fit_packing")
 def op4(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed_pieces(_table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
