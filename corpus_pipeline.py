@@ -2,23 +2,45 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from wardline.llm import exact_dedup, simhash
+from wardline.llm import exact_dedup, packing, quality_classifier, simhash, substring_dedup
 from wardline.llm.common import written
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier does not reject."""
+    model = quality_classifier.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality_classifier.keep(docs, model)
+
+
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of equal texts."""
     return exact_dedup.dedup(docs)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of linked fingerprints."""
     return simhash.dedup(docs)
 
 
-STAGES = [("exact dedup", exact), ("simhash near-dedup", near)]
+def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the passages that occur elsewhere among them."""
+    return substring_dedup.remove(docs)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents in sequences for training."""
+    return packing.packed_pieces(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+STAGES = [
+    ("quality classifier", quality), ("exact dedup", exact), ("simhash near-dedup", near),
+    ("substring dedup", substrings), ("best-fit packing", packed),
+]
 
-#: Hash-based and iterative stages have no SQL form; tests hold the stages against brute force.
+#: A trained model and XXH64 have no SQL form; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_codec, exact_dedup, packing, simhash, substring_dedup, token_counts
+from . import bpe_codec, chat_tree, exact_dedup, packing, quality_classifier, simhash, substring_dedup, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -44,6 +44,30 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.classes(_table(spark, folder, "documents"))
 
 
+@query("op2_chat_format", r"""
+with turns as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select -7, 0, 'user', '</s>[INST] ok [/INST]'
+  union all select -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+), said as (
+  select *, case when role = 'assistant' then text else '' end as learned,
+         length(regexp_replace(role || text, '[^<\[|\\]', '', 'g')) as escapes
+  from turns
+)
+select conv_id, count(*) as n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+       sum(length(learned))::bigint as loss_chars,
+       sha256(string_agg(learned, '' order by turn, role, text)) as loss_sha256,
+       sum(13 + length(role) + length(text) + escapes)::bigint as formatted_chars
+from said group by conv_id
+""")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    table = _table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    return chat_tree.read_back(chat_tree.prefix_trees(table.unionByName(extra)))
+
+
 @query("op3_substring_dedup", r"""
 with worded as (
   select row_number() over () as id, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words
@@ -79,6 +103,12 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
                                 public_tokenizers.PATTERN)
 
 
+@query("op6_quality_classifier")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    return quality_classifier.scores(docs, quality_classifier.fit(docs, _table(spark, folder, "labels")))
+
+
 @query("op9_token_counts")
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.token_counts(_table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
