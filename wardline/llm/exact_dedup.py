@@ -33,7 +33,7 @@ def _rows(docs: DataFrame, digest) -> DataFrame:
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     content = normalised("row.text")
     return whole.select("row", F.col("row.doc_id").alias("doc_id"), F.length(text_of("row.text")).alias("points"),
-                        digest(content).alias("digest"), content.alias("content"))
+                        digest(content).alias("digest"), content.alias("content"), F.sha2(content, 256).alias("text_sha256"))
 
 
 def _sha256(content: Column) -> Column:
@@ -56,15 +56,14 @@ def verdicts(docs: DataFrame, salts: int = SALTS, digest=_sha256) -> DataFrame:
     return merged.select("digest", F.when(shared, F.col("content")).alias("content"), "best", "size")
 
 
-def _judged(docs: DataFrame, columns: list, salts: int, digest) -> DataFrame:
-    """Rows of the documents with the verdict on their content."""
+def _judged(docs: DataFrame, salts: int, digest) -> DataFrame:
+    """Rows of the documents with the verdict on their content; contents travel only for shared digests."""
     table = written(verdicts(docs, salts, digest), "exact-dedup")
-    rows = _rows(docs, digest)
-    mine = [*columns, "digest", "best", "size"]
-    judged = rows.join(table.where("content is null").drop("content"), "digest").select(*mine)
+    rows, narrow = _rows(docs, digest), ["doc_id", "points", "text_sha256", "digest"]
+    judged = rows.select(*narrow).join(table.where("content is null").drop("content"), "digest")
     shared = table.where("content is not null")
     if not shared.isEmpty():
-        judged = judged.unionByName(rows.join(shared, ["digest", "content"]).select(*mine))
+        judged = judged.unionByName(rows.select(*narrow, "content").join(shared, ["digest", "content"]).drop("content"))
     return judged
 
 
@@ -77,7 +76,7 @@ def classes(docs: DataFrame, salts: int = SALTS, digest=_sha256) -> DataFrame:
 
     Ties (equal doc_id, length and content) are counted first, and the first of each count stays.
     """
-    judged = _judged(docs, ["doc_id", "points", F.sha2("content", 256).alias("text_sha256")], salts, digest)
+    judged = _judged(docs, salts, digest)
     counted = judged.groupBy("doc_id", "points", "digest", "text_sha256", "best", "size").agg(F.count("*").alias("ties"))
     each = counted.withColumn("nth", F.explode(F.sequence(F.lit(1), F.col("ties").cast("int"))))
     return each.select("doc_id", F.col("best.doc_id").alias("keep_id"), F.col("size").alias("group_size"),
@@ -86,10 +85,9 @@ def classes(docs: DataFrame, salts: int = SALTS, digest=_sha256) -> DataFrame:
 
 def dedup(docs: DataFrame, salts: int = SALTS, digest=_sha256) -> DataFrame:
     """The rows that stay, with all their columns."""
-    sha = F.sha2("content", 256).alias("text_sha256")
-    best = _judged(docs, ["doc_id", "points", sha], salts, digest).where(_is_best())
+    best = _judged(docs, salts, digest).where(_is_best())
     stay = written(best.groupBy("text_sha256", "doc_id", "points").agg(F.count("*").alias("ties")), "exact-dedup-stay")
-    rows = _rows(docs, digest).select("row", "doc_id", "points", sha).alias("r")
+    rows = _rows(docs, digest).select("row", "doc_id", "points", "text_sha256").alias("r")
     same = [F.col("r.text_sha256") == F.col("s.text_sha256"), F.col("r.doc_id").eqNullSafe(F.col("s.doc_id")),
             F.col("r.points") == F.col("s.points")]
     kept = rows.join(stay.alias("s"), same).select("r.row", "s.text_sha256", "s.ties")
