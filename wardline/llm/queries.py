@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_codec, chat_tree, exact_dedup, packing, quality_classifier, quality_rules, simhash, substring_dedup, token_counts
+from . import bpe_codec, chat_tree, exact_dedup, line_dedup, packing, quality_classifier, quality_rules, simhash, substring_dedup, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -109,6 +109,11 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
     return quality_classifier.scores(docs, quality_classifier.fit(docs, _table(spark, folder, "labels")))
 
 
+@query("op7_line_dedup")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    return line_dedup.summary(_table(spark, folder, "documents"))
+
+
 @query("op8_quality_rules")
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
