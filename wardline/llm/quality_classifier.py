@@ -60,16 +60,16 @@ def passages(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     n = int(bags.sum())
     kind = table[data]
     out = np.zeros((n, FEATURES), np.float32)
-    out[:, :CLASSES] = np.bincount(passage * CLASSES + kind, minlength=n * CLASSES).reshape(n, -1)
+    out[:, :CLASSES] = np.bincount(passage * CLASSES + kind, minlength=n * CLASSES).reshape(n, CLASSES)
     pair = passage[1:] == passage[:-1]
     code = (passage[:-1] * CLASSES + kind[:-1]) * CLASSES + kind[1:]
     width = CLASSES * CLASSES
-    out[:, CLASSES:CLASSES + width] = np.bincount(code[pair], minlength=n * width).reshape(n, -1)
+    out[:, CLASSES:CLASSES + width] = np.bincount(code[pair], minlength=n * width).reshape(n, width)
     three = passage[2:] == passage[:-2]
     wide = data.astype(np.uint32)
     mixed = ((wide[:-2] * 0x9E3779B1 + wide[1:-1] * 0x85EBCA77 + wide[2:] * 0xC2B2AE3D) & 0xFFFFFFFF) >> 24
     code = passage[:-2] * TRIGRAMS + mixed.astype(np.int64)
-    out[:, CLASSES + width:-1] = np.bincount(code[three], minlength=n * TRIGRAMS).reshape(n, -1)
+    out[:, CLASSES + width:-1] = np.bincount(code[three], minlength=n * TRIGRAMS).reshape(n, TRIGRAMS)
     lengths = np.maximum(out[:, :CLASSES].sum(axis=1, keepdims=True), 1)
     out = np.sqrt(out / lengths)
     if len(data) > 8:
