@@ -111,31 +111,48 @@ NEAR_VALUE = """case when itemid in (646, 220277) then 55 + l_quantity when item
 GAS_RULES = [(n, i, float(lo if lo is not None else -1e9), float(hi if hi is not None else 1e9)) for n, i, lo, hi in R.GASES]
 TERMS = " + ".join(f"coalesce({b} * {x}, {c})" for b, x, c in R.SPECIMEN_TERMS).replace("* fio2,", "* fio2_lab,")
 
+# what a charted item says, as a share or percent; anything else is no reading
+CHARTED = """case when itemid in (646, 220277) and valuenum > 0 and valuenum <= 100 then valuenum
+  when itemid in (223835, 727) and valuenum > 20 and valuenum <= 100 or itemid in (3420, 3422) and valuenum > 20 and valuenum <= 100 then valuenum / 100.0
+  when itemid in (223835, 727, 190) and valuenum > 0.2 and valuenum <= 1 then valuenum end"""
+IN_RANGE = "max(valuenum) filter (label = '{0}' and valuenum > 0 and valuenum between lo and hi)"
+
+
+def _drawn_columns():
+    for name, *_ in R.GASES:
+        value = IN_RANGE.format(name)
+        if name == "hematocrit":
+            value += " / 100.0"
+        if name == "fio2":  # percent and share come mixed, so they are brought to one scale before the maximum
+            value = value.replace("max(valuenum)", "max(case when valuenum >= 20 then valuenum / 100.0 else valuenum end)")
+        yield f"{value} as {'fio2_lab' if name == 'fio2' else name}"
+
+
+# the latest reading at or before a draw is the greatest (time, value) pair, a missing value included
 GAS_CTE = f"""
 {H.STAYS}, {H.observations_sql("glab", ["subject_id"], GAS_ITEMS, GAS_VALUE, GAS_TEXT, H.SLOT_MINUTES)},
 {H.observations_sql("near", ["icustay_id"], NEAR_ITEMS, NEAR_VALUE)}, grules(label, item, lo, hi) as ({values(GAS_RULES)}),
-gclean as (select s.subject_id, s.hadm_id, s.icustay_id, intime, charttime, label, case when itemid = 50800 then value end as sp,
-    case when valuenum > 0 and valuenum between lo and hi then
-      case when label = 'hematocrit' then valuenum / 100.0 when label = 'fio2' and valuenum >= 20 then valuenum / 100.0 else valuenum end end as v
-  from stays s join glab on s.subject_id = glab.subject_id and charttime between intime - interval 1 hour and outtime + interval 1 day
-  left join grules on itemid = item),
-gwide as (select subject_id, hadm_id, icustay_id, intime, charttime, max(sp) as specimen,
-    {', '.join(f"max(v) filter (label = '{n}') as {'fio2_lab' if n == 'fio2' else n}" for n, *_ in R.GASES)}
-  from gclean group by 1, 2, 3, 4, 5 having count(sp) < 2),
-s1 as (select icustay_id, charttime as t, max(case when valuenum > 0 and valuenum <= 100 then valuenum end) as spo2
-  from near where itemid in (646, 220277) group by 1, 2),
-s2 as (select icustay_id, charttime as t, max(case when itemid in (223835, 727) then case when valuenum > 0.2 and valuenum <= 1 then valuenum
-      when valuenum > 20 and valuenum <= 100 then valuenum / 100.0 end
-    when itemid in (3420, 3422) and valuenum > 20 and valuenum <= 100 then valuenum / 100.0
-    when itemid = 190 and valuenum > 0.2 and valuenum <= 1 then valuenum end) as fio2_chart
-  from near where itemid in (223835, 727, 3420, 3422, 190) and error is distinct from 1 group by 1, 2),
-g1 as (select g.*, case when s1.t >= g.charttime - interval 2 hour then s1.spo2 end as spo2
-  from (select * from gwide where po2 is not null) g asof left join s1 on g.icustay_id = s1.icustay_id and g.charttime >= s1.t),
-g2 as (select g1.*, case when s2.t >= g1.charttime - interval 4 hour then s2.fio2_chart end as fio2_chart
-  from g1 asof left join s2 on g1.icustay_id = s2.icustay_id and g1.charttime >= s2.t),
-g3 as (select *, coalesce(fio2_lab, fio2_chart) as fio2, 1 / (1 + exp(-({R.SPECIMEN_INTERCEPT} + {R.SPECIMEN_PO2} * po2 + {TERMS}))) as prob from g2),
-gas as (select *, coalesce(specimen, case when prob > 0.75 then 'ART' end) as specimen_pred,
-  (fio2 * 713 - pco2 / 0.8) - po2 as aado2_calc, po2 / fio2 as pao2fio2 from g3)"""
+drawn as (
+  select icustay_id, intime, charttime, max(glab.value) filter (itemid = 50800) as specimen, {', '.join(_drawn_columns())}
+  from stays join glab using (subject_id) left join grules on item = itemid
+  where charttime between intime - interval 1 hour and outtime + interval 1 day
+  group by icustay_id, intime, charttime
+  having count(glab.value) filter (itemid = 50800) <= 1
+), charted as (
+  select icustay_id, charttime as seen, itemid in (646, 220277) as saturation, max({CHARTED}) as reading
+  from near where itemid in (646, 220277) or error is distinct from 1 group by all
+), beside as (
+  select d.icustay_id, d.charttime,
+    (max({{'seen': seen, 'reading': reading}}) filter (saturation and seen >= d.charttime - interval 2 hour)).reading as spo2,
+    (max({{'seen': seen, 'reading': reading}}) filter (not saturation)).reading as fio2_chart
+  from drawn d left join charted c on c.icustay_id = d.icustay_id and c.seen between d.charttime - interval 4 hour and d.charttime
+  where d.po2 is not null group by all
+), gas as (
+  select *, coalesce(fio2_lab, fio2_chart) as fio2,
+    1 / (1 + exp(-({R.SPECIMEN_INTERCEPT} + {R.SPECIMEN_PO2} * po2 + {TERMS}))) as prob,
+    coalesce(specimen, case when prob > 0.75 then 'ART' end) as specimen_pred,
+    fio2 * 713 - pco2 / 0.8 - po2 as aado2_calc, po2 / fio2 as pao2fio2
+  from drawn join beside using (icustay_id, charttime))"""
 
 
 def gas_frames(t, first_day_only=False):
@@ -261,11 +278,8 @@ DEMO_VALUE = """case when itemid in (762, 226512) then l_quantity * 9 when itemi
   when itemid = 225082 then l_linenumber % 3 - 1 when l_orderkey % 2 = 0 then l_linenumber % 4 - 1 end"""
 PHRASES = ["never smoked", "Tobacco: denies.", "He does not drink or smoke", "ex-smoker since 1990", "Smokes 10 cigs/day", "sleeps well", "no etoh, tobacco"]
 PHRASE_CASE = "case doc_id % 11 " + " ".join(f"when {i} then ' {p}'" for i, p in enumerate(PHRASES)) + " else '' end"
-SMOKE_SQL = """case when regexp_matches(text, '(never|not|not a|none|non|no|no history of|no h/o of|denies|denies any|negative)[\\s-]?(smoke|smoking|tabacco|tobacco|cigar|cigs)', 'i')
-  or regexp_matches(text, '(smoke|smoking|tabacco|tobacco|tabacco abuse|tobacco abuse|cigs|cigarettes):[\\s]?(no|never|denies|negative)', 'i')
-  or regexp_matches(text, 'smoked no \\[x\\]|no etoh, tobacco|not drink alcohol or smoke|not drink or smoke|absence of current tobacco use|absence of tobacco use', 'i') then 0
-  when regexp_matches(text, 'ex-smok', 'i') then 1
-  when regexp_matches(text, 'smoke|smoking|tabacco|tobacco|cigar|cigs|marijuana|nicotine', 'i') then 2 end"""
+SMOKE_SQL = "case " + " ".join(
+    "when regexp_matches(text, '" + pattern + f"', 'i') then {code}" for pattern, code in R.SMOKING_NOTES) + " end"
 NOTES = f"notes as (select (doc_id - doc_id % 2) * 3 as subject_id, text || {PHRASE_CASE} as text from documents)"
 SERVICES = f"services as (select p_partkey - p_partkey % 2 as hadm_id, {H.duck_time(H.admit('p_partkey'), '(p_partkey % 40 - 10) * 60')} as transfertime, p_type as curr_service from part)"
 
@@ -288,20 +302,22 @@ def smoking_notes(spark, d):
 
 @check("clinical_demographics", "CON7 AGG10 AGG11 WIN1 WIN2", f"""
 with {H.STAYS}, {H.observations_sql("c", ["icustay_id"], DEMO_ITEMS, DEMO_VALUE)}, {NOTES}, {SERVICES},
-smk as (select subject_id, min({SMOKE_SQL}) as code from notes group by 1),
-demo as (select s.icustay_id, avg(valuenum) filter (itemid in (762, 226512) and valuenum between 20 and 400) as weight,
-    avg(valuenum) filter (itemid in (920, 226707) and valuenum between 10 and 100) as height,
-    max(valuenum) filter (itemid = 225082 and valuenum >= 0) as pregnant,
-    max(case when itemid = 225108 and valuenum = 1 then 2 when itemid in (227687, 225108) and valuenum >= 0 then valuenum end) as smoking
-  from stays s join c on s.icustay_id = c.icustay_id and charttime < intime + interval 1 day and coalesce(error, 0) <> 1 and itemid <> 5 group by 1),
-serv as (select icustay_id, curr_service, row_number() over (partition by icustay_id order by transfertime desc, curr_service) as rn
-  from stays join services using (hadm_id) where transfertime < intime + interval 1 day)
-select s.subject_id, s.hadm_id, s.icustay_id, round(weight, 8) as weight, round(height, 8) as height, pregnant,
-  case cast(coalesce(case when smoking in (0, 1, 2) then smoking end, code) as integer) when 0 then 'Never Smoked' when 1 then 'Ex-Smoker' when 2 then 'Current Smoker' else 'Unknown' end as smoking,
-  curr_service as first_service,
-  cast(case when row_number() over (partition by s.hadm_id order by intime, s.icustay_id) > 1 then 1 else 0 end as integer) as readmission
-from stays s left join demo on demo.icustay_id = s.icustay_id left join serv on serv.icustay_id = s.icustay_id and rn = 1
-left join smk on smk.subject_id = s.subject_id""")
+answers(item, code) as (values (227687, 0), (227687, 1), (227687, 2), (225108, 0), (225108, 1), (225108, 2)),
+early as (select stays.icustay_id, itemid, valuenum from c join stays using (icustay_id) where charttime < intime + interval 1 day and coalesce(error, 0) <> 1),
+body as (
+  select icustay_id, avg(case when itemid in (762, 226512) and valuenum between 20 and 400 then valuenum end) as weight,
+    avg(case when itemid in (920, 226707) and valuenum between 10 and 100 then valuenum end) as height,
+    max(case when itemid = 225082 and valuenum >= 0 then valuenum end) as pregnant,
+    max(case when itemid = 225108 and valuenum = 1 then 2 when itemid in (select item from answers) and valuenum >= 0 then valuenum end) as told
+  from early group by icustay_id),
+noted as (select subject_id, min({SMOKE_SQL}) as read from notes group by subject_id),
+habits(code, smoking) as (values (0, 'Never Smoked'), (1, 'Ex-Smoker'), (2, 'Current Smoker'))
+select s.subject_id, s.hadm_id, s.icustay_id, round(body.weight, 8) as weight, round(body.height, 8) as height, body.pregnant,
+  coalesce(habits.smoking, 'Unknown') as smoking,
+  (select first(curr_service order by transfertime desc, curr_service) from services v where v.hadm_id = s.hadm_id and v.transfertime < s.intime + interval 1 day) as first_service,
+  cast(exists (select 1 from stays e where e.hadm_id = s.hadm_id and (e.intime, e.icustay_id) < (s.intime, s.icustay_id)) as integer) as readmission
+from stays s left join body using (icustay_id) left join noted on noted.subject_id = s.subject_id
+left join habits on habits.code = coalesce(case when told in (select code from answers) then told end, read)""")
 def clinical_demographics(spark, d):
     t = Tables(spark, d)
     chart = H.observations(t, ["icustay_id"], DEMO_ITEMS, DEMO_VALUE)
@@ -387,22 +403,28 @@ COHORT_CTE = f"""{H.STAYS}, {SERVICES}, {H.observations_sql("hr", ["icustay_id"]
 patients as (select p_partkey as subject_id, case when p_size % 2 = 0 then 'F' else 'M' end as gender,
   case when p_partkey % 30 = 0 then timestamp '1750-03-01' else timestamp '1940-01-01' + to_days(cast(p_partkey * 911 % 30000 as integer)) end as dob from part where p_partkey % 6 = 0),
 adm as (select p_partkey as hadm_id, {H.duck_time(H.admit('p_partkey'), '-60 * (p_partkey % 100)')} as admittime from part where p_partkey % 2 = 0),
-serv as (select hadm_id, curr_service, row_number() over (partition by hadm_id order by transfertime desc, curr_service) as rn
-  from stays join services using (hadm_id) where transfertime < intime + interval 1 day),
-span as (select s.icustay_id, min(charttime) as intime_hr, max(charttime) as outtime_hr from stays s join hr on s.icustay_id = hr.icustay_id
-  and itemid in (211, 220045) and valuenum > 0 and charttime > intime - interval 1 day and charttime < outtime + interval 1 day
-  and error is distinct from 1 group by 1),
-dnr as (select icustay_id, min(charttime) filter (value = 'DNR / DNI') as dnrtime from hr where itemid in (128, 223758) and error is distinct from 1 group by 1),
-tt as (select s.subject_id, s.hadm_id, s.icustay_id, gender, intime_hr, outtime_hr, curr_service as first_service,
-  date_diff('microsecond', intime_hr, dnrtime) / 8.64e10 as dnrtime_days,
-  round(case when intime_hr > dob + interval 199 year then 91.6 else date_diff('microsecond', dob, intime_hr) / 8.64e10 / 365.242 end, 2) as age,
-  row_number() over (partition by s.subject_id order by intime_hr nulls last, s.icustay_id) as num,
-  rank() over (partition by s.subject_id order by admittime nulls last) as admission_rank
-  from stays s join patients p on s.subject_id = p.subject_id join adm on adm.hadm_id = s.hadm_id join serv on serv.hadm_id = s.hadm_id and serv.rn = 1
-  left join dnr on dnr.icustay_id = s.icustay_id left join span on span.icustay_id = s.icustay_id),
-cohort as (select *, cast(intime_hr is null as integer) as exclusion_nodata, cast(num > 1 as integer) as exclusion_readmission,
-  cast(coalesce(age < 16, false) as integer) as exclusion_age, cast(coalesce(outtime_hr - intime_hr < interval 4 hour, false) as integer) as exclusion_shortstay,
-  case when intime_hr is not null and num = 1 and age >= 16 and outtime_hr - intime_hr >= interval 4 hour then 0 else 1 end as excluded from tt)"""
+heard as (
+  select s.icustay_id,
+    min(charttime) filter (beat and charttime between intime - interval 1 day + interval 1 microsecond and outtime + interval 1 day - interval 1 microsecond) as intime_hr,
+    max(charttime) filter (beat and charttime between intime - interval 1 day + interval 1 microsecond and outtime + interval 1 day - interval 1 microsecond) as outtime_hr,
+    min(charttime) filter (itemid in (128, 223758) and value = 'DNR / DNI') as dnrtime
+  from stays s join (select *, itemid in (211, 220045) and valuenum > 0 as beat from hr where error is distinct from 1) o using (icustay_id)
+  group by s.icustay_id
+), person as (
+  select stays.*, gender, dob, admittime, intime_hr, outtime_hr, date_diff('microsecond', intime_hr, dnrtime) / 8.64e10 as dnrtime_days,
+    round(if(intime_hr > dob + interval 199 year, 91.6, date_diff('microsecond', dob, intime_hr) / 8.64e10 / 365.242), 2) as age,
+    (select first(curr_service order by transfertime desc, curr_service) from services v join stays w using (hadm_id)
+     where v.hadm_id = stays.hadm_id and v.transfertime < w.intime + interval 1 day) as first_service
+  from stays join patients using (subject_id) join adm using (hadm_id) left join heard using (icustay_id)
+), visits as (
+  select subject_id, list(icustay_id order by intime_hr nulls last, icustay_id) as in_order, list(admittime) as admitted
+  from person where first_service is not null group by subject_id
+), cohort as (
+  select person.*, list_position(in_order, icustay_id)::bigint as num, 1 + len(list_filter(admitted, lambda x: x < admittime)) as admission_rank,
+    (intime_hr is null)::integer as exclusion_nodata, (num > 1)::integer as exclusion_readmission, coalesce(age < 16, false)::integer as exclusion_age,
+    coalesce(outtime_hr < intime_hr + interval 4 hour, false)::integer as exclusion_shortstay,
+    (intime_hr is null or greatest(exclusion_readmission, exclusion_age, exclusion_shortstay) = 1)::integer as excluded
+  from person join visits using (subject_id) where first_service is not null)"""
 
 
 @check("clinical_cohort", "COH1 AGG7 AGG8 WIN1 WIN2 WIN3 DAT1 DAT4 DAT5", f"""

@@ -31,13 +31,13 @@ OFF_FRAMES = {"d1": "labresultoffset between -60 and 1440", "h1": "labresultoffs
 
 
 def _clean_sql(src, rules):
+    """Newest revision whose readings agree and lie in range, per stay, test and time."""
     return f"""rules(labname, stem, lo, hi, closed) as ({values(rules)}),
-ok as (select patientunitstayid, labname, labresultoffset, labresultrevisedoffset from {src} group by 1, 2, 3, 4 having count(distinct labresult) <= 1),
-v1 as (select {src}.*, row_number() over (partition by {src}.patientunitstayid, {src}.labname, {src}.labresultoffset order by {src}.labresultrevisedoffset desc) as rn
-  from {src} join ok on {src}.patientunitstayid = ok.patientunitstayid and {src}.labname = ok.labname and {src}.labresultoffset = ok.labresultoffset
-    and {src}.labresultrevisedoffset = ok.labresultrevisedoffset
-  where exists (select 1 from rules r where r.labname = {src}.labname and labresult <= hi and (labresult > lo or (closed and labresult = lo)))),
-v2 as (select distinct patientunitstayid, v1.labname, stem, labresultoffset, labresult from v1 join rules using (labname) where rn = 1)"""
+said as (
+  select patientunitstayid, labname, labresultoffset, labresultrevisedoffset, min(labresult) as low, max(labresult) as high from {src} group by all
+), clean as (
+  select patientunitstayid, labname, stem, labresultoffset, arg_max(low, labresultrevisedoffset) as labresult
+  from said join rules using (labname) where low = high and low <= hi and (low > lo or closed and low = lo) group by all)"""
 
 
 LAB_STEMS = [r[0] for r in R.LABS]
@@ -45,14 +45,14 @@ LAB_STEMS = [r[0] for r in R.LABS]
 
 @check("offset_labs_wide", "CON5 JON9 WIN5 AGG13 AGG1 FLT1", f"""
 with {H.offset_labs_sql("lab", NAMES, RESULT)}, {_clean_sql("lab", RULES)}
-select patientunitstayid, labresultoffset, {', '.join(f"max(labresult) filter (stem = '{s}') as {s}" for s in LAB_STEMS)} from v2 group by 1, 2""")
+select patientunitstayid, labresultoffset, {', '.join(f"max(labresult) filter (stem = '{s}') as {s}" for s in LAB_STEMS)} from clean group by 1, 2""")
 def offset_labs_wide(spark, d):
     return offset.labs_wide(H.offset_labs(Tables(spark, d), NAMES, RESULT))
 
 
 @check("offset_labs", "CON5 AGG3 FLT4", f"""
 with {H.offset_labs_sql("lab", NAMES, RESULT)}, {_clean_sql("lab", RULES)},
-w as (select patientunitstayid, labresultoffset, stem, max(labresult) as v from v2 group by 1, 2, 3)
+w as (select patientunitstayid, labresultoffset, stem, max(labresult) as v from clean group by 1, 2, 3)
 select patientunitstayid, {', '.join(f"{e}(v) filter (stem = '{s}' and {c}) as {f}_{s}_{e}" for f, c in OFF_FRAMES.items() for s in LAB_STEMS for e in ENDS)}
 from w where {OFF_FRAMES['d1']} group by 1""")
 def offset_labs(spark, d):
@@ -62,7 +62,7 @@ def offset_labs(spark, d):
 @check("offset_blood_gas", "CON2 AGG14 MTH5 MTH7", f"""
 with {H.offset_labs_sql("lab", GAS_NAMES, GAS_RESULT)}, {_clean_sql("lab", GAS_RULES)},
 w as (select patientunitstayid, labresultoffset, max(labresult) filter (stem = 'pao2') as pao2, max(labresult) filter (stem = 'paco2') as paco2,
-  max(labresult) filter (stem = 'ph') as ph, max(case when stem = 'fio2' then case when labresult >= 20 then labresult / 100.0 else labresult end end) as fio2 from v2 group by 1, 2)
+  max(labresult) filter (stem = 'ph') as ph, max(case when stem = 'fio2' then case when labresult >= 20 then labresult / 100.0 else labresult end end) as fio2 from clean group by 1, 2)
 select patientunitstayid, {', '.join(f"round({e}({x}) filter ({c}), 6) as {f}_{s}_{e}" for f, c in OFF_FRAMES.items() for s, x in (("pao2fio2ratio", "pao2 / fio2"), ("pao2", "pao2"), ("paco2", "paco2"), ("ph", "ph")) for e in ENDS)}
 from w where {OFF_FRAMES['d1']} group by 1""")
 def offset_blood_gas(spark, d):
@@ -136,22 +136,29 @@ def _patients(t):
 
 @check("offset_cohort", "COH2 JON16 WIN4 WIN10 JON8", f"""
 with pt as (select {', '.join(f"{e} as {n}" for n, e in PATIENT.items())} from supplier),
-vp as (select l_suppkey as s from lineitem where l_suppkey % 5 <> 0 and l_suppkey % 11 <> 3), lb as (select l_suppkey as s from lineitem where l_suppkey % 11 <> 4),
-hv as (select hospitalid, hospitaldischargeyear, count(*) as n from pt join vp on s = patientunitstayid group by 1, 2),
-hl as (select hospitalid, hospitaldischargeyear, count(*) as n from pt join lb on s = patientunitstayid group by 1, 2),
-st as (select patientunitstayid, row_number() over (partition by uniquepid order by hospitaldischargeyear, hospitaldischargeoffset desc, patienthealthsystemstayid, patientunitstayid) as rn
-  from pt where unitdischargeoffset >= 240 and unitstaytype <> 'stepdown/other'),
-j as (select pt.*, st.rn, hv.n as nv, hl.n as nl, pt.patientunitstayid % 4 > 0 as in_pred, pt.patientunitstayid % 2 as readmit,
-    pt.patientunitstayid % 100 as score, case when pt.patientunitstayid % 5 = 0 then -1 else 0.3 end as pred
-  from pt left join st using (patientunitstayid) left join hv using (hospitalid, hospitaldischargeyear) left join hl using (hospitalid, hospitaldischargeyear))
-select patientunitstayid, case when in_pred then readmit end as readmission_apache, case when in_pred then 0 end as readmission_status,
-  case when score > 1 and pred = -1 then 1 else 0 end as readmission_apache_pred,
-  case when (score > 1 and pred = -1) or (in_pred and readmit = 1) then 1 else 0 end as readmission_apache_combined,
-  case when age = '> 89' then 0 when age = '' then 0 when cast(age as double) < 16 then 1 else 0 end as exclusion_non_adult,
-  case when coalesce(hospitaldischargestatus, '') = '' then 1 when unitdischargestatus not in ('Expired', 'Alive') then 1 else 0 end as exclusion_missingoutcome,
-  case when rn = 1 then 0 else 1 end as exclusion_short_or_secondary_stay, case when nv > 0 and nl > 0 then 0 else 1 end as exclusion_missing_data,
-  case when (age in ('> 89', '') or try_cast(age as double) >= 16) and coalesce(hospitaldischargestatus, '') <> '' and unitdischargestatus in ('Expired', 'Alive')
-    and rn = 1 and nv > 0 and nl > 0 then 0 else 1 end as excluded from j""")
+facts as (
+  select *, age = '' or coalesce(try_cast(ltrim(age, '> ') as double), 0) >= 16 as adult,
+    coalesce(hospitaldischargestatus, '') <> '' and coalesce(unitdischargestatus in ('Expired', 'Alive'), true) as known,
+    coalesce(hospitaldischargestatus, '') <> '' and coalesce(unitdischargestatus in ('Expired', 'Alive'), false) as settled,
+    patientunitstayid % 4 > 0 as predicted, patientunitstayid % 4 > 0 and patientunitstayid % 2 = 1 as again,
+    patientunitstayid % 100 > 1 and patientunitstayid % 5 = 0 as refused
+  from pt
+), earliest as (
+  select first(patientunitstayid order by hospitaldischargeyear, hospitaldischargeoffset desc, patienthealthsystemstayid, patientunitstayid) as patientunitstayid
+  from pt where unitdischargeoffset >= 240 and unitstaytype <> 'stepdown/other' group by uniquepid
+), equipped as (
+  select hospitalid, hospitaldischargeyear from pt join lineitem on l_suppkey = patientunitstayid group by all
+  having bool_or(l_suppkey % 5 <> 0 and l_suppkey % 11 <> 3) and bool_or(l_suppkey % 11 <> 4)
+), judged as (
+  select *, patientunitstayid in (select patientunitstayid from earliest) as is_first,
+    (hospitalid, hospitaldischargeyear) in (select (hospitalid, hospitaldischargeyear) from equipped) as has_data
+  from facts)
+select patientunitstayid, if(predicted, patientunitstayid % 2, null) as readmission_apache, if(predicted, 0, null)::integer as readmission_status,
+  refused::integer as readmission_apache_pred, (refused or again)::integer as readmission_apache_combined,
+  (not adult)::integer as exclusion_non_adult, (not known)::integer as exclusion_missingoutcome,
+  (not is_first)::integer as exclusion_short_or_secondary_stay, (not has_data)::integer as exclusion_missing_data,
+  (not (adult and settled and is_first and has_data))::integer as excluded
+from judged""")
 def offset_cohort(spark, d):
     t = Tables(spark, d)
     lab = t.lineitem.where("l_suppkey % 11 <> 4").selectExpr("l_suppkey as patientunitstayid", "l_linenumber as labresultoffset")
@@ -325,12 +332,12 @@ hrv as (select s.icustay_id, max(valuenum) as hi, min(valuenum) filter (charttim
 adm2 as (select adm.*, p.p_size, {H.duck_time(H.admit('p_partkey') + ' + 100 + p_partkey % 300')} as dischtime,
   case when p_partkey % 8 = 0 then {H.duck_time(H.admit('p_partkey') + ' + 40')} end as deathtime from adm join part p on p_partkey = hadm_id)
 select cast(c.icustay_id as varchar) as encounter_id, cast(c.subject_id as varchar) as patient_id,
-  round(date_diff('day', cast(dob as date), cast(intime as date)) / 365.242, 4) as age, c.gender,
+  round(date_diff('day', cast(p.dob as date), cast(s.intime as date)) / 365.242, 4) as age, c.gender,
   case when p_size % 6 = 0 then 'Caucasian' when p_size % 6 = 1 then 'Hispanic' when p_size % 6 = 2 then 'Asian' else 'Other/Unknown' end as ethnicity,
   case when p_size % 4 = 0 then 'Direct Admit' when p_size % 4 = 1 then 'Emergency Department' end as hospital_admit_source,
   case when p_size % 5 = 0 then 'Skilled Nursing Facility' when p_size % 5 = 1 then 'Home' when p_size % 5 = 2 then 'Death' end as hospital_disch_location,
-  cast(date_diff('day', cast(admittime as date), cast(dischtime as date)) as double) as hospital_los_days,
-  round(date_diff('microsecond', admittime, intime) / 8.64e10, 4) as pre_icu_los_days, cast(coalesce(deathtime <= outtime, false) as integer) as icu_death,
+  cast(date_diff('day', cast(a.admittime as date), cast(dischtime as date)) as double) as hospital_los_days,
+  round(date_diff('microsecond', a.admittime, s.intime) / 8.64e10, 4) as pre_icu_los_days, cast(coalesce(deathtime <= s.outtime, false) as integer) as icu_death,
   cast(p_size % 3 = 0 as integer) as elective_surgery, hi as d1_heartrate_max, lo1 as h1_heartrate_min, 'USA' as country
 from cohort c join stays s on s.icustay_id = c.icustay_id join adm2 a on a.hadm_id = c.hadm_id join patients p on p.subject_id = c.subject_id
 left join hrv on hrv.icustay_id = c.icustay_id where excluded = 0""")
