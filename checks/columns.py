@@ -66,12 +66,15 @@ def mask_filter(spark, d):
     return joined.where(~S.is_true(F.col("toxic") > 0)).na.drop(subset=["quality"])
 
 
-@check("numeric_text", "FLT6 SCH3 STR3", """
-select event_id, try_cast(case when regexp_matches(substr(props, 7, 2), '^[-]?[0-9]+[.]?[0-9]*$')
-  then substr(props, 7, 2) end as double) as k from events""")
+@check("numeric_text", "FLT6 SCH3 STR3", r"""
+with whole as (select event_id, regexp_extract(props, '^\{"k": (.*)\}$', 1) as k from events),
+mixed as (select event_id, case event_id % 5 when 0 then '-' || k || '.5' when 1 then k || ' mg' when 2 then '.' else k end as k from whole)
+select event_id, case when regexp_matches(k, '^-?[0-9]+\.?[0-9]*$') then try_cast(k as double) end as k from mixed""")
 def numeric_text(spark, d):
-    cut = Tables(spark, d).events.withColumn("cut", F.substring("props", 7, 2))
-    return cut.select("event_id", S.numeric_text("cut").alias("k"))
+    k = F.regexp_extract("props", r'^\{"k": (.*)\}$', 1)
+    mixed = F.when(F.col("event_id") % 5 == 0, F.concat(F.lit("-"), k, F.lit(".5"))).when(
+        F.col("event_id") % 5 == 1, F.concat(k, F.lit(" mg"))).when(F.col("event_id") % 5 == 2, F.lit(".")).otherwise(k)
+    return Tables(spark, d).events.select("event_id", S.numeric_text(mixed).alias("k"))
 
 
 @check("recode_groups", "PRJ5", """
@@ -236,11 +239,12 @@ def age_years(spark, d):
 
 @check("year_filter", "FLT7 DAT6 DAT7 SCH4", """
 select o_orderkey, year(o_orderdate) as y, round(o_totalprice / 60.0 / 24.0, 8) as day_part,
-  try_cast(substr(cast(o_orderdate as varchar), 1, 10) as timestamp) as parsed
+  try_cast(cast(cast(o_orderdate as date) as varchar) || ' ' || cast(10 + o_orderkey % 17 as varchar) || ':30:15.25' as timestamp) as parsed
 from orders where year(o_orderdate) between 1995 and 1996""")
 def year_filter(spark, d):
     kept = Tables(spark, d).orders.where(S.year_between("o_orderdate", 1995, 1996))
-    text = F.substring(F.col("o_orderdate").cast("string"), 1, 10)
+    hour = (F.col("o_orderkey") % 17 + 10).cast("string")  # 24 to 26 are no hours
+    text = F.concat(F.col("o_orderdate").cast("date").cast("string"), F.lit(" "), hour, F.lit(":30:15.25"))
     return kept.select("o_orderkey", F.year("o_orderdate").cast("long").alias("y"),
                        F.round(S.minutes_to_days("o_totalprice"), 8).alias("day_part"), S.to_datetime(text).alias("parsed"))
 

@@ -113,11 +113,12 @@ def table_one(spark, d):
 
 
 @check("describe_by", "AGG29", """
-select l_returnflag, count(l_extendedprice) as n, round(avg(l_extendedprice), 4) as mean, round(stddev(l_extendedprice), 4) as sd,
+select nullif(l_returnflag, 'R') as flag, count(l_extendedprice) as n, round(avg(l_extendedprice), 4) as mean, round(stddev(l_extendedprice), 4) as sd,
   round(quantile_cont(l_extendedprice, 0.05), 4) as p5, round(quantile_cont(l_extendedprice, 0.5), 4) as median,
   round(quantile_cont(l_extendedprice, 0.95), 4) as p95 from lineitem group by 1""")
 def describe_by(spark, d):
-    return rounded(PR.describe_by(Tables(spark, d).lineitem, "l_returnflag", "l_extendedprice"))
+    line = Tables(spark, d).lineitem.select(F.nullif("l_returnflag", F.lit("R")).alias("flag"), "l_extendedprice")
+    return rounded(PR.describe_by(line, "flag", "l_extendedprice"))
 
 
 @check("histogram", "AGG25", """
@@ -228,6 +229,38 @@ def prediction_histogram(spark, d):
     return out.select("bin", F.round("left_edge", 4).alias("left_edge"), "n", F.round("density", 6).alias("density"))
 
 
+@check("glm_two_by_two", "ML4 ML5 ML7", """
+with cells as (
+  select l_linestatus = 'O' as a, l_quantity > 25 as b, count(*) as n, count(*) filter (l_returnflag = 'N') as k from lineitem group by all
+), logits as (select a, b, ln(k / (n - k)) as z, 1 / k + 1 / (n - k) as v from cells),
+signs(term, a, b, s) as (values ('(intercept)', false, false, 1), ('a', true, false, 1), ('a', false, false, -1), ('b', false, true, 1), ('b', false, false, -1),
+  ('ab', true, true, 1), ('ab', true, false, -1), ('ab', false, true, -1), ('ab', false, false, 1))
+select term, round(sum(s * z), 4) + 0.0 as coefficient, round(sqrt(sum(v)), 4) as std_error, round(exp(sum(s * z)), 4) as odds_ratio
+from signs join logits using (a, b) group by term""")
+def glm_two_by_two(spark, d):
+    """A saturated model: its estimates are differences of the log odds of four cells."""
+    a, b = (F.col("l_linestatus") == "O").cast("int"), (F.col("l_quantity") > 25).cast("int")
+    line = Tables(spark, d).lineitem.select(
+        (F.col("l_returnflag") == "N").cast("int").alias("y"), a.alias("a"), b.alias("b"), (a * b).alias("ab"))
+    fitted = M.fit_logit(line, "y", ["a", "b", "ab"])
+    rows = [(n, round(x, 4), round(e, 4), round(o, 4)) for n, x, e, o in M.coefficients(fitted, line)]
+    return spark.createDataFrame(rows, "term string, coefficient double, std_error double, odds_ratio double")
+
+
+@check("glm_score_equations", "ML3 ML5 ML7 ML11", """
+select term, count(*) as n, 0.0::double as residual from orders, (values ('one'), ('s1'), ('s2'), ('s3'), ('late')) t(term) group by term""")
+def glm_score_equations(spark, d):
+    """At the maximum the residuals sum to zero against every term of the spline design."""
+    orders = Tables(spark, d).orders.select(
+        (F.col("o_orderstatus") == "F").cast("int").alias("y"), "o_totalprice", (F.year("o_orderdate") > 1997).cast("int").alias("late"))
+    train = M.with_splines(orders, M.spline_bounds(orders, ["o_totalprice"]))
+    terms = {"one": F.lit(1.0), "late": F.col("late"), **{f"s{k}": F.col(f"o_totalprice_s{k}") for k in (1, 2, 3)}}
+    scored = M.score(M.fit_logit(train, "y", ["late", *(f"o_totalprice_s{k}" for k in (1, 2, 3))]), train)
+    each = F.explode(F.array(*[F.struct(F.lit(n).alias("term"), ((F.col("y") - F.col("p")) * x).alias("r")) for n, x in terms.items()]))
+    return scored.select(each.alias("e")).groupBy("e.term").agg(
+        F.count("*").alias("n"), (F.round(F.sum("e.r"), 4) + 0.0).alias("residual"))
+
+
 @check("glm_fit", "ML4 ML5 ML7 ML11")
 def glm_fit(spark, d):
     t = Tables(spark, d)

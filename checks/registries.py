@@ -202,7 +202,8 @@ CODED_SQL = f"""reg as (select {', '.join(f"{e} as {n}" for n, e in CODED.items(
 fl as (select *, cast(not coalesce(age >= 16, false) as integer) as exclusion_age, cast(coalesce(hosp_outcm < 0 or hosp_outcm > 8, false) as integer) as exclusion_outcome,
   cast(coalesce(readmitted = 1, false) as integer) as exclusion_readmission, cast(not coalesce(apache3riskofdeath > 0, false) as integer) as exclusion_noprediction,
   cast(hrlo is null or hrhi is null as integer) as exclusion_nodata from reg where year(hosp_ds_dtm) between 2014 and 2015),
-kept as (select *, row_number() over (partition by patientid, site_id order by icu_ad_dtm, o_rank) as rn from (select *, row_number() over () as o_rank from fl)
+kept as (select *, row_number() over (partition by patientid, site_id
+    order by icu_ad_dtm, {', '.join(f'{c} nulls first' for c in sorted(CODED))}) as rn from fl
   where exclusion_age + exclusion_outcome + exclusion_readmission + exclusion_noprediction + exclusion_nodata = 0)"""
 EXCL = ["exclusion_age", "exclusion_outcome", "exclusion_readmission", "exclusion_noprediction", "exclusion_nodata"]
 
@@ -216,19 +217,6 @@ def coded_cohort(spark, d):
     return rounded(attrition(flat.coded_cohort(coded_registry(Tables(spark, d))), EXCL))
 
 
-@check("coded_extract", "SCH6 SCH7 PRJ6 MTH1 MTH3 MTH11 LOG1 JON13 WIN11 DAT7", f"""
-with {CODED_SQL}, first as (select patientid, site_id, min(icu_ad_dtm) as icu_ad_dtm from kept group by 1, 2),
-m as (select distinct split_part(code, '.', 1) as code, po from (select cast(100 + p_partkey % 25 as varchar) || '.' || cast(p_partkey % 3 as varchar) as code,
-  case when p_partkey % 2 = 0 then 1 else 0 end as po from part where p_partkey % 50 < 25))
-select cast(site_id as varchar) || '_' || cast(patientid as varchar) as encounter_id, count(*) as n, max(m.po) as apache_post_operative
-from first join kept using (patientid, site_id, icu_ad_dtm) left join m on m.code = ap3diag where rn = 1 group by 1""")
-def coded_extract(spark, d):
-    t = Tables(spark, d)
-    out = flat.coded_extract(coded_registry(t), text_map(t), "registry")
-    # patients with two stays on one day have no defined first stay, so only counts are compared
-    return out.groupBy("encounter_id").agg(F.count("*").alias("n"), F.max("apache_post_operative").alias("apache_post_operative"))
-
-
 SEG = {"icu_stay_type": "case caretype when 1 then 'ICU' when 2 then 'HDU' end",
        "ethnicity": "case indigenous when 1 then 'Indigenous' when 0 then 'Australian' when -1 then 'Unknown' end",
        "smoking_status": "case smokingstatus when 1 then 'Current Smoker' when 2 then 'Ex-Smoker' when 3 then 'Never Smoked' when 4 then 'Unknown' end",
@@ -240,6 +228,17 @@ SEG = {"icu_stay_type": "case caretype when 1 then 'ICU' when 2 then 'HDU' end",
        "icu_admit_source": "case icu_srce when 1 then 'Operating Room / Recovery' when 2 then 'Accident & Emergency' when 3 then 'Floor' when 4 then 'Other ICU' when 5 then 'Other Hospital' when 6 then 'Other ICU' end"}
 
 
+@check("coded_extract", "SCH6 SCH7 PRJ6 MTH1 MTH3 MTH11 LOG1 JON13 WIN11 DAT7", f"""
+with {CODED_SQL},
+posts as (select distinct cast(100 + p_partkey % 25 as varchar) as code, (p_partkey % 2 = 0)::integer as po from part where p_partkey % 50 < 25)
+select concat(site_id, '_', patientid) as encounter_id, po as apache_post_operative, {', '.join(f"{e} as {n}" for n, e in SEG.items())}
+from kept left join posts on code = ap3diag where rn = 1""")
+def coded_extract(spark, d):
+    t = Tables(spark, d)
+    out = flat.coded_extract(coded_registry(t), text_map(t), "registry")
+    return rounded(out.select("encounter_id", "apache_post_operative", *SEG), 6)
+
+
 @check("coded_fields", "SCH7 PRJ6 MTH1 MTH3 MTH11 LOG1 DAT7", f"""
 with {CODED_SQL} select {', '.join(f"{e} as {n}" for n, e in SEG.items())}, count(*) as n from reg group by all""")
 def coded_fields(spark, d):

@@ -198,13 +198,14 @@ def pf_ratio(po2, fio2) -> Column:
 
 # --- time -----------------------------------------------------------------------------------
 def micros(ts) -> Column:
-    """Microseconds since the epoch of a zone-free timestamp (session zone UTC)."""
-    return F.unix_micros(_col(ts).cast("timestamp"))
+    """Microseconds since 1970 of a zone-free timestamp, the same in every session zone."""
+    return F.timestamp_diff("MICROSECOND", F.expr("timestamp_ntz'1970-01-01 00:00:00'"), _col(ts).cast("timestamp_ntz"))
 
 
 def seconds(ts) -> Column:
-    """Whole seconds since the epoch, rounded down."""
-    return _col(ts).cast("timestamp").cast("long")
+    """Whole seconds since 1970, rounded down."""
+    exact = micros(ts)
+    return F.call_function("div", exact - F.pmod(exact, F.lit(1_000_000)), F.lit(1_000_000))
 
 
 def elapsed(start, end, unit: str = "minutes") -> Column:

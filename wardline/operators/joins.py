@@ -7,16 +7,6 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import within
 
-# A code map is broadcast only after a count shows it holds no more rows than this.
-SMALL_MAP_ROWS = 200_000
-
-
-def small_side(dim: DataFrame, max_rows: int = SMALL_MAP_ROWS) -> DataFrame:
-    """Broadcast hint for a table whose row count was checked; a larger table joins by shuffle."""
-    counted = dim.limit(max_rows + 1).count()
-    return F.broadcast(dim) if counted <= max_rows else dim
-
-
 def assemble(base: DataFrame, parts: list[DataFrame], key: str) -> DataFrame:
     """Left-join concept tables (one row per key each) onto the base table."""
     out = base
@@ -133,7 +123,7 @@ def lookup(df: DataFrame, dim: DataFrame, on: dict[str, str], take: dict[str, st
     for d, m in on.items():
         eq = df[d] == F.col(keys[m])
         cond = eq if cond is None else cond & eq
-    return df.join(small_side(side), cond, "left").drop(*keys.values())
+    return df.join(side, cond, "left").drop(*keys.values())
 
 
 def two_step_lookup(

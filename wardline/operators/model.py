@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.ml.feature import RFormula
 from pyspark.ml.regression import GeneralizedLinearRegression
 from pyspark.sql import Column, DataFrame
@@ -91,7 +92,12 @@ def fit_logit(df: DataFrame, outcome: str, covariates: list[str]):
     ).fit(df)
     glm = GeneralizedLinearRegression(family="binomial", link="logit", featuresCol="features",
                                       labelCol="label", predictionCol="p", maxIter=50)
-    return formula, glm.fit(formula.transform(df))
+    # every iteration reads the narrow design, not the plan above it
+    design = formula.transform(df).select("features", "label").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return formula, glm.fit(design)
+    finally:
+        design.unpersist()
 
 
 def score(fitted, df: DataFrame) -> DataFrame:

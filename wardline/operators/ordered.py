@@ -13,7 +13,6 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -40,16 +39,14 @@ def number_cell(c, width: float) -> Column:
 def with_quantile_cell(df: DataFrame, sample: DataFrame, column: str, out: str, cells: int | None = None) -> DataFrame:
     """Add the cell number of a numeric column, with approximate quantiles of ``sample`` as bounds.
 
-    Only the bounds (one number per shuffle partition unless ``cells`` is given) reach the driver.
-    They enter the plan as constants, so a recomputed task sees the same cells.
+    The bounds (one number per shuffle partition unless ``cells`` is given) are a scalar subquery: they are
+    computed when the plan runs, and building the plan starts no job.
     """
     cells = cells or max(64, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    probs = [i / cells for i in range(1, cells)]
-    bounds = sorted(set(sample.approxQuantile(column, probs, 1 / (4 * cells))))
-    if not bounds:
-        return df.withColumn(out, F.lit(0.0))
-    splits = [-math.inf, *bounds, math.inf]
-    return Bucketizer(splits=splits, inputCol=column, outputCol=out, handleInvalid="keep").transform(df)
+    probs = F.array(*[F.lit(i / cells) for i in range(1, cells)])
+    bounds = sample.agg(F.array_distinct(F.percentile_approx(column, probs, F.lit(4 * cells)))).scalar()
+    below = F.size(F.filter("__bounds", lambda bound: bound < F.col(column)))
+    return df.withColumn("__bounds", bounds).select(*df.columns, F.coalesce(below, F.lit(0)).cast("double").alias(out))
 
 
 def _with_cell(df: DataFrame, keys: list[str], cell: Column) -> DataFrame:
@@ -96,17 +93,12 @@ def sequence(
     df: DataFrame,
     keys: list[str],
     order: list[Column],
-    cell: Column | None,
+    cell: Column,
     out: str = "seq",
     ties: bool = False,
 ) -> DataFrame:
-    """Row number of each row within its key, or rank when ``ties`` is set.
-
-    Pass ``cell=None`` only where groups are known to be small; that is the plain window.
-    """
+    """Row number of each row within its key, or rank when ``ties`` is set."""
     number = F.rank() if ties else F.row_number()
-    if cell is None:
-        return df.withColumn(out, number.over(Window.partitionBy(*keys).orderBy(*order)))
     celled = _with_cell(df, keys, cell)
     sums = celled.groupBy(_CELL).agg(F.count(F.lit(1)).alias("__w"))
     before = F.sum("__w").over(_over_cells(keys).rowsBetween(*_BEFORE))
@@ -208,9 +200,9 @@ def nulls_first(c) -> Column:
 
 
 def descending(c) -> Column:
-    """Order key for a number or timestamp, largest first and nulls first."""
+    """Order key for a number of any type, largest first and nulls first; the type is kept, so big ids stay apart."""
     c = _col(c)
-    return F.struct(c.isNotNull(), -c.cast("double"))
+    return F.struct(c.isNotNull(), -c)
 
 
 def descending_time(ts) -> Column:
@@ -218,7 +210,7 @@ def descending_time(ts) -> Column:
 
 
 def first_row(df: DataFrame, keys: list[str], order: list[Column], take: list[str]) -> DataFrame:
-    """The first row of each key in ascending ``order``, by aggregation instead of a sort.
+    """The first row of each key in ascending ``order``, combined on the map side before the shuffle.
 
     Use ``nulls_last``, ``descending`` and friends to build order keys. Equal order keys need a
     tiebreak in ``order`` for a stable answer.

@@ -43,9 +43,8 @@ def crosstab_share(df: DataFrame, a: str, by: list[str], scale: float = 1.0) ->
         "n",
     )
     table = named.groupBy(a, *by).agg(F.sum("n").alias("n"))
-    # the table holds one row per pair of categories, so a window over it is small
-    total = F.max(F.when(F.col(a) == "All", F.col("n"))).over(Window.partitionBy(*by))
-    return table.select(a, *by, "n", (F.col("n") * scale / total).alias("share"))
+    totals = table.where(F.col(a) == "All").select(*by, F.col("n").alias("__total"))
+    return table.join(totals, by).select(a, *by, "n", (F.col("n") * scale / F.col("__total")).alias("share"))
 
 
 def _unpivot(df: DataFrame, keys: list[str], columns: list[str], name: str, value: str) -> DataFrame:
@@ -103,9 +102,10 @@ def table_one(df: DataFrame, by: str, categorical: list[str], continuous: list[s
             .where(F.col("level").isNotNull())
             .groupBy(by, "variable", "level").agg(F.count(F.lit(1)).alias("n"))
         )
-        total = F.sum("n").over(Window.partitionBy(by, "variable"))
-        parts.append(levels.select(
-            by, "variable", "level", "n", (F.col("n") * 100.0 / total).alias("percent"),
+        totals = levels.groupBy(F.col(by).alias("__by"), F.col("variable").alias("__variable")).agg(F.sum("n").alias("__total"))
+        same = F.col(by).eqNullSafe(F.col("__by")) & (F.col("variable") == F.col("__variable"))
+        parts.append(levels.join(totals, same).select(
+            by, "variable", "level", "n", (F.col("n") * 100.0 / F.col("__total")).alias("percent"),
             F.lit(None).cast("double").alias("mean"), F.lit(None).cast("double").alias("sd"),
         ))
     if continuous:
@@ -124,7 +124,9 @@ def describe_by(df: DataFrame, by: str, column: str, cells: int | None = None) -
     """Mean, SD, median, 5th and 95th percentile by group, exact."""
     moments = df.groupBy(by).agg(F.count(column).alias("n"), F.avg(column).alias("mean"), F.stddev(column).alias("sd"))
     quantiles = exact_quantiles(df, [by], column, {"p5": 0.05, "median": 0.5, "p95": 0.95}, cells)
-    return moments.join(quantiles, by, "left")
+    # null-safe: rows without a group are a group of their own
+    other = quantiles.withColumnRenamed(by, "__by")
+    return moments.join(other, F.col(by).eqNullSafe(F.col("__by")), "left").drop("__by")
 
 
 def histogram(df: DataFrame, column: str, lo: float, hi: float, bins: int,
@@ -149,11 +151,18 @@ def histogram(df: DataFrame, column: str, lo: float, hi: float, bins: int,
 
 
 def correlation(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Pearson correlation of every pair of columns, all from one aggregation."""
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1:]]
-    wide = df.agg(*[F.corr(a, b).alias(f"{i}") for i, (a, b) in enumerate(pairs)])
-    rows = ", ".join(f"'{a}', '{b}', `{i}`" for i, (a, b) in enumerate(pairs))
-    return wide.selectExpr(f"stack({len(pairs)}, {rows}) as (a, b, r)")
+    """Pearson correlation of every pair of columns over the rows where both are known.
+
+    Each row unfolds into its known values, squares and products on the map side and combines before the
+    shuffle, so the plan stays small for any number of columns and one row per pair is shuffled per task.
+    """
+    known = [F.struct(F.lit(i).alias("i"), F.col(f"`{c}`").cast("double").alias("v")) for i, c in enumerate(columns)]
+    row = df.select(F.filter(F.array(*known), lambda s: s.v.isNotNull()).alias("r"))
+    pairs = row.select("r", F.explode("r").alias("x")).select("x", F.explode("r").alias("y")).where("x.i < y.i")
+    values = pairs.select(F.col("x.i").alias("i"), F.col("y.i").alias("j"), F.col("x.v").alias("u"), F.col("y.v").alias("w"))
+    sums = values.groupBy("i", "j").agg(F.corr("u", "w").alias("r"))
+    names = F.array(*[F.lit(c) for c in columns])
+    return sums.select(F.element_at(names, F.col("i") + 1).alias("a"), F.element_at(names, F.col("j") + 1).alias("b"), "r")
 
 
 def perfect_pairs(corr: DataFrame, tolerance: float = 1e-12) -> DataFrame:

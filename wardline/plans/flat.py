@@ -170,9 +170,10 @@ def coded_cohort(df: DataFrame) -> DataFrame:
 
 
 def coded_first_stays(flagged: DataFrame) -> DataFrame:
-    """First included stay per patient and site."""
+    """First included stay per patient and site; stays of one time rank by all their fields."""
     kept = flagged.where(F.col("excluded") == 0)
-    return keep_first(kept, ["patientid", "site_id"], [O.nulls_last("icu_ad_dtm")])
+    whole = F.struct(*[F.col(f"`{c}`") for c in sorted(kept.columns)])
+    return keep_first(kept, ["patientid", "site_id"], [O.nulls_last("icu_ad_dtm"), whole])
 
 
 def coded_fields(source: str, immune_code: int = 2) -> dict[str, Column | str | None]:

@@ -38,7 +38,7 @@ def completion_table(df: DataFrame, registry: DataFrame | None = None) -> DataFr
     table = PR.completion(df, names, "data_source")
     reg = registry if registry is not None else registry_frame(df.sparkSession)
     return (
-        table.join(F.broadcast(reg.select(F.col("varname").alias("variable"), "category", "unitofmeasure")), "variable")
+        table.join(reg.select(F.col("varname").alias("variable"), "category", "unitofmeasure"), "variable")
         .orderBy(category_rank().asc_nulls_last(), "variable", "data_source")
     )
 

@@ -21,7 +21,6 @@ from ..operators.cohort import flag_exclusions
 from ..operators.conform import apply_field_map
 from ..operators.windows import events_before, events_in_window, overlap_flag
 from ..registry import header_schema
-from ..sources.writers import reuse
 from . import timed_rules as R
 
 STAY = ["subject_id", "hadm_id", "icustay_id"]
@@ -400,8 +399,6 @@ def cohort(stays: DataFrame, patients: DataFrame, admissions: DataFrame, service
         .join(service, "hadm_id")
         .join(dnr, "icustay_id", "left").join(span, "icustay_id", "left")
     )
-    # one row per stay from here on; both numberings read it twice, the chart scan must run once
-    base = reuse(base)
     numbered = O.sequence(base, ["subject_id"], [F.col("intime_hr").asc_nulls_last(), F.col("icustay_id")],
                           O.time_cell("intime_hr", 7 * DAY), "icustay_num")
     ranked = O.sequence(numbered, ["subject_id"], [F.col("admittime").asc_nulls_last()],

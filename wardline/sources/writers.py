@@ -27,16 +27,15 @@ def write_by_category(table: DataFrame, path: str, category: str = "category") -
 
 
 def reuse(df: DataFrame, checkpoint_dir: str | None = None) -> DataFrame:
-    """Cut the lineage of a frame that several later steps read, so it is computed once.
+    """Compute a frame now, once, and go on from its checkpoint.
 
-    The folder comes from ``spark.checkpoint.dir``; ``checkpoint_dir`` is used only where the
-    session names none. The checkpoint lies on shared storage and outlives executors. Without any
-    folder the frame comes back as it is.
+    The folder comes from ``spark.checkpoint.dir``; ``checkpoint_dir`` is used only where the session names
+    none, and without either this is an error. The checkpoint outlives executors if the folder is shared.
     """
     spark = df.sparkSession
     folder = spark.conf.get("spark.checkpoint.dir", None) or checkpoint_dir
     if not folder:
-        return df
+        raise ValueError("spark.checkpoint.dir is not set and no folder was given")
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(folder)
     return df.checkpoint()
