@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from wardline.sources.readers import read_table
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 COVERS: dict[str, str] = {}
@@ -31,4 +33,4 @@ class Tables:
         self._spark, self._folder = spark, folder
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self._spark.read.parquet(f"{self._folder}/{name}.parquet")
+        return read_table(self._spark, f"{self._folder}/{name}.parquet")

@@ -264,7 +264,7 @@ def _flagged(t):
         "exclusion_few": F.col("n") < 10})
 
 
-@check("cohort_flags", "COH1 COH2 COH3", f"select *, greatest({', '.join(FLAGS)}) as excluded from {EXCL}")
+@check("cohort_flags", "FLT7 FLT8", f"select *, greatest({', '.join(FLAGS)}) as excluded from {EXCL}")
 def cohort_flags(spark, d):
     return _flagged(Tables(spark, d)).select("c_custkey", *FLAGS, "excluded")
 
@@ -279,7 +279,7 @@ def attrition(spark, d):
 
 
 # --- conformance ----------------------------------------------------------------------------------
-@check("stacked_sources", "SCH1 SCH5 SCH6 SCH7 SET1 CON10", """
+@check("stacked_sources", "SCH1 SCH5 SCH6 SCH7 SET1", """
 select 'customer' as data_source, 'c_' || c_custkey as party, c_acctbal as balance, cast(c_nationkey as integer) as nation,
   c_mktsegment as segment, cast(null as varchar) as note from customer
 union all select 'supplier', 's_' || s_suppkey, s_acctbal, cast(s_nationkey as integer), null, null from supplier""")
@@ -298,7 +298,7 @@ def stacked_sources(spark, d):
     return CF.stack([a, CF.conform(b, header)])
 
 
-@check("restrict_names", "SET2 SCH8 SCH9", """
+@check("restrict_names", "SET2", """
 select distinct lower(p_type) as p_type from part where p_type in (select p_type from part where p_size > 49)
   and p_type is not null""")
 def restrict_names(spark, d):

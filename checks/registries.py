@@ -249,7 +249,7 @@ def coded_fields(spark, d):
     return out.groupBy(*out.columns).agg(F.count("*").alias("n"))
 
 
-@check("text_registry", "SRC4 PRJ13 STR4 STR5 STR6 STR8 STR10 JON12 SCH7", f"""
+@check("text_registry", "PRJ13 STR4 STR5 STR6 STR8 STR10 JON12 SCH7", f"""
 with m as (select p.*, case when h like '%NA%' then trim(replace(h, 'NA', '')) else w end as w2, case when h like '%NA%' then 'na' else h end as h2, x.p_size, x.p_retailprice, x.p_type
   from {MEASURES} p join part x using (p_partkey) where x.p_size % 10 > 0 and x.p_retailprice > 905 and p_partkey % 19 > 0),
 dx(code, op, id) as (values ('1', 'Non-operative', 11), ('2', 'Post-operative', 21), ('2', 'Non-operative', 22), ('3', 'Post-operative', 0))
@@ -282,7 +282,7 @@ TWO = """select distinct cast(300 + p_size % 20 as string) as apache_2_diagnosis
 DX = "select distinct p_name as admitdiagnosis, cast(100 + length(p_name) * 3 as string) || '.0' || cast(length(p_name) % 4 as string) as code from part where length(p_name) % 5 > 0"
 
 
-@check("diagnosis_enrichment", "CON9 STR7 JON10 JON11 PRJ11 SRC7", f"""
+@check("diagnosis_enrichment", "CON9 STR7 JON10 JON11 PRJ11", f"""
 with three as ({THREE}), two as ({TWO}), dx as ({DX})
 select p_partkey, code as apache_3j_diagnosis, three.apache_2_diagnosis, cast(coalesce(three.apache_3j_operative = 'Post-operative', false) as integer) as apache_post_operative,
   apache_3j_bodysystem, apache_2_bodysystem from part left join dx on admitdiagnosis = p_name left join three on three.apache_3j_diagnosis = split_part(code, '.', 1)
@@ -323,7 +323,7 @@ CHOSEN = ["encounter_id", "patient_id", "age", "gender", "ethnicity", "hospital_
           "pre_icu_los_days", "icu_death", "elective_surgery", "d1_heartrate_max", "h1_heartrate_min", "country"]
 
 
-@check("timed_extract", "CON8 JON2 JON7 PRJ5 SCH6 DAT2 DAT3 SCO9", f"""
+@check("timed_extract", "CON8 JON2 JON7 PRJ5 SCH6 DAT2 DAT3", f"""
 with {C.COHORT_CTE}, {H.observations_sql("chart", ["icustay_id"], C.VITAL_ITEMS, C.VITAL_VALUE)},
 hrv as (select s.icustay_id, max(valuenum) as hi, min(valuenum) filter (charttime <= intime + interval 1 hour) as lo1 from stays s
   join chart c on s.icustay_id = c.icustay_id and charttime between intime - interval 2 hour and intime + interval 1 day and c.error is distinct from 1

@@ -274,7 +274,7 @@ def coverage_flag(spark, d):
     return t.customer.join(n, group, "left").select("c_custkey", F.when(F.col("k") > 3, 1).otherwise(0).alias("covered"))
 
 
-@check("composite_lookup", "JON10 JON11 SRC7", """
+@check("composite_lookup", "JON10 JON11", """
 with m as (select p_brand, p_type, min(p_retailprice) as base_price from part group by 1, 2)
 select l_orderkey, l_linenumber, l_partkey, base_price from lineitem join part on l_partkey = p_partkey
 left join m using (p_brand, p_type)""")

@@ -14,6 +14,10 @@ from .diagnosis import body_systems
 TOP_CODED_AGE = 91.4
 IMPOSSIBLE_AGE = 150
 GLUCOSE_LIMIT = 2000
+GLUCOSE_BINS = 100
+TABLE_ONE_LEVELS = ("elective_surgery", "gender", "hospital_death", "icu_death", "pregnant", "readmission_status", "smoking_status",
+                    "teaching_hospital")
+TABLE_ONE_NUMBERS = ("age", "height", "hospital_los_days", "icu_los_days", "pre_icu_los_days", "weight")
 SKIPPED_IN_PROFILE = ("data_source", "hospital_bed_size_numeric", "icu_admit_type")
 # ------------------------------------------------------------------------------------------
 
@@ -43,6 +47,22 @@ def completion_table(df: DataFrame, registry: DataFrame | None = None) -> DataFr
     )
 
 
-def availability_table(df: DataFrame) -> DataFrame:
+def availability_table(df: DataFrame, registry: DataFrame | None = None) -> DataFrame:
+    """Which variables a source lacks altogether, with category and unit, in printing order."""
     names = [n for n, *_ in variables() if n in df.columns and n not in SKIPPED_IN_PROFILE]
-    return PR.availability(df, names, "data_source")
+    table = PR.availability(df, names, "data_source")
+    reg = registry if registry is not None else registry_frame(df.sparkSession)
+    return (
+        table.join(reg.select(F.col("varname").alias("variable"), "category", "unitofmeasure"), "variable")
+        .orderBy(category_rank().asc_nulls_last(), "variable", "data_source")
+    )
+
+
+def demographics_table(df: DataFrame) -> DataFrame:
+    """Table 1 of the merged sources."""
+    return PR.table_one(df, "data_source", list(TABLE_ONE_LEVELS), list(TABLE_ONE_NUMBERS))
+
+
+def glucose_histogram(df: DataFrame) -> DataFrame:
+    """Distribution of the scored glucose by source, impossible values left out."""
+    return PR.histogram(df, "glucose_apache", 0.0, float(GLUCOSE_LIMIT), GLUCOSE_BINS, ["data_source"])
