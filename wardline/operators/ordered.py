@@ -110,12 +110,16 @@ def sequence(
 # --- carrying values forward -----------------------------------------------------------------
 @dataclass(frozen=True)
 class Carried:
-    """Rows whose latest value is wanted: ``take`` maps their columns to output names."""
+    """Rows whose latest value is wanted: ``take`` maps their columns to output names.
+
+    ``where`` narrows the rows. Sides given the same ``rows`` and ``ts`` are read together, once.
+    """
 
     rows: DataFrame
     ts: str
     reach_seconds: int
     take: dict[str, str]
+    where: Column | None = None
 
 
 def _carry(rows: DataFrame, on: list[str], width: int, reach: int, order: list[str], value: str) -> DataFrame:
@@ -145,12 +149,22 @@ def asof_backward(
     stacked = left.select(
         *on, time_cell(left_ts, width).alias("__cell"), F.col(left_ts).alias("__ts"), F.lit(len(sides)).alias("__side"),
         F.struct(*left.columns).alias("__l"))
+    shared: dict[tuple, list[int]] = {}
     for i, side in enumerate(sides):
-        value = f"__r{i}"
-        rows = side.rows.where(F.col(side.ts).isNotNull()).select(
-            *on, time_cell(side.ts, width).alias("__cell"), F.col(side.ts).alias("__ts"), F.lit(i).alias("__side"),
-            F.struct(F.col(side.ts).alias("t"), *[F.col(c).alias(o) for c, o in side.take.items()]).alias(value))
-        copies = _carry(rows, on, width, side.reach_seconds, ["__ts", "__side"], value)
+        shared.setdefault((id(side.rows), side.ts), []).append(i)
+    for members in shared.values():
+        first, values = sides[members[0]], []
+        for i in members:
+            value = F.struct(F.col(first.ts).alias("t"), *[F.col(c).alias(o) for c, o in sides[i].take.items()])
+            values.append((value if sides[i].where is None else F.when(sides[i].where, value)).alias(f"__r{i}"))
+        rows = first.rows.where(F.col(first.ts).isNotNull()).select(
+            *on, time_cell(first.ts, width).alias("__cell"), F.col(first.ts).alias("__ts"), F.lit(members[0]).alias("__side"), *values)
+        # of each cell the last value of every side, copied into the following cells that its reach touches
+        names = [f"__r{i}" for i in members]
+        last = rows.groupBy(*on, "__cell", "__side").agg(
+            F.max("__ts").alias("__ts"), *[F.max_by(n, F.when(F.col(n).isNotNull(), F.col("__ts"))).alias(n) for n in names])
+        ahead = F.explode(F.sequence(F.lit(1), F.lit(math.ceil(max(sides[i].reach_seconds for i in members) / width))))
+        copies = last.withColumn("__step", ahead).select(*on, (F.col("__cell") + F.col("__step")).alias("__cell"), "__ts", "__side", *names)
         stacked = stacked.unionByName(rows, allowMissingColumns=True).unionByName(copies, allowMissingColumns=True)
     window = Window.partitionBy(*on, "__cell").orderBy("__ts", "__side").rowsBetween(*_UP_TO)
     hits = [F.last(f"__r{i}", ignorenulls=True).over(window).alias(f"__h{i}") for i in range(len(sides))]

@@ -113,36 +113,34 @@ def blood_gas(stays: DataFrame, lab: DataFrame, chart: DataFrame, first_day_only
     if first_day_only:
         end = F.least(end, S.shift("intime", days=1))
     rules = {item: (name, lo, hi, True, True) for name, item, lo, hi in R.GASES}
-    rules.update({item: (None, None, None, True, True) for item in R.GAS_OTHER_ITEMS})
-    rows = J.with_rules(lab.select("subject_id", "charttime", "itemid", "valuenum"), "itemid", rules)
+    rules.update({item: (None, None, None, True, True) for item in (*R.GAS_OTHER_ITEMS, R.GAS_SPECIMEN_ITEM)})
+    rows = J.with_rules(lab.select("subject_id", "charttime", "itemid", "value", "valuenum"), "itemid", rules)
     valid = F.when((F.col("valuenum") > 0) & S.within_rule("valuenum"), F.col("valuenum"))
     scaled = (F.when(F.col("label") == "fio2", S.percent_to_fraction(valid))
               .when(F.col("label") == "hematocrit", valid / 100.0).otherwise(valid))
     start, keys = S.shift("intime", hours=-1), [*STAY, "intime", "charttime"]
-    draws = rows.select("subject_id", "charttime", "label", scaled.alias("v"))
+    # the specimen text travels beside the values, so the laboratory table is read once
+    text = F.when(F.col("itemid") == R.GAS_SPECIMEN_ITEM, F.col("value")).alias("specimen")
+    draws = rows.select("subject_id", "charttime", "label", scaled.alias("v"), text)
     seen = events_in_window(stay, draws, ["subject_id"], "charttime", start, end, DAY)
-    # the few specimen texts are read apart, so that the measured values stay plain numbers
-    texts = lab.where((F.col("itemid") == R.GAS_SPECIMEN_ITEM) & F.col("value").isNotNull()).select(
-        "subject_id", "charttime", "value")
-    specimens = events_in_window(stay, texts, ["subject_id"], "charttime", start, end, DAY).groupBy(*keys).agg(
-        F.max("value").alias("specimen"), F.count("value").alias("n_sp"))
-    measured = P.long_to_wide(seen, keys, "label", "v", [r[0] for r in R.GASES]).where(F.col("po2").isNotNull())
-    gas = measured.join(specimens, keys, "left").where(F.coalesce("n_sp", F.lit(0)) < 2).drop("n_sp")
+    measured = seen.groupBy(*keys).agg(
+        *[F.max(F.when(F.col("label") == name, F.col("v"))).alias(name) for name, *_ in R.GASES],
+        F.max("specimen").alias("specimen"), F.count("specimen").alias("n_sp"))
+    gas = measured.where(F.col("po2").isNotNull() & (F.col("n_sp") < 2)).drop("n_sp")
     near = stay.select("icustay_id", "intime", "outtime")
     start = S.shift("intime", hours=-5)  # an hour before admission plus the longest reach
 
-    def charted(rows: DataFrame, value: Column, name: str) -> DataFrame:
-        read = rows.select("icustay_id", "charttime", value.alias("v"))
-        inside = events_in_window(near, read, ["icustay_id"], "charttime", start, end, DAY)
-        return inside.groupBy("icustay_id", F.col("charttime").alias("t")).agg(F.max("v").alias(name))
-
-    spo2 = charted(chart.where(F.col("itemid").isin(*R.SPO2_ITEMS)),
-                   S.keep_within("valuenum", 0, 100, False, True), "spo2")
-    fio2_items = [*R.FIO2_MIXED_ITEMS, *R.FIO2_PERCENT_ITEMS, *R.FIO2_FRACTION_ITEMS]
-    fio2 = charted(chart.where(F.col("itemid").isin(*fio2_items) & _not_error(chart)), _fio2_chart(), "fio2_chart")
+    saturation = F.col("itemid").isin(*R.SPO2_ITEMS)
+    oxygen = F.col("itemid").isin(*R.FIO2_MIXED_ITEMS, *R.FIO2_PERCENT_ITEMS, *R.FIO2_FRACTION_ITEMS) & _not_error(chart)
+    read = chart.where(saturation | oxygen).select(
+        "icustay_id", "charttime", saturation.alias("is_spo2"), F.when(saturation, S.keep_within("valuenum", 0, 100, False, True)).alias("a"),
+        F.when(oxygen, _fio2_chart()).alias("b"))
+    beside = events_in_window(near, read, ["icustay_id"], "charttime", start, end, DAY).groupBy(
+        "icustay_id", F.col("charttime").alias("t")).agg(
+        F.max("a").alias("spo2"), F.max("b").alias("fio2_chart"), F.max("is_spo2").alias("has_spo2"), F.min("is_spo2").alias("only_spo2"))
     gas = O.asof_backward(gas, ["icustay_id"], "charttime", [
-        O.Carried(spo2, "t", R.SPO2_REACH_SECONDS, {"spo2": "spo2"}),
-        O.Carried(fio2, "t", R.FIO2_REACH_SECONDS, {"fio2_chart": "fio2_chart"}),
+        O.Carried(beside, "t", R.SPO2_REACH_SECONDS, {"spo2": "spo2"}, F.col("has_spo2")),
+        O.Carried(beside, "t", R.FIO2_REACH_SECONDS, {"fio2_chart": "fio2_chart"}, ~F.col("only_spo2")),
     ])
     z = F.lit(R.SPECIMEN_INTERCEPT) + R.SPECIMEN_PO2 * F.col("po2") + S.imputed_terms(R.SPECIMEN_TERMS)
     gas = gas.withColumn("specimen_prob", S.logistic(z)).withColumn("fio2", F.coalesce("fio2", "fio2_chart"))
