@@ -184,7 +184,7 @@ _low = -1e9
 for _edge, _ye, _pts in R.ACID_BASE:
     AB += _edges(_ye, _pts, (_low, float(_edge or 1e9)))
     _low = float(_edge or 1e9)
-GAS_STEMS = {k: v for k, v in R.GAS_SUMMARY.items() if v in ("po2", "pco2", "pao2fio2", "aado2_any", "ph", "bicarbonate", "hematocrit", "hemoglobin")}
+GAS_STEMS = dict(R.GAS_SUMMARY)
 
 
 def _gas_cols():

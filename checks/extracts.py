@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wardline.plans import flat
+from wardline.plans import flat, merge
 from wardline.registry import header_schema
 
 from .base import Tables, check
+from .shaping import rounded
 
 DUCK = {T.StringType(): "varchar", T.DoubleType(): "double", T.IntegerType(): "integer"}
 KINDS = {f.name: DUCK[f.dataType] for f in header_schema()}
@@ -53,11 +55,18 @@ STUDY_OUT = {
 STUDY_OUT = {n: e for n, e in STUDY_OUT.items() if n in KINDS}
 
 
-@check("study_extract", "CON8 SCH6 SCH7 PRJ6 PRJ7", f"""
-with registry as (select {', '.join(f'{e} as "{n}"' for n, e in STUDY.items())} from orders) select {columns_sql(STUDY_OUT)} from registry""")
-def study_extract(spark, d):
+STUDY_CTE = f"""registry as (select {', '.join(f'{e} as "{n}"' for n, e in STUDY.items())} from orders),
+study as (select {columns_sql(STUDY_OUT)} from registry)"""
+
+
+def study_rows(spark, d):
     registry = Tables(spark, d).orders.selectExpr(*[f"{e.replace('varchar', 'string')} as `{n}`" for n, e in STUDY.items()])
-    return flat.study_extract(registry, "study").select(*STUDY_OUT)
+    return flat.study_extract(registry, "study")
+
+
+@check("study_extract", "CON8 SCH6 SCH7 PRJ6 PRJ7", f"with {STUDY_CTE} select * from study")
+def study_extract(spark, d):
+    return study_rows(spark, d).select(*STUDY_OUT)
 
 
 # --- relational registry: visits, weights, patients ------------------------------------------------------
@@ -78,16 +87,43 @@ RELATIONAL_OUT = {
 RELATIONAL_OUT = {n: e for n, e in RELATIONAL_OUT.items() if n in KINDS}
 
 
-@check("relational_extract", "CON8 JON10 SRC2 SCH6 SCH7 PRJ8", f"""
-with v as (select {', '.join(f"{e} as {n}" for n, e in VISIT.items())} from orders),
+RELATIONAL_CTE = f"""v as (select {', '.join(f"{e} as {n}" for n, e in VISIT.items())} from orders),
 w as (select {', '.join(f"{e} as {n}" for n, e in VISIT_KEYS.items())}, o_orderkey % 40 + 10.5 as imc from orders where o_orderkey % 3 > 0),
-p as (select c_custkey % 3 as tipodni, c_custkey as dni, c_custkey % 190 as altura, c_custkey % 120 + 0.5 as peso from customer where c_custkey % 10 > 0)
-select {columns_sql(RELATIONAL_OUT)} from v left join w using (tipodni, dni, fecing) left join p using (tipodni, dni)""")
-def relational_extract(spark, d):
+p as (select c_custkey % 3 as tipodni, c_custkey as dni, c_custkey % 190 as altura, c_custkey % 120 + 0.5 as peso from customer where c_custkey % 10 > 0),
+relational as (select {columns_sql(RELATIONAL_OUT)} from v left join w using (tipodni, dni, fecing) left join p using (tipodni, dni))"""
+
+
+def relational_rows(spark, d):
     t = Tables(spark, d)
     text = {n: e.replace("varchar", "string") for n, e in VISIT.items()}
     visits = t.orders.selectExpr(*[f"{e} as {n}" for n, e in text.items()])
     weights = t.orders.where("o_orderkey % 3 > 0").selectExpr(*[f"{text[n]} as {n}" for n in VISIT_KEYS], "o_orderkey % 40 + 10.5 as imc")
     patients = t.customer.where("c_custkey % 10 > 0").selectExpr(
         "c_custkey % 3 as dnitipo", "c_custkey as dni", "c_custkey % 190 as altura", "c_custkey % 120 + 0.5 as peso")
-    return flat.relational_extract(visits, weights, patients, "rel").select(*RELATIONAL_OUT)
+    return flat.relational_extract(visits, weights, patients, "rel")
+
+
+@check("relational_extract", "CON8 JON10 SRC2 SCH6 SCH7 PRJ8", f"with {RELATIONAL_CTE} select * from relational")
+def relational_extract(spark, d):
+    return relational_rows(spark, d).select(*RELATIONAL_OUT)
+
+
+# --- both sources merged ------------------------------------------------------------------------------------
+PROFILED = [n for n in dict.fromkeys([*STUDY_OUT, *RELATIONAL_OUT]) if n not in merge.SKIPPED_IN_PROFILE]
+
+
+@check("merged_sources", "CON10 AGG19 SET1 PRJ12", f"""
+with {STUDY_CTE}, {RELATIONAL_CTE},
+whole as (select * replace ('pooled' as data_source) from study union all by name select * from relational),
+counted as (select data_source, {', '.join(f'round(nullif(100.0 * count("{n}") / count(*), 0), 4) as "{n}"' for n in PROFILED)} from whole group by data_source)
+select data_source, variable, percent from (unpivot counted on columns(* exclude data_source) into name variable value percent)""")
+def merged_sources(spark, d):
+    """Two sources under one header, tags unified, body systems looked up, profiled for completeness."""
+    maps = Tables(spark, d).part.selectExpr(
+        "cast(p_size as string) as apache_3j_diagnosis", "'Post-operative' as apache_3j_operative", "'s' as apache_3j_bodysystem",
+        "cast(p_size as string) as apache_2_diagnosis", "'Post-operative' as apache_2_operative", "'t' as apache_2_bodysystem").distinct()
+    three = maps.select("apache_3j_diagnosis", "apache_3j_operative", "apache_3j_bodysystem", "apache_2_diagnosis")
+    two = maps.select("apache_2_diagnosis", "apache_2_operative", "apache_2_bodysystem")
+    whole = merge.merge([study_rows(spark, d), relational_rows(spark, d)], three, two, {"pooled": ["study", "carevue"]})
+    table = merge.completion_table(merge.top_code_age(whole, "pooled")).where(F.col("percent").isNotNull())
+    return rounded(table.select("data_source", "variable", "percent"))

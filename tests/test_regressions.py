@@ -75,3 +75,11 @@ def test_building_a_plan_starts_no_job(spark, monkeypatch):
             eager.append(name)
     spark.sparkContext.setJobGroup("other", "other")
     assert not eager
+
+
+def test_quoted_line_breaks_stay_in_one_value(spark, tmp_path):
+    from wardline.sources.readers import read_registry_csv
+
+    (tmp_path / "r.csv").write_text('id,Note,x\n1,"two\nlines",3\n2,one,4\n')
+    got = read_registry_csv(spark, str(tmp_path / "r.csv"), numeric=["x"], multi_line=True).orderBy("id").collect()
+    assert [(r.id, r.note, r.x) for r in got] == [("1", "two\nlines", 3.0), ("2", "one", 4.0)]

@@ -31,12 +31,14 @@ def read_jdbc(spark: SparkSession, url: str, table: str, column: str, lower: int
 
 
 def read_csv_text(spark: SparkSession, path: str, first_column: str | None = None,
-                  sep: str = ",", partitions: int | None = None) -> DataFrame:
+                  sep: str = ",", partitions: int | None = None, multi_line: bool = False) -> DataFrame:
     """A CSV with a header, every column as text and lower-cased names.
 
-    Gzip files arrive as one split each; ``partitions`` spreads them again.
+    Gzip files arrive as one split each; ``partitions`` spreads them again. ``multi_line`` reads quoted line
+    breaks as part of a value, at the price of one task per file.
     """
-    df = spark.read.option("header", True).option("sep", sep).option("quote", '"').option("escape", '"').csv(path)
+    reader = spark.read.option("header", True).option("sep", sep).option("quote", '"').option("escape", '"')
+    df = reader.option("multiLine", multi_line).csv(path)
     df = lower_columns(df)
     if first_column:
         df = fix_first_column(df, first_column)
@@ -44,9 +46,9 @@ def read_csv_text(spark: SparkSession, path: str, first_column: str | None = Non
 
 
 def read_registry_csv(spark: SparkSession, path: str, numeric: list[str] | None = None,
-                      first_column: str | None = None, partitions: int | None = None) -> DataFrame:
+                      first_column: str | None = None, partitions: int | None = None, multi_line: bool = False) -> DataFrame:
     """A flat registry: text columns, with the listed ones turned into numbers (bad text is null)."""
-    df = read_csv_text(spark, path, first_column, partitions=partitions)
+    df = read_csv_text(spark, path, first_column, partitions=partitions, multi_line=multi_line)
     wanted = set(numeric or [])
     return df.select(*[to_number(f"`{c}`").alias(c) if c in wanted else F.col(f"`{c}`") for c in df.columns])
 
