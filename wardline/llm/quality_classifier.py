@@ -47,8 +47,20 @@ def _byte_classes() -> np.ndarray:
     return table
 
 
-def passages(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Features of every passage, and the number of passages of each text."""
+def passages(texts: list[bytes], at_once: int = 1 << 20) -> tuple[np.ndarray, np.ndarray]:
+    """Features of every passage, and the number of passages of each text; ``at_once`` bytes are worked on together."""
+    parts, held, size = [], [], 0
+    for text in texts:
+        if held and size + len(text) > at_once:
+            parts.append(_passages(held))
+            held, size = [], 0
+        held.append(text)
+        size += len(text)
+    parts.append(_passages(held))
+    return np.concatenate([x for x, _ in parts]), np.concatenate([bags for _, bags in parts])
+
+
+def _passages(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     table = _byte_classes()
     sizes = np.asarray([len(t) for t in texts], np.int64)
     bags = np.maximum(1, -(-sizes // PASSAGE))
@@ -177,23 +189,34 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> AttentionMo
 
 
 def _scored(rows: DataFrame, model: AttentionModel) -> DataFrame:
-    """``row`` and ``score`` for rows of (row, text)."""
+    """``row``, ``text`` and ``score`` for rows of (row, text)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
-            x, bags = passages(part.column("text").to_pylist())
-            yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(model.scores(x, bags).astype(np.float64))], ["row", "score"])
+            x, bags = passages([t.encode() for t in part.column("text").to_pylist()])
+            scored = pa.array(model.scores(x, bags).astype(np.float64))
+            yield pa.RecordBatch.from_arrays([part.column("row"), part.column("text"), scored], ["row", "text", "score"])
 
-    return rows.mapInArrow(run, T.StructType([rows.schema["row"], T.StructField("score", T.DoubleType())]))
+    fields = [rows.schema["row"], T.StructField("text", T.StringType()), T.StructField("score", T.DoubleType())]
+    return rows.mapInArrow(run, T.StructType(fields))
 
 
 def scores(docs: DataFrame, model: AttentionModel) -> DataFrame:
     """``doc_id, held_out, score, predicted`` of every document."""
-    rows = docs.select(F.struct("doc_id").alias("row"), F.encode(text_of(), "UTF-8").alias("text"))
-    return _scored(rows, model).select("row.doc_id", "score").select(
-        "doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches):
+            x, bags = passages([t.encode() for t in part.column("text").to_pylist()])
+            scored = pa.array(model.scores(x, bags).astype(np.float64))
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), scored], ["doc_id", "score"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    scored = docs.select("doc_id", text_of().alias("text")).mapInArrow(run, f"doc_id {kind}, score double")
+    return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def keep(docs: DataFrame, model: AttentionModel, threshold: float = 0.5) -> DataFrame:
-    """The documents that score ``threshold`` or more, with all columns."""
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.encode(text_of(), "UTF-8").alias("text"))
-    return _scored(rows, model).where(F.col("score") >= threshold).select("row.*")
+    """The documents that score ``threshold`` or more, with all columns; texts go through Python once."""
+    rest = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"])
+    rows = docs.select(F.struct(rest.alias("rest"), F.col("text").isNull().alias("void")).alias("row"), text_of().alias("text"))
+    kept = _scored(rows, model).where(F.col("score") >= threshold)
+    text = F.when(~F.col("row.void"), F.col("text")).cast(docs.schema["text"].dataType)
+    return kept.select(*[(text if c == "text" else F.col(f"row.rest.`{c}`")).alias(c) for c in docs.columns])
