@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Text bytes that Python holds as objects at once; a longer single text is still handled whole.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 #: The characters that separate words and that exact dedup deletes.
 BLANKS = " \t\n\x0b\x0c\r"
 
@@ -45,14 +45,14 @@ def text_of(column: str | Column = "text") -> Column:
     return F.coalesce((F.col(column) if isinstance(column, str) else column).cast("string"), F.lit(""))
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
-    """Record batches cut so that the bytes of ``column`` stay near CHUNK_BYTES (one row at least)."""
+def slices(batches: Iterator[pa.RecordBatch], column: str = "text", size: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
+    """Record batches cut so that the bytes of ``column`` stay near ``size`` (one row at least)."""
     for batch in batches:
         at = batch.schema.get_field_index(column)
         lengths = pa.compute.binary_length(batch.column(at)).fill_null(0).to_numpy(zero_copy_only=False)
         start, held = 0, 0
         for i, n in enumerate(lengths):
-            if held and held + n > CHUNK_BYTES:
+            if held and held + n > size:
                 yield batch.slice(start, i - start)
                 start, held = i, 0
             held += int(n)
