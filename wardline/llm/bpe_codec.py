@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import slices, text_of
-from .units import UnitMemory, worker_store
+from .units import TEXT_BYTES, UnitMemory, worker_store
 
 
 def byte_characters() -> list[str]:
@@ -100,7 +100,7 @@ def encode(docs: DataFrame, path: str, pattern: str, offsets: bool = False) -> D
     """``row`` (all input columns), ``ids`` and, if asked for, ``starts`` and ``ends`` in characters."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec.kept(path, pattern)
-        for part in slices(batches):
+        for part in slices(batches, size=TEXT_BYTES):
             texts = part.column("text").to_pylist()
             columns, names = [part.column("row")], ["row", "ids"]
             if offsets:
@@ -137,7 +137,7 @@ def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec.kept(path, pattern)
         names = {i: str(i) for i in codec.bytes_of}
-        for part in slices(batches):
+        for part in slices(batches, size=TEXT_BYTES):
             counts, digests, decoded = [], [], []
             for units in codec.text_ids.values(part.column("text").to_pylist()):
                 ids = [i for x in units for i in x]

@@ -18,6 +18,7 @@ any other; an empty table gives an empty result.
 from __future__ import annotations
 
 import os
+import struct
 import zlib
 from bisect import bisect_left
 from collections.abc import Iterator
@@ -27,8 +28,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .bpe_codec import byte_characters
 from .common import slices, text_of, written
-from .units import UnitMemory, worker_store
+from .units import TEXT_BYTES, UnitMemory, byte_level_ids, worker_store
 
 CAPACITY = 2048
 #: Share of a length that one step may cover, fall of its price when all of it is covered, steps per knapsack.
@@ -47,18 +49,19 @@ def _encoder(path: str) -> UnitMemory:
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
-        store[key] = UnitMemory(lambda texts: [
-            np.asarray(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
+        specials = tuple(t.content for t in tokenizer.get_added_tokens_decoder().values())
+        ids = byte_level_ids(tokenizer, byte_characters())
+        store[key] = UnitMemory(lambda texts: [struct.pack(f"<{len(x)}I", *x) for x in ids(texts)], specials)
     return store[key]
 
 
-def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = 0) -> DataFrame:
-    """``doc_id, piece, start, length, ids_crc32, ids`` (ids as little-endian 32-bit integers)."""
+def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = 0, with_ids: bool = True) -> DataFrame:
+    """``doc_id, piece, start, length, ids_crc32`` and, if wanted, ``ids`` (little-endian 32-bit integers)."""
     end = int(end_id).to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(tokenizer)
-        for part in slices(batches):
+        for part in slices(batches, size=TEXT_BYTES):
             owner, number, start, length, crc, ids = [], [], [], [], [], []
             for row, units in enumerate(encoder.values(part.column("text").to_pylist())):
                 whole = b"".join(units) + end
@@ -69,16 +72,18 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: in
                     number.append(k)
                     start.append(a)
                     length.append(b - a)
-                    ids.append(whole[4 * a:4 * b])
-                    crc.append(zlib.crc32(ids[-1]))
-            yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id").take(pa.array(owner, pa.int64())), pa.array(number, pa.int32()), pa.array(start, pa.int64()),
-                 pa.array(length, pa.int64()), pa.array(crc, pa.int64()), pa.array(ids, pa.binary())],
-                ["doc_id", "piece", "start", "length", "ids_crc32", "ids"])
+                    cut = memoryview(whole)[4 * a:4 * b]
+                    crc.append(zlib.crc32(cut))
+                    if with_ids:
+                        ids.append(bytes(cut))
+            columns = [part.column("doc_id").take(pa.array(owner, pa.int64())), pa.array(number, pa.int32()), pa.array(start, pa.int64()),
+                       pa.array(length, pa.int64()), pa.array(crc, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns + [pa.array(ids, pa.binary())] * with_ids, names)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", text_of().alias("text")).mapInArrow(
-        run, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, ids binary")
+    schema = f"doc_id {kind}, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids
+    names = [part.split()[0] for part in schema.split(", ")]
+    return docs.select("doc_id", text_of().alias("text")).mapInArrow(run, schema)
 
 
 # the plan ------------------------------------------------------------------------------------------------
@@ -237,4 +242,4 @@ def pack(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
 def packed_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFrame:
     """``doc_id, piece, start, length, ids_crc32, sequence_id, offset`` of every piece."""
-    return pack(written(pieces(docs, tokenizer, capacity).drop("ids"), "pieces"), capacity)
+    return pack(written(pieces(docs, tokenizer, capacity, with_ids=False), "pieces"), capacity)

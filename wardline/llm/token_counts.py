@@ -22,7 +22,7 @@ from tokenizers.pre_tokenizers import ByteLevel
 
 from .bpe_codec import byte_characters
 from .common import slices, text_of
-from .units import UnitMemory, worker_store
+from .units import TEXT_BYTES, UnitMemory, worker_store
 
 #: Fixed value: the byte-level pre-tokenizer's own split pattern.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -45,7 +45,7 @@ class RankMerger:
         self.split = regex.compile(SPLIT)
         self.splitter = ByteLevel(add_prefix_space=False, use_regex=True)
         self.specials = [t["content"] for t in spec.get("added_tokens", []) if t.get("special")]
-        self.unit_counts = UnitMemory(self.count_strings)
+        self.unit_counts = UnitMemory(self.count_strings, tuple(self.specials))
 
     @staticmethod
     def kept(path: str) -> RankMerger:
@@ -117,7 +117,7 @@ def token_counts(docs: DataFrame, path: str, limit: int = 512) -> DataFrame:
     """``doc_id, n_bytes, n_tokens, over_limit`` of every document."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         merger = RankMerger.kept(path)
-        for part in slices(batches):
+        for part in slices(batches, size=TEXT_BYTES):
             n = np.asarray(merger.count(part.column("text").to_pylist()), np.int64)
             size = pa.compute.binary_length(part.column("text")).cast(pa.int64())
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), size, pa.array(n), pa.array(n > limit)],
