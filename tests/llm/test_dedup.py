@@ -158,6 +158,26 @@ def test_substrings(documents, odd_pairs, shard_regions, monkeypatch):
     assert sorted(map(tuple, substring_dedup.digests(docs).collect()), key=str) == substring_want(pairs, 35)
 
 
+def test_no_automaton_grows_with_a_hot_passage(documents, monkeypatch):
+    """A passage with other words around it in every document: its edge windows lie in as many distinct regions."""
+    limit, whole, automaton = 4, substring_dedup.spans, substring_dedup.SuffixAutomaton
+
+    class Bounded(automaton):
+        def __init__(self, sequences, times):
+            if len(sequences) > limit:
+                raise ValueError(f"{len(sequences)} sequences in one automaton")
+            automaton.__init__(self, sequences, times)
+
+    monkeypatch.setattr(substring_dedup, "SuffixAutomaton", Bounded)
+    monkeypatch.setattr(substring_dedup, "spans", lambda docs, width, gram: whole(docs, width, gram, limit))
+    own = lambda i, side: " ".join(f"{side}{i}w{k}" for k in range(50))
+    passage, pair = (" ".join(f"{x}{k}" for k in range(60)) for x in ("shared", "pair"))
+    pairs = [(i, f"{own(i, 'a')} {passage} {own(i, 'b')}") for i in range(30)]
+    pairs += [(100 + i, f"{own(i, 'c')} {pair} {own(i, 'd')}") for i in range(2)] + [(None, pairs[0][1])] * 2
+    got = substring_dedup.digests(documents(pairs)).collect()
+    assert sorted(map(tuple, got), key=str) == substring_want(pairs, 35)
+
+
 def test_substrings_removed_from_rows(documents, odd_pairs):
     docs = documents(odd_pairs)
     rows = substring_dedup.remove(docs).collect()

@@ -13,8 +13,10 @@ that can match in it:
 * A shard is the regions of one anchor. A suffix automaton over them counts the places of every substring,
   with multiplicity; each region is streamed through it, its matching statistics are cut back to ``width``
   words, and windows that occur twice or more become maximal spans.
-* An anchor with more than SHARD_REGIONS distinct regions is dealt again by window: each window of its
-  regions goes to the shard of its own hash, so no shard grows with the corpus.
+* An anchor with more than SHARD_REGIONS distinct regions is dealt again by window: its windows (128 bits of
+  hash) are counted with multiplicity by an aggregation that combines before the shuffle, and those with two
+  places are joined back to their regions. So no shard and no automaton grows with the corpus, however many
+  regions share a window.
 
 Defined results: null text has no words; texts shorter than the window keep all words; words are the runs
 without ASCII blanks, unchanged; windows are judged on the input; rows that repeat (also with one doc_id, or
@@ -204,13 +206,11 @@ class SuffixAutomaton:
 
 
 def _shard_spans(width: int):
-    """Rows (shard, one, two, times, base, words) sorted by shard to the repeated spans of each region."""
-    def judge(rows: list[tuple]) -> list[tuple]:
-        distinct = {(r[1], r[2], r[4]): r for r in rows}  # a copied document may send its region twice
-        texts = {k: r[5].split() for k, r in distinct.items()}
-        automaton = SuffixAutomaton(list(texts.values()), [distinct[k][3] for k in texts])
-        return [(distinct[k][6], one, two, base + a, base + b) for k, words in texts.items()
-                for one, two, base in [k] for a, b in automaton.repeated(words, width)]
+    """Rows (anchor, one, two, times, words) sorted by anchor to the repeated spans of each region."""
+    def judge(anchor: int, held: dict[tuple, tuple]) -> list[tuple]:
+        texts = {k: words.split() for k, (_, words) in held.items()}
+        automaton = SuffixAutomaton(list(texts.values()), [times for times, _ in held.values()])
+        return [(anchor, *k, a, b) for k, words in texts.items() for a, b in automaton.repeated(words, width)]
 
     def batch(found: list[tuple]) -> pa.RecordBatch:
         columns = list(zip(*found)) or [[]] * 5
@@ -219,16 +219,17 @@ def _shard_spans(width: int):
             ["anchor", "one", "two", "from", "to"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
+        last, held = None, {}  # a copied document may send its region twice; one is held
         for part in slices(batches, "words"):
             found = []
-            for row in zip(*(c.to_pylist() for c in part.columns)):
-                if held and held[-1][0] != row[0]:
-                    found += judge(held)
-                    held = []
-                held.append(row)
+            for anchor, one, two, times, words in zip(*(c.to_pylist() for c in part.columns)):
+                if held and last != anchor:
+                    found += judge(last, held)
+                    held = {}
+                last = anchor
+                held[one, two] = times, words
             yield batch(found)
-        yield batch(judge(held) if held else [])
+        yield batch(judge(last, held) if held else [])
     return run
 
 
@@ -250,8 +251,8 @@ def _same_key(left: str, right: str) -> Column:
     return F.col(f"{left}.doc_id").eqNullSafe(F.col(f"{right}.doc_id")) & (F.col(f"{left}.hash") == F.col(f"{right}.hash"))
 
 
-def _fetched(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """Text of each wanted region (key, anchor, one, two, times, start, windows, deal); dealt ones as single windows."""
+def _fetched(docs: DataFrame, wanted: DataFrame, width: int, cut: bool = False) -> DataFrame:
+    """Words of each wanted region (key, anchor, one, two, times, start, windows); with ``cut`` the hashes of its windows."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         opened = zstandard.ZstdDecompressor()
         for part in slices(batches, "packed"):
@@ -259,23 +260,30 @@ def _fetched(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
             for packed, asked in zip(part.column("packed").to_pylist(), part.column("asked").to_pylist()):
                 words = opened.decompress(packed).split()
                 for r in asked:
-                    cuts = range(r["windows"]) if r["deal"] > 1 else [None]
-                    for w in cuts:
-                        size = width if w is not None else r["windows"] + width - 1
-                        start = r["start"] + (w or 0)
-                        text = b" ".join(words[start:start + size])
-                        shard = r["anchor"] if w is None else xxhash.xxh3_64_intdigest(text, r["anchor"] & (1 << 64) - 1) - (1 << 63)
-                        out.append((shard, r["one"], r["two"], r["times"], w or 0, text, r["anchor"]))
-            columns = list(zip(*out)) or [[]] * 7
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int64()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)],
-                                             ["shard", "one", "two", "times", "base", "words", "anchor"])
-
-    region = F.struct("anchor", "one", "two", "times", "start", "windows", "deal")
+                    first, n = r["start"], r["windows"]
+                    if cut:
+                        text = [xxhash.xxh3_128_digest(b" ".join(words[k:k + width])) for k in range(first, first + n)]
+                    else:
+                        text = b" ".join(words[first:first + n + width - 1])
+                    out.append((r["anchor"], r["one"], r["two"], r["times"], text))
+            columns = list(zip(*out)) or [[]] * 5
+            kinds = [pa.int64()] * 4 + [pa.list_(pa.binary()) if cut else pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["anchor", "one", "two", "times", "words"])
+
+    region = F.struct("anchor", "one", "two", "times", "start", "windows")
     asked = wanted.groupBy("key").agg(F.collect_list(region).alias("asked")).alias("w")
     texts = _packed(_key(docs), "key").alias("t")
     joined = texts.join(asked, _same_key("t.key", "w.key")).select("t.packed", "w.asked")
-    return joined.mapInArrow(run, "shard long, one long, two long, times long, base int, words binary, anchor long")
+    return joined.mapInArrow(run, f"anchor long, one long, two long, times long, words {'array<binary>' if cut else 'binary'}")
+
+
+def _counted(docs: DataFrame, dealt: DataFrame, width: int) -> DataFrame:
+    """Windows with two places or more as spans of their regions (dealt ones), without an automaton."""
+    regions = written(_fetched(docs, dealt, width, cut=True).distinct(), "dealt-regions")  # copied documents send theirs twice
+    each = regions.select("anchor", "one", "two", "times", F.posexplode("words").alias("from", "window"))
+    often = each.groupBy("anchor", "window").agg(F.sum("times").alias("n")).where("n > 1").select("anchor", "window")
+    often = written(often, "dealt-windows")  # else the join stands on the aggregation and cannot split a hot window
+    return each.join(often, ["anchor", "window"]).select("anchor", "one", "two", "from", (F.col("from") + width).alias("to"))
 
 
 def spans(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, shard_regions: int = SHARD_REGIONS) -> DataFrame:
@@ -296,11 +304,12 @@ def spans(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, shard_regions:
     sized = distinct.join(shards, "anchor")
     whole = sized.where("regions = 1").select(
         "anchor", "one", "two", F.lit(0).alias("from"), (F.col("windows") + (width - 1)).alias("to"))
-    wanted = sized.where("regions > 1").withColumn("deal", F.ceil(F.col("regions") / shard_regions))
-    texts = _fetched(docs, wanted, width)
-    found = texts.repartition("shard").sortWithinPartitions("shard").select(
-        "shard", "one", "two", "times", "base", "words", "anchor").mapInArrow(
+    wanted = sized.where((F.col("regions") > 1) & (F.col("regions") <= shard_regions))
+    found = _fetched(docs, wanted, width).repartition("anchor").sortWithinPartitions("anchor").mapInArrow(
         _shard_spans(width), "anchor long, one long, two long, `from` int, `to` int")
+    crowded = written(shards.where(F.col("regions") > shard_regions), "dealt-anchors")
+    if not crowded.isEmpty():
+        found = found.unionByName(_counted(docs, distinct.join(crowded, "anchor"), width))
     verdict = whole.unionByName(found).groupBy("anchor", "one", "two").agg(
         F.collect_set(F.struct("from", "to")).alias("spans"))
     marked = places.join(verdict, ["anchor", "one", "two"]).select("key", F.explode(F.expr(
