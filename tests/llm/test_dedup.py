@@ -241,6 +241,30 @@ def test_lines(documents):
     assert line_dedup.summary(docs.limit(0)).count() == 0
 
 
+def test_large_line_buckets_without_all_pairs(spark, monkeypatch):
+    """One bucket of template lines, near copies and chains: all components found, few pairs compared."""
+    rng = np.random.default_rng(12)
+    own = lambda n: "".join(map(chr, rng.integers(97, 123, n)))
+    template = own(60)
+    texts = [template + own(40) for _ in range(150)]  # alike in half their shingles
+    base = template + own(60)
+    texts += [base[:100 + k % 20] + own(1) + base[101 + k % 20:] for k in range(60)]  # near copies of one line
+    chain = template + own(60)
+    for _ in range(12):  # each one like the one before, the ends unlike
+        chain = chain[8:] + own(8)
+        texts.append(chain)
+    texts = sorted(set(texts))
+    sets = [line_dedup.shingles(x) for x in texts]
+    near = [(a, b) for a in range(len(texts)) for b in range(a) if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])]
+    asked, compared = [], line_dedup._compared
+    monkeypatch.setattr(line_dedup, "_compared", lambda pairs, lines: asked.append(pairs.count()) or compared(pairs, lines))
+    table = spark.createDataFrame([(str(k).encode(), x) for k, x in enumerate(texts)], "id binary, line string")
+    marked = spark.createDataFrame([(k, str(k).encode(), [7]) for k in range(len(texts))], "number long, id binary, bands array<long>")
+    edges = [(r.a, r.b) for r in line_dedup.links(table, marked).collect()]
+    assert union_find(len(texts), edges) == union_find(len(texts), near) and set(edges) <= {(b, a) for a, b in near}
+    assert sum(asked) < len(texts) * (len(texts) - 1) // 10
+
+
 def test_line_recall_at_the_threshold():
     """Share of pairs at similarity 0.8 to 0.85 that meet in a bucket, on signatures computed here."""
     rng = np.random.default_rng(9)
