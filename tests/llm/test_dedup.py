@@ -241,6 +241,17 @@ def test_lines(documents):
     assert line_dedup.summary(docs.limit(0)).count() == 0
 
 
+def test_lines_of_copied_rows_are_removed(documents):
+    """Rows of one text and one or no doc_id: what remove() leaves is what summary() says."""
+    pairs = [(None, "first line of it\n\nsecond and last"), (None, "first line of it\n\nsecond and last"), (6, "a third one"), (6, "a third one"),
+             (7, " \n"), (7, " \n"), (None, None), (None, None)]
+    docs = documents(pairs)
+    out = [(r.doc_id, r.text) for r in line_dedup.remove(docs).collect()]
+    assert sorted(out, key=str) == sorted([(None, pairs[0][1]), (None, ""), (6, "a third one"), (6, ""), *pairs[4:]], key=str)
+    left = collections.Counter((i, sum(bool(WORD.search(x)) for x in (t or "").split("\n"))) for i, t in out)
+    assert left == collections.Counter((r.doc_id, r.n_lines - r.n_removed) for r in line_dedup.summary(docs).collect())
+
+
 def test_large_line_buckets_without_all_pairs(spark, monkeypatch):
     """One bucket of template lines, near copies and chains: all components found, few pairs compared."""
     rng = np.random.default_rng(12)
