@@ -26,9 +26,3 @@ def rows(spark):
             df = df.withColumn(name, df[name].cast("timestamp_ntz"))
         return df
     return make
-
-
-def table(df, *order):
-    """Collected rows as sorted tuples."""
-    out = [tuple(r) for r in df.select(*(order or df.columns)).collect()]
-    return sorted(out, key=lambda r: tuple((v is None, str(v)) for v in r))

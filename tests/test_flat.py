@@ -9,7 +9,7 @@ from wardline.operators import joins as J
 from wardline.plans import flat
 from wardline.registry import header
 
-from conftest import table
+from helpers import table
 
 
 def test_coded_cohort_null_rules(rows):

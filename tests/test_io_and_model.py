@@ -15,7 +15,7 @@ from wardline.plans import merge
 from wardline.sources import readers as RD
 from wardline.sources import writers as WR
 
-from conftest import table
+from helpers import table
 
 
 def test_header_size_and_order(spark):

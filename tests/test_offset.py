@@ -5,7 +5,7 @@ import pytest
 from wardline.plans import diagnosis, offset
 from wardline.registry import header
 
-from conftest import table
+from helpers import table
 
 LAB = "patientunitstayid int, labname string, labresult double, labresultoffset int, labresultrevisedoffset int"
 

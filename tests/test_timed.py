@@ -7,7 +7,7 @@ from wardline.operators.windows import events_before, events_in_window, overlap_
 from wardline.plans import timed
 from wardline.registry import header
 
-from conftest import table
+from helpers import table
 
 CHART = "icustay_id int, itemid int, charttime timestamp, value string, valuenum double, error int"
 LAB = "subject_id int, hadm_id int, itemid int, charttime timestamp, value string, valuenum double"
