@@ -7,7 +7,10 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_codec, chat_tree, exact_dedup, line_dedup, packing, quality_classifier, quality_rules, simhash, substring_dedup, token_counts
+from . import (
+    bpe_codec, centroid_clustering, chat_tree, exact_dedup, language_id, line_dedup, packing, quality_classifier, quality_rules, simhash,
+    source_divergence, substring_dedup, token_counts,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -128,3 +131,85 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_simhash_dedup")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.classes(_table(spark, folder, "documents"))
+
+
+#: Distances and means in whole numbers, one pair of steps for each round.
+_ROUND = """
+), near{n} as materialized (
+  select p.id, p.place, p.x, p.vec_id, s.num from parts p join (
+    select id, arg_min(num, d * 8 + num) as num from (
+      select a.id, c.num, sum((a.x - c.x) * (a.x - c.x))::bigint as d from parts a join centre{n} c using (place) group by 1, 2) group by id) s using (id)
+), centre{m} as materialized (
+  select c.num, c.place, case when t.n is null then c.x else (t.s - ((t.s % t.n) + t.n) % t.n) // t.n end as x
+  from centre{n} c left join (select num, place, sum(x)::bigint as s, count(*) as n from near{n} group by 1, 2) t using (num, place)"""
+
+
+@query("op11_centroid_clustering", """
+with kept as materialized (
+  select row_number() over () as id, vec_id, embedding as v from embeddings
+  where len(embedding) = 64 and len(list_filter(embedding, lambda x: x is not null and isfinite(x))) = 64
+), parts as materialized (
+  select id, vec_id, unnest(range(1, 65)) as place, unnest(list_transform(v, lambda x: floor(1024 * x::double)::bigint)) as x from kept
+), first as (
+  select id, row_number() over (order by sha256('3:' || vec_id)) - 1 as num from kept order by num limit 8
+), centre0 as materialized (
+  select num, place, x from parts join first using (id)""" + "".join(_ROUND.format(n=n, m=n + 1) for n in range(10)) + """
+), last as (
+  select id, any_value(vec_id) as vec_id, num, sum((a.x - c.x) * (a.x - c.x))::bigint as d
+  from parts a join centre10 c using (place) group by id, num
+), best as (
+  select id, any_value(vec_id) as vec_id, arg_min(num, d * 8 + num) as cluster, min(d) as distance from last group by id
+), named as (
+  select num as cluster, sha256(string_agg(x::varchar, ',' order by place)) as centroid_sha256 from centre10 group by num
+)
+select vec_id, cluster::int as cluster, distance, (sum(distance) over (partition by cluster))::bigint as cluster_inertia,
+       (sum(distance) over ())::bigint as inertia, centroid_sha256
+from best join named using (cluster)
+""")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return centroid_clustering.report(_table(spark, folder, "embeddings"))
+
+
+@query("op12_language_id")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    return language_id.identify(docs, language_id.fit(docs))
+
+
+@query("op13_source_divergence", r"""
+with docs as (
+  select row_number() over () as id, coalesce(lang, '') as lang, coalesce(source, '') as source,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as text from documents
+), said as (
+  select id, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) as term from docs
+), counts as materialized (
+  select lang, source, term, count(*) as n, count(distinct id) as docs from said group by all
+), kept as materialized (
+  select lang, term, sum(n)::hugeint as total from counts group by all having sum(docs) >= 30
+), grp as materialized (
+  select lang, source, coalesce(n, 0)::hugeint as n, coalesce(v, 0)::hugeint as v, coalesce(nl, 0)::hugeint as nl
+  from (select distinct lang, source from docs)
+  left join (select lang, source, sum(n) as n from counts join kept using (lang, term) group by all) using (lang, source)
+  left join (select lang, count(*) as v, sum(total) as nl from kept group by all) using (lang)
+), share as materialized (
+  select g.lang, g.source, k.term, coalesce(c.n, 0) as c, 1 + (1000000000 * (coalesce(c.n, 0) + 5)::hugeint) // (g.n + 5 * g.v) as p,
+         1 + (1000000000 * (k.total + 5)) // (g.nl + 5 * g.v) as q
+  from grp g join kept k using (lang) left join counts c using (lang, source, term)
+), terms as (
+  select lang, source, 'term' as part, term as item, (p - q)::bigint as value,
+         row_number() over (partition by lang, source order by p - q desc, term) as rank
+  from share where c > 0 and p > q
+), pairs as (
+  select a.lang, a.source, b.source as item, sum(abs(a.p - b.p)) as value
+  from share a join share b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all
+), valued as (
+  select a.lang, a.source, 'pair' as part, b.source as item, coalesce(value, 0)::bigint as value
+  from grp a join grp b on a.lang = b.lang and a.source <> b.source
+  left join pairs p on p.lang = a.lang and p.source = a.source and p.item = b.source
+)
+select lang, source, part, item, value, rank::int as rank from terms where rank <= 50
+union all
+select lang, source, part, item, value, (row_number() over (partition by lang, source order by value desc, item))::int as rank from valued
+""")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return source_divergence.audit(_table(spark, folder, "documents"))
