@@ -121,6 +121,24 @@ def describe_by(spark, d):
     return rounded(PR.describe_by(line, "flag", "l_extendedprice"))
 
 
+DESCRIBED = [c for c in ("l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax").split()] + ["net", "days", "odd"]
+_DESCRIBED = f"""select nullif(l_returnflag, 'R') as flag, {', '.join(DESCRIBED[:8])}, l_extendedprice * (1 - l_discount) as net,
+  date_diff('day', date '1995-01-01', l_shipdate::date)::double as days,
+  case when l_linenumber = 1 then l_quantity - 25 end as odd from lineitem"""
+
+
+@check("describe_all", "AGG29", " union all ".join(
+    f"""select flag, '{c}' as variable, count({c}) as n, round(avg({c}), 4) as mean, round(stddev({c}), 4) as sd,
+  round(quantile_cont({c}::double, 0.05), 4) as p5, round(quantile_cont({c}::double, 0.5), 4) as median, round(quantile_cont({c}::double, 0.95), 4) as p95
+  from ({_DESCRIBED}) group by 1""" for c in DESCRIBED))
+def describe_all(spark, d):
+    line = Tables(spark, d).lineitem.select(
+        F.nullif("l_returnflag", F.lit("R")).alias("flag"), *DESCRIBED[:8], (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("net"),
+        F.date_diff("l_shipdate", F.lit("1995-01-01").cast("date")).cast("double").alias("days"),
+        F.when(F.col("l_linenumber") == 1, F.col("l_quantity") - 25).alias("odd"))
+    return rounded(PR.describe_all(line, "flag", DESCRIBED))
+
+
 @check("histogram", "AGG25", """
 with b as (select o_orderstatus, cast(least(floor(o_totalprice / 5000), 99) as integer) as bin, count(*) as n from orders
   where o_totalprice between 0 and 500000 group by 1, 2)
@@ -140,6 +158,27 @@ def corr_pairs(spark, d):
     return rounded(PR.correlation(Tables(spark, d).lineitem, CORR), 6)
 
 
+#: Sixty numbers of a line, a fifth of them unknown where the line number says so.
+MANY = {f"x{i}": ("l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_partkey", "l_suppkey")[i % 6] for i in range(60)}
+
+
+def _many(name: str, column: str) -> str:
+    i = int(name[1:])
+    value = f"({column} + {i} * l_quantity + (l_orderkey % {i + 2}) * l_linenumber)"
+    return f"case when l_linenumber <> {i // 12} then {value} end as {name}" if i % 5 == 0 else f"{value} as {name}"
+
+
+_MANY = ", ".join(_many(n, c) for n, c in MANY.items())
+
+
+@check("corr_many", "AGG26", f"with m as materialized (select {_MANY} from lineitem), c as (select " + ", ".join(
+    f"corr(x{i}, x{j}) as r_{i}_{j}" for i in range(60) for j in range(i + 1, 60)) + """ from m)
+select 'x' || split_part(name, '_', 2) as a, 'x' || split_part(name, '_', 3) as b, round(r, 5) as r from (unpivot c on * into name name value r)""")
+def corr_many(spark, d):
+    many = Tables(spark, d).lineitem.selectExpr(*[_many(n, c) for n, c in MANY.items()])
+    return rounded(PR.correlation(many, list(MANY)), 5)
+
+
 @check("perfect_pairs", "AGG26", """
 select a, b from (select 'q' as a, 'q2' as b, corr(l_quantity, 2 * l_quantity + 1) as r from lineitem
   union all select 'q', 'l_tax', corr(l_quantity, l_tax) from lineitem

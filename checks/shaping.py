@@ -390,8 +390,27 @@ with {ANCHOR}
 select user_id, event_id, event_type from (select e.*, row_number() over (partition by e.user_id order by ts desc, event_id) as rn
   from events e join anchor a on e.user_id = a.user_id and e.ts < a.t0 + interval 3 day) where rn = 1""")
 def latest_before(spark, d):
-    seen = anchored(Tables(spark, d), 3, hi_closed=False)
-    return O.first_row(seen, ["user_id"], [O.descending_time("ts"), F.col("event_id")], ["event_id", "event_type"])
+    ev = Tables(spark, d).events
+    cut = ev.groupBy("user_id").agg((F.min("ts") + F.expr("INTERVAL 3 DAY")).alias("cut"))
+    latest = F.struct("ts", (-F.col("event_id")).alias("order"), "event_id", "event_type")
+    found = O.totals_before(cut, ["user_id"], "cut", ev, "ts", maxima={"latest": latest}).where("latest is not null")
+    return found.select("user_id", "latest.event_id", "latest.event_type")
+
+
+@check("view_before_purchase", "WIN1 WIN9", """
+with p as (select event_id, user_id, ts from events where event_type = 'purchase'),
+s as (select user_id, ts, event_id, event_type, value from events where event_type in ('view', 'purchase')),
+w as (select event_id, event_type, max(case when event_type = 'view' then ts end) over o as view_ts,
+  count(case when event_type = 'view' then 1 end) over o as n_views, sum(case when event_type = 'view' then value end) over o as spent
+  from s window o as (partition by user_id order by ts range between unbounded preceding and interval 1 microsecond preceding))
+select event_id, view_ts, n_views, round(coalesce(spent, 0), 4) as spent from w where event_type = 'purchase'""")
+def view_before_purchase(spark, d):
+    ev = Tables(spark, d).events
+    bought = ev.where("event_type = 'purchase'").select("event_id", "user_id", "ts")
+    views = ev.where("event_type = 'view'").select("user_id", F.col("ts").alias("t"), "value")
+    out = O.totals_before(bought, ["user_id"], "ts", views, "t", {"n_views": F.lit(1), "spent": F.col("value")}, {"view_ts": F.col("t")})
+    return out.select("event_id", "view_ts", F.coalesce("n_views", F.lit(0).cast("long")).alias("n_views"),
+                      F.round(F.coalesce("spent", F.lit(0.0)), 4).alias("spent"))
 
 
 @check("worst_obs", "WIN7 WIN8 SRT3", """

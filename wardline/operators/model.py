@@ -122,32 +122,32 @@ def coefficients(fitted, df: DataFrame) -> list[tuple]:
 
 
 # --- evaluation ----------------------------------------------------------------------------------
-def auroc(df: DataFrame, outcome: str, score_column: str, cells: int | None = None) -> DataFrame:
-    """Exact area under the ROC curve; tied scores count half.
+def auroc(df: DataFrame, outcome: str, score_column: str, cells: int | None = None, by: tuple[str, ...] = ()) -> DataFrame:
+    """Exact area under the ROC curve; tied scores count half. ``by`` gives one row per group, in the same pass.
 
     Rows collapse to counts per score; the negatives below each score are a running total.
     """
     known = df.where(F.col(outcome).isNotNull() & F.col(score_column).isNotNull())
     x = F.col(score_column).cast("double").alias("__x")
-    per_score = known.groupBy(x).agg(
+    per_score = known.groupBy(*by, x).agg(
         F.sum(F.when(F.col(outcome) == 1, 1).otherwise(0)).alias("__p"),
         F.sum(F.when(F.col(outcome) == 1, 0).otherwise(1)).alias("__q"),
     )
     per_score = with_quantile_cell(per_score, known.select(x), "__x", "__cellno", cells)
-    cum = running_total(per_score, [], [F.col("__x")], F.col("__q"), F.col("__cellno"), "__neg")
+    cum = running_total(per_score, list(by), [F.col("__x")], F.col("__q"), F.col("__cellno"), "__neg")
     wins = F.sum(F.col("__p") * (F.col("__neg") - F.col("__q") / 2.0))
-    return cum.agg(
+    return cum.groupBy(*by).agg(
         F.sum("__p").alias("n_pos"), F.sum("__q").alias("n_neg"),
         F.try_divide(wins, F.sum("__p") * F.sum("__q")).alias("auroc"),
     )
 
 
-def calibration(df: DataFrame, outcome: str, p: str, bins: int = 10) -> DataFrame:
-    """Mean prediction and observed fraction per uniform bin; empty bins do not appear."""
+def calibration(df: DataFrame, outcome: str, p: str, bins: int = 10, by: tuple[str, ...] = ()) -> DataFrame:
+    """Mean prediction and observed fraction per group and uniform bin; empty bins do not appear."""
     bin_no = F.least(F.floor(F.col(p) * bins), F.lit(bins - 1)).cast("int")
     return (
         df.where(F.col(p).isNotNull() & F.col(outcome).isNotNull())
-        .groupBy(bin_no.alias("bin"))
+        .groupBy(*by, bin_no.alias("bin"))
         .agg(F.count(F.lit(1)).alias("n"), F.avg(p).alias("mean_predicted"),
              F.avg(F.col(outcome).cast("double")).alias("fraction_positive"))
     )

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.scalars import _col, micros, seconds
+from .balanced import bound_index
 
 _CELL, _BASE, _TOTAL = "__cell", "__base", "__total"
 _BEFORE = (Window.unboundedPreceding, -1)
@@ -45,7 +46,7 @@ def with_quantile_cell(df: DataFrame, sample: DataFrame, column: str, out: str,
     cells = cells or max(64, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     probs = F.array(*[F.lit(i / cells) for i in range(1, cells)])
     bounds = sample.agg(F.array_distinct(F.percentile_approx(column, probs, F.lit(4 * cells)))).scalar()
-    below = F.size(F.filter("__bounds", lambda bound: bound < F.col(column)))
+    below = bound_index("__bounds", F.col(column), 1 << cells.bit_length())
     return df.withColumn("__bounds", bounds).select(*df.columns, F.coalesce(below, F.lit(0)).cast("double").alias(out))
 
 
@@ -202,6 +203,42 @@ def previous_within(
     return found.select(*df.columns, *taken)
 
 
+def totals_before(
+    left: DataFrame,
+    on: list[str],
+    at: str,
+    rows: DataFrame,
+    ts: str,
+    sums: dict[str, Column] | None = None,
+    maxima: dict[str, Column] | None = None,
+    closed: bool = False,
+    width: int = 7 * 86400,
+) -> DataFrame:
+    """Every left row with sums and maxima over all ``rows`` of its key before ``at`` (or at it, if ``closed``).
+
+    A prefix scan: rows are totalled per key and time cell, a window over the cells carries the totals on, and a left
+    row adds what its own cell holds before it. There is no limit to how far back a row may lie, and no left row
+    meets a row. The maximum of a struct that begins with the time is the latest row. Null where there is none.
+    """
+    sums, maxima = sums or {}, maxima or {}
+    values = [c.alias(f"__v{i}") for i, c in enumerate([*sums.values(), *maxima.values()])]
+    folds = [F.sum] * len(sums) + [F.max] * len(maxima)
+    names = [f"__v{i}" for i in range(len(values))]
+    known = rows.where(F.col(ts).isNotNull() & F.expr(" and ".join(f"`{k}` is not null" for k in on))).select(
+        *on, time_cell(ts, width).alias("__cell"), F.col(ts).alias("__ts"), F.lit(1 if closed else 3).alias("__kind"), *values)
+    asking = left.select(*on, time_cell(at, width).alias("__cell"), F.col(at).alias("__ts"), F.lit(2).alias("__kind"), F.struct("*").alias("__l"))
+    totals = known.groupBy(*on, "__cell").agg(*[f(n).alias(n) for f, n in zip(folds, names)])
+    cells = totals.unionByName(asking.select(*on, "__cell", F.lit(True).alias("__asked")).distinct(), allowMissingColumns=True)
+    earlier = Window.partitionBy(*on).orderBy("__cell").rangeBetween(Window.unboundedPreceding, -1)
+    carried = cells.select(*on, "__cell", "__asked", *[f(n).over(earlier).alias(n) for f, n in zip(folds, names)]).where("__asked").drop("__asked")
+    stacked = asking.unionByName(known, allowMissingColumns=True).unionByName(
+        carried.withColumn("__kind", F.lit(0)), allowMissingColumns=True)
+    upto = Window.partitionBy(*on, "__cell").orderBy((F.col("__kind") > 0), "__ts", "__kind").rowsBetween(*_UP_TO)
+    found = stacked.select("__kind", "__ts", "__l", *[f(n).over(upto).alias(n) for f, n in zip(folds, names)]).where("__kind = 2")
+    outs = [F.when(F.col("__ts").isNotNull(), F.col(n)).alias(out) for n, out in zip(names, [*sums, *maxima])]
+    return found.select("__l.*", *outs)
+
+
 # --- one row per key -------------------------------------------------------------------------
 def nulls_last(c) -> Column:
     c = _col(c)

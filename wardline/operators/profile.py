@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .ordered import exact_quantiles
+from .selection import quantiles
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
@@ -120,13 +122,20 @@ def table_one(df: DataFrame, by: str, categorical: list[str], continuous: list[s
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
-def describe_by(df: DataFrame, by: str, column: str, cells: int | None = None) -> DataFrame:
-    """Mean, SD, median, 5th and 95th percentile by group, exact."""
-    moments = df.groupBy(by).agg(F.count(column).alias("n"), F.avg(column).alias("mean"), F.stddev(column).alias("sd"))
-    quantiles = exact_quantiles(df, [by], column, {"p5": 0.05, "median": 0.5, "p95": 0.95}, cells)
+def describe_all(df: DataFrame, by: str, columns: list[str]) -> DataFrame:
+    """Known values, mean, SD, median, 5th and 95th percentile of every column by group, exact; one row per group and variable."""
+    moments = df.groupBy(by).agg(*[
+        F.struct(F.count(c).alias("n"), F.avg(c).alias("mean"), F.stddev(c).alias("sd")).alias(c) for c in columns])
+    long = _unpivot(moments, [by], columns, "variable", "s").select(by, "variable", "s.n", "s.mean", "s.sd")
+    ranked = quantiles(df, [by], columns, {"p5": 0.05, "median": 0.5, "p95": 0.95}).withColumnRenamed(by, "__by").withColumnRenamed("variable", "__v")
     # null-safe: rows without a group are a group of their own
-    other = quantiles.withColumnRenamed(by, "__by")
-    return moments.join(other, F.col(by).eqNullSafe(F.col("__by")), "left").drop("__by")
+    same = F.col(by).eqNullSafe(F.col("__by")) & (F.col("variable") == F.col("__v"))
+    return long.join(ranked, same, "left").drop("__by", "__v")
+
+
+def describe_by(df: DataFrame, by: str, column: str) -> DataFrame:
+    """Mean, SD, median, 5th and 95th percentile of one column by group, exact."""
+    return describe_all(df, by, [column]).drop("variable")
 
 
 def histogram(df: DataFrame, column: str, lo: float, hi: float, bins: int,
@@ -150,19 +159,69 @@ def histogram(df: DataFrame, column: str, lo: float, hi: float, bins: int,
     )
 
 
+#: Columns up to which every pair is an aggregate of its own, and columns in a block beyond that.
+DIRECT_COLUMNS, BLOCK = 12, 32
+
+
 def correlation(df: DataFrame, columns: list[str]) -> DataFrame:
     """Pearson correlation of every pair of columns over the rows where both are known.
 
-    Each row unfolds into its known values, squares and products on the map side and combines before the
-    shuffle, so the plan stays small for any number of columns and one row per pair is shuffled per task.
+    Few columns are one aggregation. More are cut into blocks: a task multiplies the blocks of its rows as matrices
+    and sends one row of sums for each pair of blocks, whatever the number of rows. A pair without a common row does
+    not appear; one that is constant on its common rows has a null.
     """
-    known = [F.struct(F.lit(i).alias("i"), F.col(f"`{c}`").cast("double").alias("v")) for i, c in enumerate(columns)]
-    row = df.select(F.filter(F.array(*known), lambda s: s.v.isNotNull()).alias("r"))
-    pairs = row.select("r", F.explode("r").alias("x")).select("x", F.explode("r").alias("y")).where("x.i < y.i")
-    values = pairs.select(F.col("x.i").alias("i"), F.col("y.i").alias("j"), F.col("x.v").alias("u"), F.col("y.v").alias("w"))
-    sums = values.groupBy("i", "j").agg(F.corr("u", "w").alias("r"))
+    if len(columns) > DIRECT_COLUMNS:
+        return _block_correlation(df, columns)
+    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1:]]
+    both = [F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.corr(F.col(f"`{a}`").cast("double"), F.col(f"`{b}`").cast("double")).alias("r"),
+                     F.count(F.when(F.col(f"`{a}`").isNotNull() & F.col(f"`{b}`").isNotNull(), 1)).alias("n")) for a, b in pairs]
+    return df.agg(F.array(*both).alias("p")).select(F.inline("p")).where("n > 0").drop("n")
+
+
+def _block_correlation(df: DataFrame, columns: list[str], width: int = BLOCK) -> DataFrame:
+    # centred on the mean of the finite values, so that the sums lose no digits
+    value = [F.col(f"`{c}`").cast("double") for c in columns]
+    finite = [F.when(F.abs(v) < float("inf"), v) for v in value]
+    means = df.agg(F.array(*[F.coalesce(F.avg(v), F.lit(0.0)) for v in finite])).scalar()
+    centred = df.withColumn("__m", means).select(*[(v - F.get("__m", F.lit(i))).alias(f"c{i}") for i, v in enumerate(value)])
+    wide = len(columns)
+    starts = range(0, wide, width)
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        total = {}
+        for batch in batches:
+            x = np.stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(wide)], axis=1)
+            known = np.stack([batch.column(i).is_valid().to_numpy(zero_copy_only=False) for i in range(wide)], axis=1).astype(float)
+            odd = known * ~np.isfinite(x)
+            x = np.where((known > 0) & (odd == 0), x, 0.0)
+            for i in starts:
+                for j in range(i, wide, width):
+                    p, q = slice(i, i + width), slice(j, j + width)
+                    sums = (known[:, p].T @ known[:, q], x[:, p].T @ known[:, q], known[:, p].T @ x[:, q], (x[:, p] ** 2).T @ known[:, q],
+                            known[:, p].T @ (x[:, q] ** 2), x[:, p].T @ x[:, q], odd[:, p].T @ known[:, q] + known[:, p].T @ odd[:, q])
+                    cell = np.zeros((len(sums), width, width))
+                    cell[:, :sums[0].shape[0], :sums[0].shape[1]] = sums
+                    total[i, j] = total[i, j] + cell if (i, j) in total else cell
+        if total:
+            yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in total], pa.int32()), pa.array([j for _, j in total], pa.int32()),
+                                              pa.array([c.reshape(-1) for c in total.values()], pa.list_(pa.float64()))], ["i", "j", "sums"])
+
+    parts = centred.mapInArrow(run, "i int, j int, sums array<double>")
+    blocks = parts.groupBy("i", "j").agg(Summarizer.sum(array_to_vector("sums")).alias("s")).select("i", "j", vector_to_array("s").alias("s"))
+    cells = blocks.select("*", F.explode(F.sequence(F.lit(0), F.lit(width * width - 1))).alias("at"))
     names = F.array(*[F.lit(c) for c in columns])
-    return sums.select(F.element_at(names, F.col("i") + 1).alias("a"), F.element_at(names, F.col("j") + 1).alias("b"), "r")
+    first, second = F.col("i") + F.floor(F.col("at") / width), F.col("j") + F.col("at") % width
+    sums = [F.get("s", F.col("at") + k * width * width).alias(n) for k, n in enumerate(("n", "sx", "sy", "sxx", "syy", "sxy", "odd"))]
+    pairs = cells.select(first.alias("a"), second.alias("b"), *sums).where(f"a < b and b < {wide} and n > 0")
+    # a spread that is lost in rounding counts as none
+    spread = [F.when(F.col("n") * F.col(s2) - F.col(s) * F.col(s) > 1e-12 * F.col("n") * F.col(s2), F.col("n") * F.col(s2) - F.col(s) * F.col(s))
+              for s, s2 in (("sx", "sxx"), ("sy", "syy"))]
+    r = (F.col("n") * F.col("sxy") - F.col("sx") * F.col("sy")) / F.sqrt(spread[0]) / F.sqrt(spread[1])
+    return pairs.select(F.get(names, F.col("a").cast("int")).alias("a"), F.get(names, F.col("b").cast("int")).alias("b"),
+                        F.when(F.col("odd") > 0, F.lit(float("nan"))).otherwise(r).alias("r"))
 
 
 def perfect_pairs(corr: DataFrame, tolerance: float = 1e-12) -> DataFrame:

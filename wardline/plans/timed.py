@@ -19,7 +19,7 @@ from ..operators import pivot as P
 from ..operators import score as SC
 from ..operators.cohort import flag_exclusions
 from ..operators.conform import apply_field_map
-from ..operators.windows import events_before, events_in_window, overlap_flag
+from ..operators.windows import events_in_window, overlap_flag
 from ..registry import header_schema
 from . import timed_rules as R
 
@@ -255,12 +255,13 @@ def smoking_from_notes(notes: DataFrame) -> DataFrame:
 
 def latest_service(stays: DataFrame, services: DataFrame, by: list[str]) -> DataFrame:
     """Service in charge at the end of the first day."""
-    joined = stays.select(*dict.fromkeys(["hadm_id", *by]), "intime").join(
-        services.select("hadm_id", "transfertime", "curr_service"), "hadm_id")
-    before = joined.where(F.col("transfertime") < S.shift("intime", days=1))
-    picked = O.first_row(before, by, [O.descending_time("transfertime"), O.nulls_last("curr_service")],
-                         ["curr_service"])
-    return picked.withColumnRenamed("curr_service", "first_service")
+    held = services.groupBy("hadm_id", "transfertime").agg(F.min("curr_service").alias("curr_service"))
+    asked = stays.select(*dict.fromkeys(["hadm_id", *by]), S.shift("intime", days=1).alias("cutoff"))
+    latest = F.struct("transfertime", "curr_service")
+    found = O.totals_before(asked, ["hadm_id"], "cutoff", held, "transfertime", maxima={"latest": latest})
+    # of several stays of one admission the one that saw the latest transfer
+    return found.where("latest is not null").groupBy(*by).agg(F.max("latest").alias("latest")).select(
+        *by, F.col("latest.curr_service").alias("first_service"))
 
 
 def demographics(stays: DataFrame, chart: DataFrame, notes: DataFrame, services: DataFrame) -> DataFrame:
@@ -277,15 +278,16 @@ def demographics(stays: DataFrame, chart: DataFrame, notes: DataFrame, services:
         F.col("itemid").isin(*items) & F.col("valuenum").isNotNull() & _not_error(chart)
     ).select("icustay_id", "charttime", label.alias("label"),
              F.when(user, F.lit(2.0)).otherwise(value).alias("v"))
-    seen = events_before(stays.select("icustay_id", "intime"), rows, ["icustay_id"], "charttime",
-                         S.shift("intime", days=1))
 
     def of(name):
         return F.when(F.col("label") == name, F.col("v"))
 
-    demo = seen.groupBy("icustay_id").agg(
-        F.avg(of("weight")).alias("weight"), F.avg(of("height")).alias("height"),
-        F.max(of("pregnant")).alias("pregnant"), F.max(of("smoking")).alias("item_smoking"))
+    measured = {"weight": of("weight"), "height": of("height")}
+    counted = {f"n_{n}": c.isNotNull().cast("long") for n, c in measured.items()}
+    cutoff = stays.select("icustay_id", S.shift("intime", days=1).alias("cutoff"))
+    known = O.totals_before(cutoff, ["icustay_id"], "cutoff", rows, "charttime", measured | counted,
+                            {"pregnant": of("pregnant"), "item_smoking": of("smoking")})
+    demo = known.select("icustay_id", *[F.try_divide(n, f"n_{n}").alias(n) for n in measured], "pregnant", "item_smoking")
     numbered = O.sequence(stays.select(*STAY, "intime"), ["hadm_id"], [F.col("intime").asc_nulls_last(), F.col("icustay_id")],
                           O.time_cell("intime", 7 * DAY), "stay_no")
     named = S.map_codes(F.col("item_smoking").cast("int"), R.SMOKING_LABELS)
