@@ -269,9 +269,8 @@ def test_large_line_buckets_without_all_pairs(spark, monkeypatch):
     near = [(a, b) for a in range(len(texts)) for b in range(a) if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])]
     asked, compared = [], line_dedup._compared
     monkeypatch.setattr(line_dedup, "_compared", lambda pairs, lines: asked.append(pairs.count()) or compared(pairs, lines))
-    table = spark.createDataFrame([(str(k).encode(), x) for k, x in enumerate(texts)], "id binary, line string")
-    marked = spark.createDataFrame([(k, str(k).encode(), [7]) for k in range(len(texts))], "number long, id binary, bands array<long>")
-    edges = [(r.a, r.b) for r in line_dedup.links(table, marked).collect()]
+    marked = spark.createDataFrame([(k, str(k).encode(), x, [7]) for k, x in enumerate(texts)], "number long, id binary, line string, bands array<long>")
+    edges = [(r.a, r.b) for r in line_dedup.links(marked).collect()]
     assert union_find(len(texts), edges) == union_find(len(texts), near) and set(edges) <= {(b, a) for a, b in near}
     assert sum(asked) < len(texts) * (len(texts) - 1) // 10
 
@@ -286,7 +285,7 @@ def test_line_recall_at_the_threshold():
         a, b = pool[:100], np.concatenate([pool[10:100], pool[100:]])  # 90 shared of 110
         least = [np.asarray([(s ^ m).min() for m in masks]).reshape(line_dedup.BANDS, line_dedup.ROWS) for s in (a, b)]
         met += bool((least[0] == least[1]).all(axis=1).any())
-    assert met >= 390
+    assert met >= 399
 
 
 def test_line_bands_lose_few_pairs_at_the_threshold():
