@@ -269,8 +269,8 @@ def test_large_line_buckets_without_all_pairs(spark, monkeypatch):
     near = [(a, b) for a in range(len(texts)) for b in range(a) if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])]
     asked, compared = [], line_dedup._compared
     monkeypatch.setattr(line_dedup, "_compared", lambda pairs, lines: asked.append(pairs.count()) or compared(pairs, lines))
-    marked = spark.createDataFrame([(k, str(k).encode(), x, [7]) for k, x in enumerate(texts)], "number long, id binary, line string, bands array<long>")
-    edges = [(r.a, r.b) for r in line_dedup.links(marked).collect()]
+    table = spark.createDataFrame([(k, str(k).encode(), x, [7]) for k, x in enumerate(texts)], "number long, id binary, line string, bands array<long>")
+    edges = [(r.a, r.b) for r in line_dedup.links(table, table).collect()]
     assert union_find(len(texts), edges) == union_find(len(texts), near) and set(edges) <= {(b, a) for a, b in near}
     assert sum(asked) < len(texts) * (len(texts) - 1) // 10
 
