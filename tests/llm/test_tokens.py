@@ -13,7 +13,7 @@ P = pytest.importorskip("public_tokenizers")
 tiktoken = pytest.importorskip("tiktoken")
 from tokenizers import Tokenizer  # noqa: E402
 
-from wardline.llm import bpe_codec, packing, token_counts, units  # noqa: E402
+from wardline.llm import bpe_codec, packing, token_counts, units, words  # noqa: E402
 
 JSON, RANKS = P.path("byte_bpe_50k.json"), P.path("byte_bpe_50k.tiktoken")
 
@@ -125,3 +125,50 @@ def test_plan_holds_every_length(lengths):
         places = sorted(zip(sequence.tolist(), offset.tolist(), length.tolist()))
         for (s, o, n), (s2, o2, _) in zip(places, places[1:]):
             assert o2 == o + n if s == s2 else o2 == 0
+
+
+def test_words_like_the_library(monkeypatch):
+    """Texts of white space, signs and letters of all sorts, with a memory that is always full."""
+    monkeypatch.setattr(words, "REMEMBERED", 200)
+    monkeypatch.setattr(words, "TOGETHER", 7)
+    library, rng = Tokenizer.from_file(JSON), random.Random(5)
+    mine = words.WordIds(library)
+    parts = [" ", " ", " ", "\n", "\n", "\t", "\r", "\x0b", "\x1c", "\x1f", "\x85", "\xa0", "\u2003", "\u180e", "\u200b", "\u3000", "a", "b", "the", "é",
+             "Ü", "ß", "ń", "日", "1", "²", "Ⅷ", "'s", "'t", "'", "’", ".", ",", "!", "?", "#", "|", "_", "<|endoftext|>", "<|", "💩", "ª", "word", "Word", "don't"]
+    for _ in range(10):
+        texts = ["".join(rng.choices(parts, k=rng.randint(0, 30))) for _ in range(1000)] + ["", " ", "\n", "  a", "x " * 3000, "a\n\n"]
+        want = [np.asarray(e.ids, "<u4").tobytes() for e in library.encode_batch(texts, add_special_tokens=False)]
+        assert mine.ids(texts) == want
+
+
+def item_best_fit(lengths, capacity):
+    rooms = []
+    for n in sorted(lengths, reverse=True):
+        fits = [k for k, room in enumerate(rooms) if room >= n]
+        if fits:
+            rooms[min(fits, key=lambda k: rooms[k])] -= n
+        else:
+            rooms.append(capacity - n)
+    return len(rooms)
+
+
+@pytest.mark.parametrize("low,high,count", [(1, 2048, 1500), (900, 1149, 1000), (600, 779, 1000), (1, 40, 3000), (683, 683, 301)])
+def test_plan_is_no_worse_than_best_fit_and_the_bound_holds(low, high, count):
+    lengths = np.random.default_rng(7).integers(low, high + 1, count).tolist()
+    histogram = dict(collections.Counter(lengths))
+    planned, fitted = (sum(n for _, n in packing.plan(histogram)), sum(n for _, n in packing._best_fit(histogram, 2048)))
+    bound = packing.lower_bound(histogram)
+    assert fitted == item_best_fit(lengths, 2048)
+    assert -(-sum(lengths) // 2048) <= bound <= planned <= fitted
+
+
+def test_bound_is_met_where_it_is_tight():
+    assert packing.lower_bound({1025: 7}) == 7 and packing.lower_bound({683: 10}) == 5 and packing.lower_bound({}) == 0
+    assert packing.lower_bound({700: 10, 1400: 1}) == 6 == sum(n for _, n in packing.plan({700: 10, 1400: 1}))
+
+
+def test_identical_rows_are_numbered_by_many_tasks(documents, monkeypatch):
+    monkeypatch.setattr(packing, "PIECES_PER_SALT", 50)
+    rows = packing.packed_pieces(documents([(None, "")] * 500 + [(1, "a b c")] * 300), JSON, 16).collect()
+    assert len(rows) == 800 and len({(r.sequence_id, r.offset) for r in rows}) == 800
+    assert len({r.sequence_id for r in rows}) == -(-(500 + 300 * 4) // 16)

@@ -4,21 +4,20 @@ The lengths 1..capacity form a histogram of bounded size, and only that reaches
 a variable for each way to fill a sequence (a configuration) and asks for the fewest sequences that cover the
 histogram. Multiplicative weights solve it: every length has a price, starting at its share of the capacity;
 a knapsack by dynamic programming finds the configurations of greatest price; a step of each is taken, and
-the prices of what it covered fall. Whole parts of the steps are kept, and what rounding leaves open (at most
-a few lengths per configuration, whatever the input) is packed best fit, longest first.
+the prices of what it covered fall. Whole parts of the steps are kept where they fill their sequences, and the rest is
+packed best fit, longest first, all equal sequences together.
 
 The plan is a table of slots: for a length, ranks from..to go to which sequences and places. Pieces get their
 rank within their length from salted counts, so a length that holds most pieces is numbered by many tasks.
 
 Defined results: null text counts as empty, an empty document is its end id alone; only documents longer than
 a sequence are cut, their first piece taking the remainder; a null doc_id and repeated rows are packed like
-any other; an empty table gives an empty result.
+any other, each for itself; other columns are not read; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import os
-import struct
 import zlib
 from bisect import bisect_left
 from collections.abc import Iterator
@@ -28,30 +27,27 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .bpe_codec import byte_characters
 from .common import slices, text_of, written
-from .units import TEXT_BYTES, UnitMemory, byte_level_ids, worker_store
+from .units import TEXT_BYTES, worker_store
+from .words import WordIds
 
 CAPACITY = 2048
 #: Share of a length that one step may cover, fall of its price when all of it is covered, steps per knapsack.
-STEP, FALL, STEPS_PER_KNAPSACK = 1 / 8, 0.5, 32
+STEP, FALL, STEPS_PER_KNAPSACK = 1 / 8, 4.0, 32
 #: Pieces that one numbering task sees on average.
 PIECES_PER_SALT = 100_000
 
 
 # pieces --------------------------------------------------------------------------------------------------
 
-def _encoder(path: str) -> UnitMemory:
-    """Ids as little-endian bytes for distinct strings; special strings as the library treats them by default."""
+def _encoder(path: str) -> WordIds:
+    """Ids as little-endian bytes; special strings as the library treats them by default."""
     store, key = worker_store(), f"packing ids {path}"
     if key not in store:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_file(path)
-        specials = tuple(t.content for t in tokenizer.get_added_tokens_decoder().values())
-        ids = byte_level_ids(tokenizer, byte_characters())
-        store[key] = UnitMemory(lambda texts: [struct.pack(f"<{len(x)}I", *x) for x in ids(texts)], specials)
+        store[key] = WordIds(Tokenizer.from_file(path))
     return store[key]
 
 
@@ -63,8 +59,8 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: in
         encoder = _encoder(tokenizer)
         for part in slices(batches, size=TEXT_BYTES):
             owner, number, start, length, crc, ids = [], [], [], [], [], []
-            for row, units in enumerate(encoder.values(part.column("text").to_pylist())):
-                whole = b"".join(units) + end
+            for row, ids_of_text in enumerate(encoder.ids(part.column("text").to_pylist())):
+                whole = ids_of_text + end
                 total = len(whole) // 4
                 cuts = [0, *range(total % capacity or capacity, total + 1, capacity)] if total > capacity else [0, total]
                 for k, (a, b) in enumerate(zip(cuts, cuts[1:])):
@@ -140,46 +136,92 @@ def solve(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tup
             steps[key] = steps.get(key, 0.0) + amount
 
 
-def _best_fit(lengths: list[int], capacity: int) -> list[list[int]]:
-    """Longest first, each into the fullest sequence that still takes it."""
-    rooms: dict[int, list[list[int]]] = {}
+def lower_bound(histogram: dict[int, int], capacity: int = CAPACITY, rounds: int = 8) -> int:
+    """Sequences that no packing can do without: the dual value of the program at a few price vectors.
+
+    With the prices scaled so that no configuration is worth more than 1, the histogram's worth is a bound. The
+    lengths themselves are prices (the volume bound); prices that rise at shares of the capacity are others.
+    """
+    sizes = np.asarray(sorted(histogram), np.int64)
+    need = np.asarray([histogram[s] for s in sizes], np.float64)
+    if not len(sizes):
+        return 0
+    best = int(-(-int((sizes * need).sum()) // capacity))
+    for k in range(1, rounds):
+        price = np.floor(sizes * (k + 1) / (capacity + 1)) / k  # at most k items are worth 1/k or more
+        worth = _knapsack(sizes, price, capacity)[0][capacity]
+        if worth > 0:
+            best = max(best, int(np.ceil((price * need).sum() / worth - 1e-6)))
+    return best
+
+
+def _best_fit(histogram: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], int]]:
+    """Longest first, each into the fullest sequence that still takes it; equal sequences are filled together.
+
+    Configurations with counts, so the work follows the number of different lengths, not the number of pieces.
+    """
+    rooms: dict[int, list[tuple[tuple[int, ...], int]]] = {}
     order: list[int] = []
-    done = []
-    for n in sorted(lengths, reverse=True):
-        at = bisect_left(order, n)
-        if at == len(order):
-            target, room = [], capacity
-            done.append(target)
-        else:
-            room = order[at]
-            target = rooms[room].pop()
-            if not rooms[room]:
-                del rooms[room], order[at]
-        target.append(n)
-        if rest := room - n:
-            if rest not in rooms:
-                rooms[rest] = []
-                order.insert(bisect_left(order, rest), rest)
-            rooms[rest].append(target)
-    return done
+
+    def put(items: tuple[int, ...], count: int, room: int) -> None:
+        if room not in rooms:
+            rooms[room] = []
+            order.insert(bisect_left(order, room), room)
+        rooms[room].append((items, count))
+
+    for size in sorted(histogram, reverse=True):
+        left = histogram[size]
+        while left:
+            at = bisect_left(order, size)
+            if at == len(order):
+                room, items, count = capacity, (), left
+            else:
+                room = order[at]
+                items, count = rooms[room].pop()
+                if not rooms[room]:
+                    del rooms[room], order[at]
+            times = room // size  # the fullest sequence is the one just filled, as long as it takes more
+            filled = min(count, left // times)
+            if filled:
+                put(items + (size,) * times, filled, room - times * size)
+                left -= filled * times
+            if left and left < times and filled < count:
+                put(items + (size,) * left, 1, room - left * size)
+                filled, left = filled + 1, 0
+            if items and filled < count:
+                put(items, count - filled, room)
+    return [group for groups in rooms.values() for group in groups]
+
+
+#: Empty places up to which a sequence of the rounded program is kept; the pieces of the others are packed anew.
+KEPT_WASTE = (CAPACITY, 64, 16, 4, 1, 0)
 
 
 def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tuple[int, ...], int]]:
-    """Configurations with whole counts; together they hold every length exactly as often as it occurs."""
-    left = {s: n for s, n in histogram.items() if s < capacity}
+    """Configurations with whole counts; together they hold every length exactly as often as it occurs.
+
+    The whole parts of the program's solution are kept as far as they fill their sequences, the rest is packed best fit.
+    Of several bounds on the filling, and of best fit alone, the one with the fewest sequences is taken.
+    """
+    todo = {s: n for s, n in histogram.items() if n and s < capacity}
     full = [((capacity,), histogram[capacity])] if histogram.get(capacity) else []
-    chosen = []
-    for items, x in solve(left, capacity):
-        count = int(x + 1e-6)
-        count = min([count, *(left[s] // items.count(s) for s in set(items))])
-        if count:
-            chosen.append((items, count))
-            for s in items:
-                left[s] -= count
-    rest: dict[tuple[int, ...], int] = {}
-    for items in _best_fit([s for s, n in left.items() for _ in range(n)], capacity):
-        rest[tuple(items)] = rest.get(tuple(items), 0) + 1
-    return full + chosen + list(rest.items())
+    solved = sorted(solve(todo, capacity), key=lambda c: sum(c[0]), reverse=True)
+    best = None
+    for waste in (*KEPT_WASTE, -1):
+        left, chosen = dict(todo), []
+        for items, x in solved:
+            if capacity - sum(items) > waste:
+                break
+            # once more than the whole part, if the lengths are there: it fills its sequence
+            count = min([int(x + 1 - 1e-6), *(left[s] // items.count(s) for s in set(items))])
+            if count:
+                chosen.append((items, count))
+                for s in items:
+                    left[s] -= count
+        chosen += _best_fit({s: n for s, n in left.items() if n}, capacity)
+        if best is None or sum(n for _, n in chosen) < sum(n for _, n in best):
+            best = chosen
+    return full + best
 
 
 class Slots:
@@ -213,13 +255,14 @@ class Slots:
 # packing -------------------------------------------------------------------------------------------------
 
 def pack(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """The pieces with ``sequence_id`` and ``offset``; ``cut`` must be a written table with a column ``length``."""
+    """The pieces with ``sequence_id`` and ``offset``; ``cut`` must be a written Parquet table with a column ``length``."""
     histogram = {r.length: r.n for r in cut.groupBy("length").agg(F.count("*").alias("n")).collect()}
     slots = Slots(plan(histogram, capacity))
     salts = max(1, sum(histogram.values()) // PIECES_PER_SALT)
-    order = [F.col(f"`{c}`") for c in cut.columns if c not in ("length", "ids")]
-    salted = cut.select(F.struct(*[F.col(f"`{c}`") for c in cut.columns]).alias("row"), "length",
-                        F.pmod(F.xxhash64(*order), F.lit(salts)).alias("salt"), F.struct(*order).alias("order"))
+    # a row's place in the written files tells even identical rows apart, so no salt is hot
+    place = F.struct(F.xxhash64("_metadata.file_name").alias("f"), F.col("_metadata.row_index").alias("i"))
+    salted = cut.select(F.struct(*[F.col(f"`{c}`") for c in cut.columns]).alias("row"), "length", place.alias("order")).withColumn(
+        "salt", F.pmod(F.xxhash64("order"), F.lit(salts)))
     before = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
     counts = salted.groupBy("length", "salt").agg(F.count("*").alias("n")).select(
         "length", "salt", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
