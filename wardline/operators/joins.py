@@ -111,7 +111,7 @@ def latest_consistent(
 
 # --- code maps --------------------------------------------------------------------------------
 def lookup(df: DataFrame, dim: DataFrame, on: dict[str, str], take: dict[str, str]) -> DataFrame:
-    """Left join to a checked-size code map on one or more keys.
+    """Left join to a code map on one or more keys; adaptive execution broadcasts it where it measures small.
 
     ``on`` maps data columns to map columns and ``take`` map columns to output names, so clashing
     names never meet.
@@ -160,19 +160,73 @@ def coverage(
     )
 
 
-def reconcile(a: DataFrame, b: DataFrame, key: str, columns: list[str]) -> DataFrame:
-    """Per column, how many rows of ``a`` agree with ``b`` (null agrees with null)."""
-    left = a.select(key, *[F.col(c).alias(f"__a_{c}") for c in columns])
-    right = b.select(key, *[F.col(c).alias(f"__b_{c}") for c in columns])
+#: Bits by which each level of the digest tree cuts the key space.
+LEVEL_BITS = 12
+
+
+def _both_sides(a: DataFrame, b: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """Rows of both sides with a known key: side, place of the key's hash, two digests of the row."""
+    def side(df, which):
+        row = [F.col(f"`{c}`") for c in (key, *columns)]
+        return df.where(F.col(key).isNotNull()).select(
+            F.lit(which).alias("side"), F.xxhash64(key).alias("at"), F.xxhash64(*row).alias("d1"), F.xxhash64(F.lit("2"), *row).alias("d2"))
+
+    return side(a, 0).unionByName(side(b, 1))
+
+
+def differing_ranges(a: DataFrame, b: DataFrame, key: str, columns: list[str], levels: int = 2) -> DataFrame:
+    """Ranges of the key's hash in which the two versions differ: ``range``, ``rows_a``; 2^(12 * levels) ranges in all.
+
+    A digest tree, read from the top: every level totals counts and digests of the ranges that differed on the level
+    above, both sides in one pass, and goes on with those that differ. What a task sends is one row per range it met.
+    Keys must be unique on each side, as for any row-by-row comparison; rows with a null key are left out.
+    """
+    rows, found = _both_sides(a, b, key, columns), None
+    for level in range(1, levels + 1):
+        if found is not None:
+            above = F.shiftright("at", 64 - LEVEL_BITS * (level - 1)).alias("range")
+            # at most 2^12 rows below the top, and only as many as there are ranges with a difference
+            rows = rows.withColumn("range", above).join(F.broadcast(found.select("range")) if level == 2 else found.select("range"), "range", "left_semi")
+        digest = [F.count(F.when(F.col("side") == w, 1)).alias(f"rows_{n}") for w, n in ((0, "a"), (1, "b"))]
+        digest += [F.coalesce(F.bit_xor(F.when(F.col("side") == w, F.col(d))), F.lit(0)).alias(f"{d}_{w}") for w in (0, 1) for d in ("d1", "d2")]
+        totals = rows.groupBy(F.shiftright("at", 64 - LEVEL_BITS * level).alias("range")).agg(*digest)
+        found = totals.where("rows_a <> rows_b or d1_0 <> d1_1 or d2_0 <> d2_1").select("range", "rows_a")
+    return found
+
+
+def _differing_rows(a: DataFrame, b: DataFrame, key: str, columns: list[str], levels: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Both sides cut down to the differing ranges (rows of ``a`` without a key stay), and the ranges."""
+    found = differing_ranges(a, b, key, columns, levels)
+    here = F.shiftright(F.xxhash64(key), 64 - LEVEL_BITS * levels)
+    wanted = found.select(F.col("range").alias("__range"))
+    left, right = (df.withColumn("__range", F.when(F.col(key).isNotNull(), here)) for df in (a.select(key, *columns), b.select(key, *columns)))
+    keyless = left.where(F.col("__range").isNull())
+    return left.join(wanted, "__range", "left_semi").unionByName(keyless).drop("__range"), right.join(wanted, "__range", "left_semi").drop("__range"), found
+
+
+def reconcile(a: DataFrame, b: DataFrame, key: str, columns: list[str], levels: int = 2) -> DataFrame:
+    """Per column, how many rows of ``a`` agree with ``b`` (null agrees with null); keys are unique on each side.
+
+    Only rows in key ranges whose digests differ are joined. All others agree, and are counted.
+    """
+    near, far, found = _differing_rows(a, b, key, columns, levels)
+    left = near.select(key, *[F.col(c).alias(f"__a_{c}") for c in columns])
+    right = far.select(key, *[F.col(c).alias(f"__b_{c}") for c in columns])
     same = [F.sum(F.col(f"__a_{c}").eqNullSafe(F.col(f"__b_{c}")).cast("long")).alias(c) for c in columns]
-    wide = left.join(right, key, "left").agg(F.count(F.lit(1)).alias("n_rows"), *same)
+    wide = left.join(right, key, "left").agg(F.count(F.lit(1)).alias("__n"), *same)
+    agreeing = a.agg(F.count(key).alias("c")).scalar() - found.agg(F.coalesce(F.sum("rows_a"), F.lit(0)).alias("c")).scalar()
+    wide = wide.withColumn("__equal", agreeing)
+    counts = [(F.coalesce(F.col(c), F.lit(0)) + F.col("__equal")).alias(c) for c in columns]
     pairs = ", ".join(f"'{c}', `{c}`" for c in columns)
-    return wide.selectExpr("n_rows", f"stack({len(columns)}, {pairs}) as (variable, n_match)")
+    return wide.select((F.col("__n") + F.col("__equal")).alias("n_rows"), *counts).selectExpr(
+        "n_rows", f"stack({len(columns)}, {pairs}) as (variable, n_match)")
 
 
-def mismatches(a: DataFrame, b: DataFrame, key: str, column: str) -> DataFrame:
-    left = a.select(key, F.col(column).alias(f"{column}_a"))
-    right = b.select(key, F.col(column).alias(f"{column}_b"))
+def mismatches(a: DataFrame, b: DataFrame, key: str, column: str, levels: int = 2) -> DataFrame:
+    """Rows of ``a`` whose column differs from ``b``; only key ranges whose digests differ are joined."""
+    near, far, _ = _differing_rows(a, b, key, [column], levels)
+    left = near.select(key, F.col(column).alias(f"{column}_a"))
+    right = far.select(key, F.col(column).alias(f"{column}_b"))
     return left.join(right, key, "left").where(
         ~F.col(f"{column}_a").eqNullSafe(F.col(f"{column}_b"))
     )

@@ -11,6 +11,8 @@ from pyspark.sql import types as T
 from ..functions.scalars import to_number
 from ..operators.conform import fix_first_column, lower_columns
 from ..registry import REGISTRY_SCHEMA, header_schema
+from .folders import Files
+from .writers import MANIFEST, VERSIONS
 
 
 def read_table(spark: SparkSession, name_or_path: str) -> DataFrame:
@@ -20,6 +22,17 @@ def read_table(spark: SparkSession, name_or_path: str) -> DataFrame:
     return spark.table(name_or_path)
 
 
+def read_published(spark: SparkSession, path: str) -> DataFrame:
+    """The current version of a table that ``writers.publish`` wrote; it stays the same however often the table is replaced."""
+    files = Files(spark, path)
+    manifest = json.loads(files.read(f"{path}/{MANIFEST}"))
+    folder = f"{path}/{VERSIONS}/{manifest['version']}"
+    there = files.sizes(folder)
+    if any(there.get(n) != size for n, size in manifest["files"].items()):
+        raise ValueError(f"files of version {manifest['version']} are missing or cut")
+    return spark.read.schema(T.StructType.fromJson(manifest["schema"])).parquet(folder)
+
+
 def read_jdbc(spark: SparkSession, url: str, table: str, column: str, lower: int, upper: int,
               partitions: int, **options) -> DataFrame:
     """A database table in parallel key ranges; ``table`` may be a parenthesised query."""

@@ -2,7 +2,68 @@
 
 from __future__ import annotations
 
+import gzip
+import json
+import uuid
+
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from .folders import Files
+
+#: Names inside a published table: the manifest that readers follow, and the folder of versions.
+MANIFEST, VERSIONS = "_manifest.json", "versions"
+
+
+def publish(df: DataFrame, path: str, keep: int = 2) -> str:
+    """Replace the table at ``path`` by ``df`` in one step, and return the name of the new version.
+
+    The rows are written as a version of their own. When all of them are there, a manifest that names the version, its
+    files with their sizes and its schema takes the place of the old manifest by a rename. Readers follow the manifest, so they
+    see the old table or the new one, never a part; a write that fails leaves the old one, and ``df`` may read the table it
+    replaces. The newest ``keep`` versions stay for readers that are still at work, older ones go.
+    """
+    spark = df.sparkSession
+    files, version = Files(spark, path), uuid.uuid4().hex
+    folder = f"{path}/{VERSIONS}/{version}"
+    earlier = json.loads(files.read(f"{path}/{MANIFEST}")) if files.exists(f"{path}/{MANIFEST}") else {"history": []}
+    try:
+        df.write.mode("errorifexists").parquet(folder)
+    except Exception:
+        files.remove(folder)
+        raise
+    history = [version, *earlier["history"]][:max(1, keep)]
+    parts = {n: size for n, size in files.sizes(folder).items() if n.endswith(".parquet")}
+    manifest = {"version": version, "history": history, "files": parts, "schema": df.schema.jsonValue()}
+    staged = f"{path}/_staged-{version}"
+    files.write(staged, json.dumps(manifest).encode())
+    files.swap(staged, f"{path}/{MANIFEST}")
+    for old in set(earlier["history"]) - set(history):
+        files.remove(f"{path}/{VERSIONS}/{old}")
+    return version
+
+
+def write_single_csv(df: DataFrame, path: str, order: list[str], partitions: int | None = None) -> None:
+    """One gzip CSV file at ``path`` with a header and the rows in ``order``.
+
+    The rows are dealt by range and sorted in parallel, and every part is compressed where it lies. A gzip file may
+    consist of several members, so the file is the header's member and the parts' after it: their bytes are put together as a stream,
+    no task holds the rows, and whatever reads gzip reads them all.
+    """
+    spark = df.sparkSession
+    files, staged = Files(spark, path), f"{path}.parts-{uuid.uuid4().hex}"
+    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keys = [F.col(f"`{c}`") for c in order]
+    ranged = df.repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
+    try:
+        ranged.write.option("header", False).option("compression", "gzip").option("escape", chr(34)).csv(staged)
+        header = ",".join('"' + c.replace('"', '""') + '"' if set(c) & set(',"\n') else c for c in df.columns) + "\n"
+        files.write(f"{staged}/_header.gz", gzip.compress(header.encode()))
+        names = [f"{staged}/{n}" for n in files.list(staged) if n.startswith("part-")]
+        files.append_streams([f"{staged}/_header.gz", *names], f"{staged}/_whole.gz")
+        files.swap(f"{staged}/_whole.gz", path)
+    finally:
+        files.remove(staged)
 
 
 def replace_table(df: DataFrame, name: str) -> None:
