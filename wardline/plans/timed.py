@@ -479,10 +479,10 @@ def extract(stays: DataFrame, patients: DataFrame, admissions: DataFrame, includ
             if not field.startswith(f"{frame}_") or field in names:
                 continue
             stem, end = field[3:].rsplit("_", 1)
-            for table, tag in ((lab_names, "lab"), (gas_names, "gas")):
-                source = f"{tag}_{frame}_{table.get(stem, stem)}_{end}"
-                if source in have:
-                    names[field] = source
+            # a measure that the blood gas has too is the laboratory's; only the arterial names are the gas's
+            source = f"gas_{frame}_{gas_names[stem]}_{end}" if stem in gas_names else f"lab_{frame}_{lab_names.get(stem, stem)}_{end}"
+            if source in have:
+                names[field] = source
             if field not in names and field in have:
                 names[field] = field
     return apply_field_map(wide, names, schema)
