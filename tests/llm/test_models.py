@@ -3,7 +3,9 @@
 import collections
 import hashlib
 import itertools
+import math
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -123,6 +125,39 @@ def test_classifier_on_odd_rows(spark, documents, odd_pairs):
     assert quality_classifier.scores(docs.limit(0), model).count() == 0
 
 
+def plain_score(weights, features):
+    """One bag, in plain Python: encode, gate, weigh, score."""
+    w = {k: v.astype(float).tolist() for k, v in weights.items()}
+    dot = lambda x, m, j: sum(a * row[j] for a, row in zip(x, m))
+    squash = lambda z: 1 / (1 + math.exp(-z))
+    hidden = [[math.tanh(dot(x, w["encode"], j) + w["encode_bias"][j]) for j in range(len(w["encode_bias"]))] for x in features]
+    raw = [sum(math.tanh(dot(h, w["signal"], j)) * squash(dot(h, w["gate"], j)) * w["attend"][j] for j in range(len(w["attend"]))) for h in hidden]
+    share = [math.exp(r - max(raw)) for r in raw]
+    bag = [sum(a * h[j] for a, h in zip(share, hidden)) / sum(share) for j in range(len(hidden[0]))]
+    return squash(sum(a * b for a, b in zip(bag, w["score"])) + w["bias"][0])
+
+
+def test_scores_equal_a_plain_forward_pass(monkeypatch):
+    rng = np.random.default_rng(4)
+    model = quality_classifier.AttentionModel(hidden=6, gates=4)
+    texts = [bytes(rng.integers(32, 127, n, dtype=np.uint8)) for n in (0, 5, 1024, 1025, 2048, 9000, 20000)]
+    x, bags = quality_classifier.passages(texts)
+    want = [plain_score(model.weights, x[a:a + n].astype(float).tolist()) for a, n in zip(np.cumsum(bags) - bags, bags)]
+    assert np.allclose(model.score_texts(texts), want, atol=1e-5)
+    monkeypatch.setattr(quality_classifier, "PART", 2 * quality_classifier.PASSAGE)
+    assert np.allclose(model.score_texts(texts), want, atol=1e-5)
+    assert model.score_texts([]).tolist() == []
+
+
+def test_a_very_long_text_is_encoded_in_parts():
+    model, text = quality_classifier.AttentionModel(), b"some words of prose, and some more.\n" * 700_000
+    tracemalloc.start()
+    score = model.score_texts([text, b"short"])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert 0 <= score[0] <= 1 and peak < 4 * len(text)
+
+
 def test_passages_do_not_mix():
     texts = [b"abc" * 700, b"", b"XY\n" * 10]
     together, bags = quality_classifier.passages(texts)
@@ -167,3 +202,35 @@ def test_line_field_on_held_out_documents(spark):
     rows = [r for r in got.collect() if zlib.crc32(str(r.doc_id).encode()) % 3 == 1 and not r.base_failed]
     assert np.mean([r.kept == bool(r.quality) for r in rows]) > 0.9
     assert np.mean([r.kept for r in rows if r.quality]) > 0.95
+
+
+def chain_likelihood(field, x, y):
+    """Log likelihood of a label sequence, by listing all sequences."""
+    def value(labels):
+        score = x @ field.emit + field.bias
+        return sum(score[t, v] for t, v in enumerate(labels)) + sum(field.move[a, b] for a, b in zip(labels, labels[1:]))
+    every = [value(v) for v in itertools.product((0, 1), repeat=len(x))]
+    return value(y) - np.logaddexp.reduce(every)
+
+
+def test_field_is_fitted_to_the_maximum_of_its_likelihood():
+    rng = np.random.default_rng(8)
+    chains = [rng.normal(0.3 * (k % 2), 1, (1 + k % 5, quality_rules.FEATURES)) for k in range(24)]
+    labels, decay = [k % 2 for k in range(24)], 1e-2
+    field = quality_rules.LineField().fit(chains, labels, rounds=3000, rate=0.1, decay=decay)
+    n = sum(map(len, chains))
+
+    def goal():
+        fit = sum(chain_likelihood(field, x, [y] * len(x)) for x, y in zip(chains, labels)) / n
+        return fit - decay / 2 * ((field.emit ** 2).sum() + (field.move ** 2).sum())
+
+    for name in ("emit", "bias", "move"):
+        weights = getattr(field, name)
+        for at in np.ndindex(weights.shape):
+            keep, step = weights[at], 1e-5
+            weights[at] = keep + step
+            high = goal()
+            weights[at] = keep - step
+            low = goal()
+            weights[at] = keep
+            assert abs(high - low) / (2 * step) < 2e-3, (name, at)

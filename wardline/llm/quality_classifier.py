@@ -27,6 +27,8 @@ from pyspark.sql import types as T
 from .common import slices, text_of
 
 PASSAGE = 1024
+#: Bytes of one text that are encoded together, whole passages.
+PART = 512 * PASSAGE
 CLASSES = 16
 TRIGRAMS = 256
 #: Slots that tell whether an eight-byte group was in the passage before.
@@ -115,11 +117,16 @@ class AttentionModel:
         }
         self.weights = {k: v.astype(np.float32) for k, v in self.weights.items()}
 
-    def _forward(self, x: np.ndarray, bags: np.ndarray) -> dict:
-        w, first, owner = self.weights, np.cumsum(bags) - bags, np.repeat(np.arange(len(bags)), bags)
+    def _encoded(self, x: np.ndarray) -> dict:
+        """Encodings of passages and their raw attention."""
+        w = self.weights
         h = np.tanh(x @ w["encode"] + w["encode_bias"])
         signal, gate = np.tanh(h @ w["signal"]), _sigmoid(h @ w["gate"])
-        raw = (signal * gate) @ w["attend"]
+        return {"h": h, "signal": signal, "gate": gate, "raw": (signal * gate) @ w["attend"]}
+
+    def _forward(self, x: np.ndarray, bags: np.ndarray) -> dict:
+        w, first, owner = self.weights, np.cumsum(bags) - bags, np.repeat(np.arange(len(bags)), bags)
+        h, signal, gate, raw = self._encoded(x).values()
         raw = np.exp(raw - np.maximum.reduceat(raw, first)[owner])
         attention = raw / np.add.reduceat(raw, first)[owner]
         bag = np.add.reduceat(h * attention[:, None], first, axis=0)
@@ -131,6 +138,23 @@ class AttentionModel:
             return np.full(len(bags), self.share)
         return self._forward(x, bags)["p"]
 
+    def score_texts(self, texts: list[bytes]) -> np.ndarray:
+        """Scores of texts of any length; a longer one is encoded in parts, of which only encodings and weights are kept."""
+        long = [k for k, t in enumerate(texts) if len(t) > PART]
+        out = np.zeros(len(texts))
+        short = [t if len(t) <= PART else b"" for t in texts]
+        if texts:
+            out[:] = self.scores(*passages(short))
+        for k in long if self.share is None else ():
+            top, weight, total = -np.inf, 0.0, 0.0
+            for at in range(0, len(texts[k]), PART):  # whole passages, so the parts' features are the text's
+                f = self._encoded(passages([texts[k][at:at + PART]])[0])
+                high = max(top, float(f["raw"].max()))
+                share, fade = np.exp(f["raw"] - high), np.exp(top - high)
+                weight, total, top = weight * fade + share.sum(), total * fade + share @ f["h"], high
+            out[k] = _sigmoid((total / weight) @ self.weights["score"] + self.weights["bias"])[0]
+        return out
+
     def _gradients(self, x: np.ndarray, bags: np.ndarray, y: np.ndarray, decay: float) -> dict[str, np.ndarray]:
         w, f = self.weights, self._forward(x, bags)
         d = (f["p"] - y) / len(y)
@@ -192,8 +216,7 @@ def _scored(rows: DataFrame, model: AttentionModel) -> DataFrame:
     """``row``, ``text`` and ``score`` for rows of (row, text)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
-            x, bags = passages([t.encode() for t in part.column("text").to_pylist()])
-            scored = pa.array(model.scores(x, bags).astype(np.float64))
+            scored = pa.array(model.score_texts([t.encode() for t in part.column("text").to_pylist()]))
             yield pa.RecordBatch.from_arrays([part.column("row"), part.column("text"), scored], ["row", "text", "score"])
 
     fields = [rows.schema["row"], T.StructField("text", T.StringType()), T.StructField("score", T.DoubleType())]
@@ -204,8 +227,7 @@ def scores(docs: DataFrame, model: AttentionModel) -> DataFrame:
     """``doc_id, held_out, score, predicted`` of every document."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
-            x, bags = passages([t.encode() for t in part.column("text").to_pylist()])
-            scored = pa.array(model.scores(x, bags).astype(np.float64))
+            scored = pa.array(model.score_texts([t.encode() for t in part.column("text").to_pylist()]))
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), scored], ["doc_id", "score"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
