@@ -57,8 +57,10 @@ def test_codec_on_tables(documents, odd_pairs, reference):
     back = bpe_codec.decode(encoded.select("ids", "row"), RANKS, P.PATTERN).collect()
     assert all(bytes(r.bytes) == (r.row.row.text or "").encode() for r in back)
     got = bpe_codec.round_trip(docs, RANKS, P.PATTERN).collect()
-    want = collections.Counter((i, hashlib.sha256((t or "").encode()).hexdigest()) for i, t in odd_pairs)
-    assert collections.Counter((r.doc_id, r.decoded_sha256) for r in got) == want
+    ids = [reference.encode_ordinary(t or "") for _, t in odd_pairs]
+    want = collections.Counter((i, len(x), hashlib.sha256(" ".join(map(str, x)).encode()).hexdigest(), hashlib.sha256((t or "").encode()).hexdigest())
+                               for (i, t), x in zip(odd_pairs, ids))
+    assert collections.Counter((r.doc_id, r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in got) == want
     assert bpe_codec.round_trip(docs.limit(0), RANKS, P.PATTERN).count() == 0
 
 
