@@ -9,6 +9,7 @@ that are new are encoded together in one text, in which each word is one pre-tok
 
 from __future__ import annotations
 
+import gc
 import re
 import struct
 
@@ -77,6 +78,15 @@ class WordIds:
         young.update(zip(rest, self._encoded([before + p for p in rest])))
 
     def ids(self, texts: list[str]) -> list[bytes]:
+        collecting = gc.isenabled()
+        gc.disable()  # millions of short strings come and go, none in a cycle
+        try:
+            return self._ids(texts)
+        finally:
+            if collecting:
+                gc.enable()
+
+    def _ids(self, texts: list[str]) -> list[bytes]:
         whole = [k for k, t in enumerate(texts) if any(s in t for s in self.specials) or _INSIDE.search(t)]
         out: list = [None] * len(texts)
         for k, ids in zip(whole, self._encoded([texts[k] for k in whole])):
