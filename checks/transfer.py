@@ -147,3 +147,12 @@ def published_table(spark, d):
     WR.publish(rows.groupBy("o_custkey").agg(F.count("*").alias("n"), F.sum("o_totalprice").alias("spent")), path)
     WR.publish(RD.read_published(spark, path).select("o_custkey", F.col("n") + 1, F.round("spent", 2).alias("spent")).toDF("o_custkey", "n", "spent"), path)
     return RD.read_published(spark, path)
+
+
+@check("members_file", "SRC1 SRC3 SNK2", """
+select o_orderkey, o_custkey, o_totalprice from orders where o_orderkey between 1000 and 9000""")
+def members_file(spark, d):
+    """One gzip file read in ranges: typed columns, pruned ones left out, members without a match never opened."""
+    path = scratch_folder(spark, "members") + ".csv.gz"
+    WR.write_single_csv(Tables(spark, d).orders.select("o_orderkey", "o_custkey", "o_orderpriority", "o_totalprice"), path, ["o_orderkey"], 16, index=True)
+    return RD.read_members(spark, path, "o_orderkey long, o_custkey long, o_totalprice double").where("o_orderkey between 1000 and 9000")

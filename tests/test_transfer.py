@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from wardline.operators import joins as J
+from wardline.sources import ranged
 from wardline.sources import readers as RD
 from wardline.sources import writers as WR
 from wardline.sources.folders import Files, scratch_folder
@@ -126,3 +127,40 @@ def test_reconcile_of_empty_tables(spark):
     none = a.where("false")
     assert [tuple(r) for r in J.reconcile(none, a, "k", ["v"]).collect()] == [(0, "v", 0)]
     assert [tuple(r) for r in J.reconcile(a, none, "k", ["v"]).collect()] == [(1, "v", 0)]
+
+
+# --- ranges of one file ---------------------------------------------------------------------
+def test_members_are_read_apart(spark, tmp_path):
+    path = f"file://{tmp_path}/m.csv.gz"
+    df = spark.range(0, 4000, numPartitions=3).select((F.col("id") * 3).alias("k"), F.concat(F.lit('a "b", '), F.col("id")).alias("t"),
+                                                      F.when(F.col("id") % 4 > 0, F.col("id") / 8).alias("x"), F.lit("").alias("e"))
+    WR.write_single_csv(df, path, ["k"], 8, index=True)
+    index = ranged.read_index(path)
+    assert sum(m["rows"] for m in index["members"]) == 4000 and len([m for m in index["members"] if m["rows"]]) >= 6
+    got = RD.read_members(spark, path, "k long, x double, t string")
+    assert got.rdd.getNumPartitions() == len([m for m in index["members"] if m["rows"]])
+    assert {(r.k, r.x, r.t) for r in got.collect()} == {(r.k, r.x, r.t) for r in df.collect()} and got.count() == 4000
+    whole = RD.read_members(spark, path)
+    assert whole.columns == ["k", "t", "x", "e"] and whole.count() == 4000 and whole.first().e == ""
+    assert RD.read_csv_text(spark, path).count() == 4000  # and it is still one gzip file
+
+
+@pytest.mark.parametrize("where", ["k = 300", "k > 5000 and k <= 5100", "k in (3, 9)", "k < 0", "k >= 11997 and x is not null"])
+def test_members_without_a_match_are_left_out(spark, tmp_path, where):
+    path = f"file://{tmp_path}/m.csv.gz"
+    df = spark.range(0, 4000).select((F.col("id") * 3).alias("k"), (F.col("id") / 8).alias("x"))
+    WR.write_single_csv(df, path, ["k"], 8, index=True)
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    try:
+        got = RD.read_members(spark, path, "k long, x double").where(where)
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, df.where(where).collect()))
+        assert got.rdd.getNumPartitions() <= 3
+    finally:
+        spark.conf.unset("spark.sql.python.filterPushdown.enabled")
+
+
+def test_members_name_unknown_columns(spark, tmp_path):
+    path = f"file://{tmp_path}/m.csv.gz"
+    WR.write_single_csv(spark.range(5), path, ["id"], 2, index=True)
+    with pytest.raises(Exception, match="not in the file: other"):
+        RD.read_members(spark, path, "id long, other string").count()

@@ -12,6 +12,7 @@ from ..functions.scalars import to_number
 from ..operators.conform import fix_first_column, lower_columns
 from ..registry import REGISTRY_SCHEMA, header_schema
 from .folders import Files
+from .ranged import GzipMembers
 from .writers import MANIFEST, VERSIONS
 
 
@@ -58,6 +59,14 @@ def read_csv_text(spark: SparkSession, path: str, first_column: str | None = Non
     return df.repartition(partitions) if partitions else df
 
 
+def read_members(spark: SparkSession, path: str, schema: str | T.StructType | None = None) -> DataFrame:
+    """A gzip file written with an index, one task per member; only the columns of ``schema`` are parsed."""
+    spark.dataSource.register(GzipMembers)
+    pushed = spark.conf.get("spark.sql.python.filterPushdown.enabled", "false")
+    reader = spark.read.format(GzipMembers.name()).option("pushdown", pushed)
+    return (reader.schema(schema) if schema is not None else reader).load(path)
+
+
 def read_registry_csv(spark: SparkSession, path: str, numeric: list[str] | None = None,
                       first_column: str | None = None, partitions: int | None = None, multi_line: bool = False) -> DataFrame:
     """A flat registry: text columns, with the listed ones turned into numbers (bad text is null)."""

@@ -8,8 +8,10 @@ import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .folders import Files
+from .ranged import INDEX
 
 #: Names inside a published table: the manifest that readers follow, and the folder of versions.
 MANIFEST, VERSIONS = "_manifest.json", "versions"
@@ -43,12 +45,13 @@ def publish(df: DataFrame, path: str, keep: int = 2) -> str:
     return version
 
 
-def write_single_csv(df: DataFrame, path: str, order: list[str], partitions: int | None = None) -> None:
+def write_single_csv(df: DataFrame, path: str, order: list[str], partitions: int | None = None, index: bool = False) -> None:
     """One gzip CSV file at ``path`` with a header and the rows in ``order``.
 
     The rows are dealt by range and sorted in parallel, and every part is compressed where it lies. A gzip file may
     consist of several members, so the file is the header's member and the parts' after it: their bytes are put together as a stream,
-    no task holds the rows, and whatever reads gzip reads them all.
+    no task holds the rows, and whatever reads gzip reads them all. ``index`` also writes where each part lies and between which
+    values of the first order column, for ``ranged.GzipMembers``; it costs a second reading of the parts.
     """
     spark = df.sparkSession
     files, staged = Files(spark, path), f"{path}.parts-{uuid.uuid4().hex}"
@@ -60,12 +63,31 @@ def write_single_csv(df: DataFrame, path: str, order: list[str], partitions: int
         header = ",".join('"' + c.replace('"', '""') + '"' if set(c) & set(',"\n') else c for c in df.columns) + "\n"
         files.write(f"{staged}/_header.gz", gzip.compress(header.encode()))
         names = [f"{staged}/{n}" for n in files.list(staged) if n.startswith("part-")]
+        if index:
+            files.write(f"{staged}/_index", json.dumps(_member_index(df, staged, order[0], files)).encode())
         files.append_streams([f"{staged}/_header.gz", *names], f"{staged}/_whole.gz")
         files.swap(f"{staged}/_whole.gz", path)
+        if index:
+            files.swap(f"{staged}/_index", path + INDEX)
     finally:
         files.remove(staged)
 
 
+def _member_index(df: DataFrame, staged: str, first: str, files: Files) -> dict:
+    """Offset, length, rows and bounds of the first order column (if it is a number) of every part, in their order."""
+    number = isinstance(df.schema[first].dataType, T.NumericType)
+    read = df.sparkSession.read.schema(df.schema).option("escape", '"').csv(staged)
+    bound = [(F.col(f"`{first}`") if number else F.lit(None)).cast("double" if number else "string")] * 2
+    found = {r.name: r for r in read.groupBy(F.element_at(F.split(F.input_file_name(), "/"), -1).alias("name")).agg(
+        F.count(F.lit(1)).alias("rows"), F.min(bound[0]).alias("low"), F.max(bound[1]).alias("high")).collect()}
+    sizes, offset, members = files.sizes(staged), files.sizes(staged)["_header.gz"], []
+    for name in sorted(n for n in sizes if n.startswith("part-")):
+        r = found.get(name)
+        members.append({"offset": offset, "length": sizes[name], "rows": r.rows if r else 0, "low": r.low if r else None, "high": r.high if r else None})
+        offset += sizes[name]
+    return {"columns": df.columns, "ordered_by": first, "members": members}
+
+
 def replace_table(df: DataFrame, name: str) -> None:
     """Create or replace a catalog table from a frame."""
     df.write.mode("overwrite").format("parquet").saveAsTable(name)
