@@ -72,6 +72,28 @@ def test_chat_round_trip(spark, chars, convs):
             assert {x for a, b in chain for x in range(a, b)} == {x for s in n.ancestors for x in range(s.start, s.end)}
 
 
+@pytest.mark.parametrize("chars,convs", [(1 << 16, 2048), (120, 3)])
+def test_chat_tokens(spark, chars, convs):
+    """Round trip through ids; positions, masks and intervals in tokens lie where those in characters do."""
+    tokenizers, public = pytest.importorskip("tokenizers"), pytest.importorskip("public_tokenizers")
+    path = public.path("byte_bpe_50k.json")
+    library = tokenizers.Tokenizer.from_file(path)
+    library.encode_special_tokens = True
+    odd = CHATS + [(50, 0, "endoftext", "<|endoftext|> 日本 🤦", None, None), (50, 1, "assistant", "  \n\n", None, None), (51, 0, "assistant", "", None, None)]
+    pieces = chat_tree.prefix_trees(conversations(spark, odd), chars, convs)
+    tokens = chat_tree.tokenized(pieces, path)
+    assert sorted(map(tuple, chat_tree.read_back(tokens, path).collect()), key=str) == chat_want(odd)
+    texts = {r.piece: r for r in pieces.collect()}
+    for r in tokens.collect():
+        written = texts[r.piece]
+        assert len(r.nodes) == len(written.nodes) and r.nodes[-1].end == len(r.ids) and r.conversations == written.conversations
+        for n, c in zip(r.nodes, written.nodes):
+            decode = lambda a, b: library.decode(r.ids[a:b], skip_special_tokens=False)
+            assert decode(n.start, n.end) == written.text[c.start:c.end] and decode(n.loss_start, n.loss_end) == written.text[c.loss_start:c.loss_end]
+            assert "".join(decode(s.start, s.end) for s in n.ancestors) == "".join(written.text[s.start:s.end] for s in c.ancestors)
+            assert n.position == sum(s.end - s.start for s in n.ancestors) and n.parent == c.parent
+
+
 def test_shared_turns_are_written_once(spark):
     rows = chat_tree.prefix_trees(conversations(spark, CHATS[:8]).coalesce(1)).collect()
     if len(rows) == 1:

@@ -12,6 +12,10 @@ the segment attends to besides itself (touching ancestors joined). A piece that
 task's range, closes the tree, and the next piece writes the ancestors of its first conversation again; so a
 first turn that a third of all conversations share is one piece's text nowhere larger than PIECE_CHARS.
 
+``tokenized`` turns pieces into token ids. A segment's mark, text and end are encoded apart, so the loss mask, the segments and
+the intervals fall between tokens, and shared turns have the same tokens in every conversation. Places, position
+ids, loss spans and ancestor intervals are then counted in tokens.
+
 Defined results: null text and null role count as empty; a null turn ranks last, ties rank by role, then text;
 rows without a conv_id are one conversation; rows that repeat are turns that repeat; equal conversations share
 one leaf; a conversation longer than a piece has one of its own; other columns are not read.
@@ -20,7 +24,9 @@ one leaf; a conversation longer than a piece has one of its own; other columns a
 from __future__ import annotations
 
 import hashlib
+import os
 import re
+import struct
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -29,7 +35,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .bpe_codec import byte_characters
 from .common import text_of
+from .units import worker_store
+from .words import WordIds
 
 PIECE_CHARS = 1 << 16
 PIECE_CONVERSATIONS = 2048
@@ -152,21 +161,87 @@ def prefix_trees(conversations: DataFrame, piece_chars: int = PIECE_CHARS, piece
         "conv_id", "turns").mapInArrow(run, schema)
 
 
-def read_back(pieces: DataFrame) -> DataFrame:
-    """Each conversation parsed from the pieces: counts and digests of its turns and of its text under the loss mask."""
+def _coder(path: str) -> tuple[WordIds, list[bytes]]:
+    """Ids of texts, control strings being ordinary text, and the bytes of every id."""
+    store, key = worker_store(), f"chat ids {path}"
+    if key not in store:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        tokenizer = Tokenizer.from_file(path)
+        tokenizer.encode_special_tokens = True
+        byte_of = {c: b for b, c in enumerate(byte_characters())}
+        vocabulary = sorted(tokenizer.get_vocab(with_added_tokens=False).items(), key=lambda v: v[1])
+        table = [b""] * (vocabulary[-1][1] + 1)
+        for token, i in vocabulary:
+            table[i] = bytes(byte_of[c] for c in token) if all(c in byte_of for c in token) else token.encode()
+        store[key] = WordIds(tokenizer), table
+    return store[key]
+
+
+def tokenized(pieces: DataFrame, tokenizer: str) -> DataFrame:
+    """The pieces as tokens: ``piece, ids, nodes, conversations``; ``nodes`` counts places, positions and spans in tokens."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    fields = {f.name: f for f in pieces.schema}
+    schema = T.StructType([fields["piece"], T.StructField("ids", T.ArrayType(T.IntegerType())), fields["nodes"], fields["conversations"]])
+    arrow = to_arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder, _ = _coder(tokenizer)
+        for batch in batches:
+            for k in range(batch.num_rows):
+                piece = batch.slice(k, 1).to_pylist()[0]
+                text, nodes, ends, parts = piece["text"], [], [], []
+                for n in piece["nodes"]:
+                    learned = n["loss_end"] > n["loss_start"]
+                    cuts = [n["start"], n["loss_start"], n["loss_end"], n["end"]] if learned else [n["start"], n["end"]]
+                    parts += [text[a:b] for a, b in zip(cuts, cuts[1:])]
+                    ends.append(len(parts))
+                ids = coder.ids(parts)
+                sizes, at, first = [len(x) // 4 for x in ids], 0, 0
+                for n, last in zip(piece["nodes"], ends):
+                    size = sizes[first:last]
+                    node = {"parent": n["parent"], "start": at, "end": at + sum(size), "position": 0, "ancestors": [], "loss_start": at, "loss_end": at}
+                    if len(size) == 3:
+                        node["loss_start"], node["loss_end"] = at + size[0], at + size[0] + size[1]
+                    if n["parent"] >= 0:
+                        above = nodes[n["parent"]]
+                        node["position"] = above["position"] + above["end"] - above["start"]
+                        node["ancestors"] = Piece._joined(above)
+                    nodes.append(node)
+                    at, first = node["end"], last
+                flat = struct.unpack(f"<{at}I", b"".join(ids))
+                yield pa.RecordBatch.from_pylist([{"piece": piece["piece"], "ids": list(flat), "nodes": nodes, "conversations": piece["conversations"]}], schema=arrow)
+
+    return pieces.mapInArrow(run, schema)
+
+
+def read_back(pieces: DataFrame, tokenizer: str | None = None) -> DataFrame:
+    """Each conversation parsed from the pieces: counts and digests of its turns and of its text under the loss mask.
+
+    Pieces of tokens need the ``tokenizer`` they were made with; their ids are decoded.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = _coder(tokenizer)[1] if tokenizer else None
         for batch in batches:
-            for piece in batch.to_pylist():
-                text, nodes, out = piece["text"], piece["nodes"], []
+            for k in range(batch.num_rows):
+                piece = batch.slice(k, 1).to_pylist()[0]
+                nodes, out = piece["nodes"], []
+                if table is None:
+                    text, joined = piece["text"], "".join
+                else:
+                    text = [table[i] for i in piece["ids"]]
+                    joined = lambda parts: b"".join(b for p in parts for b in p).decode()
                 for leaf in piece["conversations"]:
                     path, at = [], leaf["node"]
                     while at >= 0:
                         path.append(nodes[at])
                         at = nodes[at]["parent"]
                     path.reverse()
-                    formatted = "".join(text[n["start"]:n["end"]] for n in path)
+                    formatted = joined(text[n["start"]:n["end"]] for n in path)
                     turns = parse(formatted)
-                    loss = unescape("".join(text[n["loss_start"]:n["loss_end"]] for n in path))
+                    loss = unescape(joined(text[n["loss_start"]:n["loss_end"]] for n in path))
                     said = "".join(f"{role}\n{body}\n" for role, body in turns)
                     out.append((leaf["conv_id"], len(turns), hashlib.sha256(said.encode()).hexdigest(), len(loss),
                                 hashlib.sha256(loss.encode()).hexdigest(), len(formatted)))

@@ -68,7 +68,8 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
     table = _table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
     said = "</s>[INST] ok [/INST]"
     extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
-    return chat_tree.read_back(chat_tree.prefix_trees(table.unionByName(extra)))
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    return chat_tree.read_back(chat_tree.tokenized(chat_tree.prefix_trees(table.unionByName(extra)), tokenizer), tokenizer)
 
 
 @query("op3_substring_dedup", r"""
