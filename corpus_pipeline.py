@@ -1,4 +1,10 @@
-"""The training-data pipeline: documents judged, deduplicated, cleaned of repeats and packed."""
+"""The training-data pipeline: documents judged, deduplicated, cleaned of repeats and packed.
+
+Defined results: null text counts as empty in every stage and stays null where a stage keeps the document; a null
+doc_id has no label and ranks behind all others among rows that are otherwise alike; rows that repeat are copies,
+of which the exact dedup keeps one; with no usable label nothing is rejected; columns of any name pass through all
+stages but the last; an empty table gives an empty result.
+"""
 
 from __future__ import annotations
 

@@ -48,6 +48,30 @@ def test_stages_take_effect(spark):
     assert sorted(map(key, whole)) == sorted(map(key, five))
 
 
+def test_pipeline_on_odd_rows(spark, documents, odd_pairs, tmp_path):
+    """Nulls, empty and long texts, ties, repeats and clashing names through all stages, with no label, some, and no rows."""
+    schema = "doc_id long, quality int, toxic int"
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(20)] + [(None, 1, 0), (105, None, 0)], schema)
+    for name, docs, known in (("none", documents(odd_pairs), labels.limit(0)), ("some", documents(odd_pairs), labels), ("empty", documents([]), labels)):
+        folder = f"file://{tmp_path}/{name}"
+        docs.write.parquet(f"{folder}/documents.parquet")
+        known.write.parquet(f"{folder}/labels.parquet")
+        frame = spark.read.parquet(f"{folder}/documents.parquet")
+        kept = [frame]
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            kept.append(stage(spark, kept[-1], folder))
+            assert kept[-1].schema == frame.schema
+        sizes = [k.count() for k in kept]
+        assert sizes == sorted(sizes, reverse=True) and (name != "none" or sizes[1] == len(odd_pairs))
+        pieces = corpus_pipeline.run(spark, folder).collect()
+        assert len({(r.sequence_id, r.offset) for r in pieces}) == len(pieces)
+        assert sorted(str(r.doc_id) for r in pieces if r.piece == 0) == sorted(str(r.doc_id) for r in kept[-1].select("doc_id").collect())
+        if name == "none":  # of equal texts one row is left: blanks and nulls are one text, "same" in its spellings another
+            ids = {r.doc_id for r in kept[2].collect()}
+            assert len(ids & {100, 101, 102}) == 1 and len(ids & {105, 106, 107}) == 1 and len(ids & {103, 104}) == 1
+        assert name != "empty" or not pieces
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, name):
     got = QUERIES[name](spark, DATA).toPandas()
