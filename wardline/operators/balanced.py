@@ -35,7 +35,9 @@ def with_cells(df: DataFrame, keys: list[str], order: list[Column], cell: Column
     Parts and cells rise with the order key. What is broadcast is one row per hot cell, so at most rows / ``most``
     of them, and at most ``2 * PICKS`` keys per ``most`` rows.
     """
-    fields = [F.col(k).alias(f"k{i}") for i, k in enumerate(keys)] + [(F.lit(0) if cell is None else cell).alias("c")]
+    # without keys the one cell is no constant to the optimizer, so that joins on it stay joins on a key
+    one = F.lit(0) if keys else F.pmod(F.hash(*order), F.lit(1))
+    fields = [F.col(k).alias(f"k{i}") for i, k in enumerate(keys)] + [(one if cell is None else cell).alias("c")]
     key = F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)], F.xxhash64(*df.columns).alias("h"))
     celled = df.select("*", F.struct(*fields).alias(_CELL), key.alias(_KEY))
     hot = celled.groupBy(_CELL).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > most)
