@@ -129,14 +129,16 @@ _DESCRIBED = f"""select nullif(l_returnflag, 'R') as flag, {', '.join(DESCRIBED[
 
 @check("describe_all", "AGG29", " union all ".join(
     f"""select flag, '{c}' as variable, count({c}) as n, round(avg({c}), 4) as mean, round(stddev({c}), 4) as sd,
-  round(quantile_cont({c}::double, 0.05), 4) as p5, round(quantile_cont({c}::double, 0.5), 4) as median, round(quantile_cont({c}::double, 0.95), 4) as p95
+  round(quantile_cont({c}::double, 0.05), 6) as p5, round(quantile_cont({c}::double, 0.5), 6) as median, round(quantile_cont({c}::double, 0.95), 6) as p95
   from ({_DESCRIBED}) group by 1""" for c in DESCRIBED))
 def describe_all(spark, d):
     line = Tables(spark, d).lineitem.select(
         F.nullif("l_returnflag", F.lit("R")).alias("flag"), *DESCRIBED[:8], (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("net"),
         F.date_diff("l_shipdate", F.lit("1995-01-01").cast("date")).cast("double").alias("days"),
         F.when(F.col("l_linenumber") == 1, F.col("l_quantity") - 25).alias("odd"))
-    return rounded(PR.describe_all(line, "flag", DESCRIBED))
+    # an interpolated quantile of prices may end in a five at the fifth place, so quantiles keep six
+    out = PR.describe_all(line, "flag", DESCRIBED)
+    return out.select("flag", "variable", "n", *[F.round(c, 4).alias(c) for c in ("mean", "sd")], *[F.round(c, 6).alias(c) for c in ("p5", "median", "p95")])
 
 
 @check("histogram", "AGG25", """
