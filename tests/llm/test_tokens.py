@@ -132,7 +132,6 @@ def test_plan_holds_every_length(lengths):
 def test_words_like_the_library(monkeypatch):
     """Texts of white space, signs and letters of all sorts, with a memory that is always full."""
     monkeypatch.setattr(words, "REMEMBERED", 200)
-    monkeypatch.setattr(words, "TOGETHER", 7)
     library, rng = Tokenizer.from_file(JSON), random.Random(5)
     mine = words.WordIds(library)
     parts = [" ", " ", " ", "\n", "\n", "\t", "\r", "\x0b", "\x1c", "\x1f", "\x85", "\xa0", "\u2003", "\u180e", "\u200b", "\u3000", "a", "b", "the", "é",

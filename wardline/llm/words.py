@@ -3,8 +3,8 @@
 The pre-tokenizer of such a vocabulary takes white space only at the front of a pre-token. So it also cuts before any
 blank or line end, unless that stands between two other white characters, or after one at the end of the text. Texts
 without such a place are split at blanks and line ends, and the pieces are looked up; the others, and texts that hold a special
-string, are encoded whole. A piece of letters and closing signs is put together from its word and its signs, and words
-that are new are encoded together in one text, in which each word is one pre-token.
+string, are encoded whole. A piece of letters and closing signs is put together from its word and its signs, and a new
+word, which is one pre-token, goes straight to the tokenizer's model.
 """
 
 from __future__ import annotations
@@ -13,10 +13,12 @@ import gc
 import re
 import struct
 
+from .bpe_codec import byte_characters
+
 #: Entries of the younger half of a memory; when it is full, it becomes the older half. Results do not depend on it.
 REMEMBERED = 400_000
-#: Pieces longer than this are not remembered; new words encoded in one text.
-LONG_PIECE, TOGETHER = 100, 4000
+#: Pieces longer than this are not remembered.
+LONG_PIECE = 100
 _ODD = "\u180E\u200B\u2060\uFEFF"  # white space to some Unicode versions only
 #: A blank or line end where a text cannot be cut.
 _INSIDE = re.compile(rf"[\s{_ODD}][ \n](?:[\s{_ODD}]|\Z)")
@@ -29,6 +31,8 @@ class WordIds:
 
     def __init__(self, tokenizer):
         self.tokenizer = tokenizer
+        self.shown = dict(enumerate(byte_characters()))
+        self.packed = [struct.pack("<I", i) for i in range(tokenizer.get_vocab_size())]
         self.specials = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
         self.young: dict[str, dict[str, bytes]] = {before: {} for before in ("", " ", "\n")}
         self.old: dict[str, dict[str, bytes]] = {before: {} for before in self.young}
@@ -36,21 +40,13 @@ class WordIds:
     def _encoded(self, texts: list[str]) -> list[bytes]:
         return [struct.pack(f"<{len(e.ids)}I", *e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _new_words(self, words: list[str]) -> dict[str, bytes]:
-        """Ids of words after a blank."""
-        found = {}
-        for start in range(0, len(words), TOGETHER):
-            part = words[start:start + TOGETHER]
-            encoding = self.tokenizer.encode(" " + " ".join(part), add_special_tokens=False)
-            ids, owners = encoding.ids, encoding.word_ids
-            data, first = struct.pack(f"<{len(ids)}I", *ids), 0
-            ends = [k for k in range(1, len(owners)) if owners[k] != owners[k - 1]] + [len(owners)]
-            if len(ends) != len(part):
-                raise ValueError("the tokenizer does not cut between words")
-            for word, end in zip(part, ends):
-                found[word] = data[4 * first:4 * end]
-                first = end
-        return found
+    def _new_words(self, before: str, words: set[str]) -> dict[str, bytes]:
+        """Ids of words: a blank belongs to the word's pre-token, a line end is one of its own."""
+        blank = self.shown[32] if before == " " else ""
+        ahead = self._encoded(["\n"])[0] if before == "\n" and words else b""
+        tokens, packed, shown = self.tokenizer.model.tokenize, self.packed, self.shown
+        plain = ((w, w if w.isascii() else w.encode().decode("latin-1").translate(shown)) for w in words)
+        return {w: ahead + b"".join([packed[t.id] for t in tokens(blank + characters)]) for w, characters in plain}
 
     def _learn(self, before: str, pieces: set[str]) -> None:
         """Make the young memory hold all ``pieces``."""
@@ -69,8 +65,7 @@ class WordIds:
                 rest.append(p)
         parts = {w for _, w, _ in closed}.difference(words, young, old)
         words |= parts
-        found = self._new_words(list(words)) if before == " " else dict(zip(words, self._encoded([before + w for w in words])))
-        young.update(found)
+        young.update(self._new_words(before, words))
         signs = list({s for *_, s in closed})
         ending = dict(zip(signs, self._encoded(signs)))
         for p, word, sign in closed:
