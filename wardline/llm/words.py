@@ -16,7 +16,7 @@ import struct
 from .bpe_codec import byte_characters
 
 #: Entries of the younger half of a memory; when it is full, it becomes the older half. Results do not depend on it.
-REMEMBERED = 400_000
+REMEMBERED = 300_000
 #: Pieces longer than this are not remembered.
 LONG_PIECE = 100
 _ODD = "\u180E\u200B\u2060\uFEFF"  # white space to some Unicode versions only
@@ -97,9 +97,7 @@ class WordIds:
                 found.append(after(line[0]) if n else first(line[0]))
                 found += map(get, line[1:])
             out[k] = b"".join(found)
-        for before, young in self.young.items():
-            for p in [p for p in young if len(p) > LONG_PIECE] if len(young) > REMEMBERED else ():
-                del young[p]
-            if len(young) > REMEMBERED:
-                self.old[before], self.young[before] = young, {}
+        if sum(map(len, self.young.values())) > REMEMBERED:
+            self.old = {before: {p: ids for p, ids in young.items() if len(p) <= LONG_PIECE} for before, young in self.young.items()}
+            self.young = {before: {} for before in self.young}
         return out
