@@ -16,7 +16,7 @@ import struct
 from .bpe_codec import byte_characters
 
 #: Entries of the younger half of a memory; when it is full, it becomes the older half. Results do not depend on it.
-REMEMBERED = 300_000
+REMEMBERED = 150_000
 #: Pieces longer than this are not remembered.
 LONG_PIECE = 100
 _ODD = "\u180E\u200B\u2060\uFEFF"  # white space to some Unicode versions only
