@@ -23,6 +23,7 @@ _ODD = "\u180E\u200B\u2060\uFEFF"  # white space to some Unicode versions only
 #: A blank or line end where a text cannot be cut.
 _INSIDE = re.compile(rf"[\s{_ODD}][ \n](?:[\s{_ODD}]|\Z)")
 _LETTERS = r"[A-Za-zÀ-ÖØ-öø-ɏ]+"
+_SIGNS = (".", ",", ";", ":", "!", "?")
 _WORD, _CLOSED = re.compile(_LETTERS).fullmatch, re.compile(rf"({_LETTERS})([.,;:!?]+)").fullmatch
 
 
@@ -57,8 +58,10 @@ class WordIds:
         new.difference_update(old)
         words, closed, rest = set(), [], []
         for p in new:
-            if _WORD(p):
+            if p.isalpha() and p.isascii() or _WORD(p):
                 words.add(p)
+            elif p[-1:] in _SIGNS and p[:-1].isalpha() and p.isascii():
+                closed.append((p, p[:-1], p[-1]))
             elif m := _CLOSED(p):
                 closed.append((p, m[1], m[2]))
             else:
