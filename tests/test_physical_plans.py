@@ -50,3 +50,22 @@ def test_asof_shuffles_the_left_side_once(spark):
     right = ev.where("event_type = 'view'").select("user_id", F.col("ts").alias("t"), "value")
     text = plan(O.asof_backward(left, ["user_id"], "ts", [O.Carried(right, "t", 7200, {"value": "v"})]))
     assert text.count("EqualTo(event_type,purchase)") == 1 and "Join" not in text
+
+
+def broadcasts(df):
+    """What the plan broadcasts, apart from constant rule tables: the lines below each exchange."""
+    lines = plan(df).splitlines()
+    below = [lines[i + 1] for i, line in enumerate(lines) if "BroadcastExchange" in line]
+    return [line for line in below if "LocalTableScan [itemid" not in line]
+
+
+def test_stays_with_their_cells_are_not_broadcast(spark):
+    part = spark.read.parquet(f"{DATA}/part.parquet")
+    stays = part.selectExpr("p_partkey as k", "timestamp_ntz'2020-01-01 00:00:00' as t0")
+    events = spark.read.parquet(f"{DATA}/lineitem.parquet").selectExpr("l_partkey as k", "cast(l_shipdate as timestamp_ntz) as ts")
+    assert broadcasts(events_in_window(stays, events, ["k"], "ts", F.col("t0"), F.col("t0") + F.expr("interval 1 day"))) == []
+
+
+@pytest.mark.parametrize("name", ["clinical_blood_gas", "clinical_urine_output"])
+def test_no_table_of_stays_is_broadcast(spark, name):
+    assert broadcasts(QUERIES[name](spark, DATA)) == []

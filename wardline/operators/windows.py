@@ -25,7 +25,9 @@ def events_in_window(
 
     Each stay lists the time cells its window touches and the join is an equi-join on key and
     cell. A stay with a huge history therefore spreads over many tasks, and events outside any
-    window match nothing. The window of a stay must be of bounded length.
+    window match nothing. The window of a stay must be of bounded length. Both sides are sorted:
+    stays with their cells grow with the stays, and their size is unknown when the plan is made,
+    so they are never broadcast.
     """
     bounded = stays.withColumn("__lo", lo).withColumn("__hi", hi)
     ok = F.col("__lo") <= F.col("__hi")
@@ -35,7 +37,7 @@ def events_in_window(
     if clash:
         raise ValueError(f"columns on both sides: {clash}")
     right = events.where(F.col(ts).isNotNull()).withColumn("__cell", time_cell(ts, cell_seconds))
-    joined = left.join(right, [*on, "__cell"])
+    joined = left.hint("merge").join(right, [*on, "__cell"])
     keep = within(ts, F.col("__lo"), F.col("__hi"), lo_closed, hi_closed)
     return joined.where(keep).drop("__lo", "__hi", "__cell")
 
