@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 import __spark_entry__  # noqa: F401  registers the checks
 from checks.base import QUERIES
 from wardline.operators import ordered as O
+from wardline.operators import pivot as P
 from wardline.operators.windows import events_in_window
 
 DATA = "/root/testdata/sf0.001"
@@ -69,3 +70,13 @@ def test_stays_with_their_cells_are_not_broadcast(spark):
 @pytest.mark.parametrize("name", ["clinical_blood_gas", "clinical_urine_output"])
 def test_no_table_of_stays_is_broadcast(spark, name):
     assert broadcasts(QUERIES[name](spark, DATA)) == []
+
+
+def test_keys_are_spread_where_they_are_dealt(spark):
+    ev = spark.read.parquet(f"{DATA}/events.parquet")
+    for wide in (P.long_to_wide(ev, ["user_id"], "event_type", "value", ["view", "click"]),
+                 P.summarise(ev, ["user_id"], "event_type", "value", {"v": ["view"]}, ["min", "mean"])):
+        lines = plan(wide).splitlines()
+        last = next(i for i, line in enumerate(lines) if "pivotfirst" in line)
+        first = next(i for i, line in enumerate(lines) if "partial_pivotfirst" in line)
+        assert last < first and not any("Exchange" in line for line in lines[last:first])

@@ -13,9 +13,19 @@ from pyspark.sql import functions as F
 from ..functions.scalars import is_true, within
 
 
+def _by_key(combined: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows combined per key and label, dealt by key, so that a task spreads the keys it was dealt and no others.
+
+    Dealt by key and label, nearly every key would be in every task, each as a wide row. A key has at most one row
+    per label here. The number of parts is the session's, as narrow rows measure too small for what they become.
+    """
+    return combined.repartition(int(combined.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def long_to_wide(df: DataFrame, keys: list[str], label: str, value: str, labels: list[str]) -> DataFrame:
     """One row per key with a column per label holding the largest value."""
-    return df.groupBy(*keys).pivot(label, labels).agg(F.max(value))
+    combined = df.groupBy(*keys, label).agg(F.max(value).alias("__v"))
+    return _by_key(combined, keys).groupBy(*keys).pivot(label, labels).agg(F.max("__v"))
 
 
 def _level(frames: dict[str, Column]) -> Column:
@@ -46,10 +56,11 @@ def summarise(
     cell = F.concat(F.col(label), F.lit("__"), _level(frames).cast("string"))
     cells = [f"{x}__{i}" for x in labels for i in range(len(frames))]
     v = F.col(value)
-    aggs = [F.min(v).alias("lo"), F.max(v).alias("hi")]
+    aggs = {"lo": F.min(v), "hi": F.max(v)}
     if "mean" in stats:
-        aggs += [F.sum(v).alias("sum"), F.count(v).alias("n")]
-    wide = df.withColumn("__cell", cell).groupBy(*keys).pivot("__cell", cells).agg(*aggs)
+        aggs |= {"sum": F.sum(v), "n": F.count(v)}
+    combined = df.withColumn("__cell", cell).groupBy(*keys, "__cell").agg(*[a.alias(f"__{k}") for k, a in aggs.items()])
+    wide = _by_key(combined, keys).groupBy(*keys).pivot("__cell", cells).agg(*[F.max(f"__{k}").alias(k) for k in aggs])
     outs = []
     for i, frame in enumerate(frames):
         for stem, pooled in columns.items():
