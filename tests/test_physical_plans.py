@@ -67,7 +67,7 @@ def test_stays_with_their_cells_are_not_broadcast(spark):
     assert broadcasts(events_in_window(stays, events, ["k"], "ts", F.col("t0"), F.col("t0") + F.expr("interval 1 day"))) == []
 
 
-@pytest.mark.parametrize("name", ["clinical_blood_gas", "clinical_urine_output"])
+@pytest.mark.parametrize("name", ["clinical_blood_gas", "clinical_renal_failure", "clinical_urine_output"])
 def test_no_table_of_stays_is_broadcast(spark, name):
     assert broadcasts(QUERIES[name](spark, DATA)) == []
 

@@ -307,13 +307,9 @@ def renal_failure(stays: DataFrame, lab_summary: DataFrame, urine: DataFrame, di
     chronic = P.any_flag(diagnoses, ["hadm_id"], F.col("icd9_code").isin(*R.CHRONIC_DIALYSIS_CODES), "ckd")
     hit = ((F.col("d1_creatinine_max") >= R.RENAL_FAILURE_CR) & (F.col("urineoutput") < R.RENAL_FAILURE_URINE)
            & (F.col("ckd") == 0))
-    return (
-        stays.select("hadm_id", "icustay_id")
-        .join(lab_summary.select("icustay_id", "d1_creatinine_max"), "icustay_id", "left")
-        .join(urine.select("icustay_id", "urineoutput"), "icustay_id", "left")
-        .join(chronic, "hadm_id", "left")
-        .select("icustay_id", S.is_true(hit).cast("int").alias("arf"))
-    )
+    parts = [lab_summary.select("icustay_id", "d1_creatinine_max"), urine.select("icustay_id", "urineoutput")]
+    measured = J.assemble(stays.select("hadm_id", "icustay_id"), parts, "icustay_id")
+    return J.assemble(measured, [chronic], "hadm_id").select("icustay_id", S.is_true(hit).cast("int").alias("arf"))
 
 
 def _points(name: str, value: str) -> Column:
