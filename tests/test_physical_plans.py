@@ -72,6 +72,14 @@ def test_no_table_of_stays_is_broadcast(spark, name):
     assert broadcasts(QUERIES[name](spark, DATA)) == []
 
 
+@pytest.mark.parametrize("name", ["timed_extract", "timed_extract_wide"])
+def test_the_extract_broadcasts_rules_and_hot_cells_only(spark, name):
+    text = plan(QUERIES[name](spark, DATA))
+    lines = text.splitlines()
+    below = [" ".join(lines[i + 1:i + 3]) for i, line in enumerate(lines) if "BroadcastExchange" in line]
+    assert all("LocalTableScan [itemid" in b or "filter(__all" in b or "__n" in b for b in below), below
+
+
 def test_keys_are_spread_where_they_are_dealt(spark):
     ev = spark.read.parquet(f"{DATA}/events.parquet")
     for wide in (P.long_to_wide(ev, ["user_id"], "event_type", "value", ["view", "click"]),

@@ -73,7 +73,7 @@ def running(
     bases = sums.select(_CELL, _PART, *[F.coalesce(F.sum(f"__w{i}").over(before), F.lit(0)).alias(f"__b{i}") for i in range(len(weights))])
     inside = Window.partitionBy(_CELL, _PART).orderBy(_KEY).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = [(F.col(f"__b{i}") + F.coalesce(F.sum(w).over(inside), F.lit(0))).alias(name) for i, (name, w) in enumerate(weights.items())]
-    return celled.join(bases, [_CELL, _PART]).select(*df.columns, *local)
+    return celled.join(bases.hint("merge"), [_CELL, _PART]).select(*df.columns, *local)
 
 
 def sequence(df: DataFrame, keys: list[str], order: list[Column], out: str = "seq", cell: Column | None = None, ties: bool = False,

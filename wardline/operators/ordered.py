@@ -5,7 +5,8 @@ of all rows. Here every group is cut into *cells* by a coarse, order-preserving
 order key (an hour of time, a quantile range of a number). Each cell is summarised with partial
 aggregation, what later cells need from it is handed on as one row per cell, and the detail rows
 only meet the other rows of their own cell. Results are exact: cells change where the work
-happens, not what it computes.
+happens, not what it computes. Cells may be as many as the rows, so they are joined by sorting,
+in the order that the numbering of a cell needs anyway.
 """
 
 from __future__ import annotations
@@ -87,7 +88,7 @@ def running_total(
     )
     local = F.sum(weight).over(Window.partitionBy(_CELL).orderBy(*order).rowsBetween(*_UP_TO))
     extra = [F.col(_TOTAL).alias(group_total)] if group_total else []
-    return celled.join(bases, _CELL).select(*df.columns, (F.col(_BASE) + local).alias(out), *extra)
+    return celled.join(bases.hint("merge"), _CELL).select(*df.columns, (F.col(_BASE) + local).alias(out), *extra)
 
 
 def sequence(
@@ -105,7 +106,7 @@ def sequence(
     before = F.sum("__w").over(_over_cells(keys).rowsBetween(*_BEFORE))
     bases = sums.select(_CELL, F.coalesce(before, F.lit(0)).alias(_BASE))
     local = number.over(Window.partitionBy(_CELL).orderBy(*order))
-    return celled.join(bases, _CELL).select(*df.columns, (F.col(_BASE) + local).alias(out))
+    return celled.join(bases.hint("merge"), _CELL).select(*df.columns, (F.col(_BASE) + local).alias(out))
 
 
 # --- carrying values forward -----------------------------------------------------------------

@@ -292,13 +292,10 @@ def demographics(stays: DataFrame, chart: DataFrame, notes: DataFrame, services:
                           O.time_cell("intime", 7 * DAY), "stay_no")
     named = S.map_codes(F.col("item_smoking").cast("int"), R.SMOKING_LABELS)
     noted = S.map_codes("note_smoking", R.SMOKING_LABELS)
-    return (
-        J.assemble(numbered, [demo, latest_service(stays, services, ["icustay_id"])], "icustay_id")
-        .join(smoking_from_notes(notes), "subject_id", "left")
-        .select(*STAY, "weight", "height", "pregnant",
-                F.coalesce(named, noted, F.lit("Unknown")).alias("smoking"), "first_service",
-                (F.col("stay_no") > 1).cast("int").alias("readmission"))
-    )
+    known = J.assemble(numbered, [demo, latest_service(stays, services, ["icustay_id"])], "icustay_id")
+    return J.assemble(known, [smoking_from_notes(notes)], "subject_id").select(
+        *STAY, "weight", "height", "pregnant", F.coalesce(named, noted, F.lit("Unknown")).alias("smoking"), "first_service",
+        (F.col("stay_no") > 1).cast("int").alias("readmission"))
 
 
 # --- acute physiology score -----------------------------------------------------------------------
@@ -388,13 +385,9 @@ def cohort(stays: DataFrame, patients: DataFrame, admissions: DataFrame, service
     codes = chart.where(F.col("itemid").isin(*R.CODE_STATUS_ITEMS) & _not_error(chart))
     dnr = P.first_time_where(codes, ["icustay_id"], "charttime", F.col("value").isin(*R.LIMITED_CARE_TEXT), "dnrtime")
     service = latest_service(stays, services, ["hadm_id"])
-    base = (
-        stays.select(*STAY, "intime", "outtime")
-        .join(patients.select("subject_id", "dob", "gender"), "subject_id")
-        .join(admissions.select("hadm_id", "admittime"), "hadm_id")
-        .join(service, "hadm_id")
-        .join(dnr, "icustay_id", "left").join(span, "icustay_id", "left")
-    )
+    base = J.sorted_join(stays.select(*STAY, "intime", "outtime"), patients.select("subject_id", "dob", "gender"), "subject_id")
+    base = J.sorted_join(J.sorted_join(base, admissions.select("hadm_id", "admittime"), "hadm_id"), service, "hadm_id")
+    base = J.assemble(base, [dnr, span], "icustay_id")
     numbered = O.sequence(base, ["subject_id"], [F.col("intime_hr").asc_nulls_last(), F.col("icustay_id")],
                           O.time_cell("intime_hr", 7 * DAY), "icustay_num")
     ranked = O.sequence(numbered, ["subject_id"], [F.col("admittime").asc_nulls_last()],
@@ -427,8 +420,8 @@ def extract(stays: DataFrame, patients: DataFrame, admissions: DataFrame, includ
     left joins adds no further shuffle of event-sized data.
     """
     base = J.in_cohort(stays, included, ["icustay_id"])
-    s = base.join(admissions.drop("subject_id"), "hadm_id").join(
-        patients.select("subject_id", "dob", "gender"), "subject_id")
+    s = J.sorted_join(J.sorted_join(base, admissions.drop("subject_id"), "hadm_id"),
+                      patients.select("subject_id", "dob", "gender"), "subject_id")
     cm = S.inches_to_cm("height")
     ids = ["subject_id", "hadm_id"]
     # the three summaries share stems such as glucose and calcium, so two of them get a prefix
