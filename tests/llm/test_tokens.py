@@ -142,6 +142,25 @@ def test_words_like_the_library(monkeypatch):
         assert mine.ids(texts) == want
 
 
+def test_a_word_of_a_batch_is_looked_up_once():
+    """Lookups follow the distinct pieces of a batch, not its words, of which a GB has some 200 million."""
+    class Memory(dict):
+        lookups = 0
+
+        def __getitem__(self, key):
+            if isinstance(found := super().__getitem__(key), bytes):
+                Memory.lookups += 1
+            return found
+
+    library = Tokenizer.from_file(JSON)
+    mine = words.WordIds(library)
+    mine.young = Memory({k: Memory(v) if isinstance(v, dict) else v for k, v in mine.young.items()})
+    texts = ["some word, other words.\nnext line " * 500] * 20 + ["", "", "word"] + [""] * 3
+    assert mine.ids(texts) == [np.asarray(e.ids, "<u4").tobytes() for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert Memory.lookups < 100
+    assert mine.ids([]) == [] and mine.ids(["", ""]) == [b"", b""] and mine.ids(["", "  ", ""])[1] == mine.ids(["  "])[0] != b""
+
+
 def item_best_fit(lengths, capacity):
     rooms = []
     for n in sorted(lengths, reverse=True):

@@ -28,10 +28,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import slices, text_of, written
-from .units import TEXT_BYTES, worker_store
+from .units import worker_store
 from .words import WordIds
 
 CAPACITY = 2048
+#: Text bytes that are encoded together; a distinct word is handled once in them. Results do not depend on it.
+TEXT_BYTES = 12 << 20
 #: Share of a length that one step may cover, fall of its price when all of it is covered, steps per knapsack.
 STEP, FALL, STEPS_PER_KNAPSACK = 1 / 8, 4.0, 32
 #: Pieces that one numbering task sees on average.
