@@ -5,11 +5,12 @@ import hashlib
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from wardline.llm import exact_dedup, line_dedup, simhash, substring_dedup
+from wardline.llm import exact_dedup, line_dedup, quality_classifier, simhash, substring_dedup, units
 from wardline.llm.components import connected
 
 BLANK = re.compile(r"[\x20\x09-\x0D]")
@@ -299,3 +300,33 @@ def test_line_signatures_do_not_mix():
     together = line_dedup._least_hashes(lines)
     assert (together == np.concatenate([line_dedup._least_hashes([x]) for x in lines])).all()
     assert together.shape == (6, line_dedup.BANDS * line_dedup.ROWS) and len({tuple(r) for r in together.tolist()}) == 6
+
+
+# what steps leave behind ---------------------------------------------------------------------------------
+
+def test_hashing_words_keeps_none_of_them():
+    units.forget()
+    words = [b"word %d" % i for i in range(1000)]
+    assert substring_dedup.word_hashes(words).tolist() == [xxhash.xxh3_64_intdigest(w) for w in words]
+    assert [k for k in units.worker_store() if not k.startswith("__")] == []
+
+
+@pytest.mark.parametrize("step", ["substring", "simhash", "quality", "quality keep"])
+def test_steps_drop_what_other_operators_left_with_the_worker(spark, documents, step):
+    def fill(batches):
+        units.worker_store()["packing ids"] = "left"
+        yield from batches
+
+    def look(batches):
+        for batch in batches:
+            left = "packing ids" in units.worker_store()
+            yield pa.RecordBatch.from_arrays([pa.array([left] * batch.num_rows)], ["left"])
+
+    docs = documents([(i, "one two three") for i in range(4)]).coalesce(1)
+    model = quality_classifier.AttentionModel()
+    model.share = 1.0
+    assert docs.mapInArrow(fill, docs.schema).count() == 4
+    one = {"substring": lambda: substring_dedup._anchored(docs, 35, 8), "simhash": lambda: simhash.fingerprints(docs),
+           "quality": lambda: quality_classifier.scores(docs, model), "quality keep": lambda: quality_classifier.keep(docs, model)}[step]()
+    one.collect()
+    assert not any(r.left for r in docs.select("doc_id").mapInArrow(look, "left boolean").collect())

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import slices, text_of
+from .units import forget
 
 PASSAGE = 1024
 #: Bytes of one text that are encoded together, whole passages.
@@ -215,6 +216,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> AttentionMo
 def _scored(rows: DataFrame, model: AttentionModel) -> DataFrame:
     """``row``, ``text`` and ``score`` for rows of (row, text)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for part in slices(batches):
             scored = pa.array(model.score_texts([t.encode() for t in part.column("text").to_pylist()]))
             yield pa.RecordBatch.from_arrays([part.column("row"), part.column("text"), scored], ["row", "text", "score"])
@@ -226,6 +228,7 @@ def _scored(rows: DataFrame, model: AttentionModel) -> DataFrame:
 def scores(docs: DataFrame, model: AttentionModel) -> DataFrame:
     """``doc_id, held_out, score, predicted`` of every document."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for part in slices(batches):
             scored = pa.array(model.score_texts([t.encode() for t in part.column("text").to_pylist()]))
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), scored], ["doc_id", "score"])

@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from .common import one_of_equal, slices, text_of, written
 from .components import connected
+from .units import forget
 
 WIDTH = 3
 LIMIT = 2
@@ -70,6 +71,7 @@ def _fingerprints(texts: list[bytes]) -> np.ndarray:
 def fingerprints(docs: DataFrame) -> DataFrame:
     """``doc_id, text_hash, fp`` of every row (fp as a signed long)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for part in slices(batches, "text"):
             fp = _fingerprints(part.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("text_hash"), pa.array(fp.view(np.int64))],

@@ -38,26 +38,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import slices, text_of, written
-from .units import worker_store
+from .units import forget
 
 WIDTH = 35
 GRAM = 8
 #: Distinct regions of one anchor that one automaton holds.
 SHARD_REGIONS = 2000
-#: Words whose hash a worker remembers; results do not depend on it.
-REMEMBERED = 400_000
 
 
 # anchors -------------------------------------------------------------------------------------------------
 
 def word_hashes(words: list[bytes]) -> np.ndarray:
-    known = worker_store().setdefault("word hashes", {})
-    new = set(words).difference(known)
-    if len(known) + len(new) > REMEMBERED:
-        known.clear()
-        new = set(words)
-    known.update((w, xxhash.xxh3_64_intdigest(w)) for w in new)
-    return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
 
 
 def _powers(base: int, n: int) -> np.ndarray:
@@ -121,6 +113,7 @@ def _key(docs: DataFrame) -> DataFrame:
 
 def _anchored(docs: DataFrame, width: int, gram: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for part in slices(batches):
             words = [t.split() for t in part.column("text").to_pylist()]
             counts = np.asarray([len(w) for w in words])

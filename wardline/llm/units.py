@@ -47,6 +47,13 @@ def worker_store() -> dict:
     return sys.modules.setdefault("_wardline_worker_store", types.ModuleType("_wardline_worker_store")).__dict__
 
 
+def forget() -> None:
+    """Drop what earlier tasks of other operators left with this worker; operators that keep nothing begin with it."""
+    store = worker_store()
+    for key in [k for k in store if not k.startswith("__")]:
+        del store[key]
+
+
 def _open_ended(unit: str) -> bool:
     last = unit[-1]
     return last not in " \n" and (last.isspace() or last in _DOUBTFUL)
