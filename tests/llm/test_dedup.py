@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import re
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -10,7 +11,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from wardline.llm import exact_dedup, line_dedup, quality_classifier, simhash, substring_dedup, units
+from wardline.llm import common, exact_dedup, line_dedup, quality_classifier, simhash, substring_dedup, units
 from wardline.llm.components import connected
 
 BLANK = re.compile(r"[\x20\x09-\x0D]")
@@ -330,3 +331,32 @@ def test_steps_drop_what_other_operators_left_with_the_worker(spark, documents,
            "quality": lambda: quality_classifier.scores(docs, model), "quality keep": lambda: quality_classifier.keep(docs, model)}[step]()
     one.collect()
     assert not any(r.left for r in docs.select("doc_id").mapInArrow(look, "left boolean").collect())
+
+
+def test_written_steps_leave_no_shuffle_files(spark):
+    def shuffles():
+        blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks().mkString("\n").split("\n")
+        return {b.split("_")[1] for b in blocks if b.startswith("shuffle_")}
+
+    before, setting = shuffles(), spark.conf.get(common.CLEANUP)
+    rows = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+    assert sorted(common.written(rows, "test-counts").collect()) == sorted(rows.collect())
+    own = spark.range(1000).repartition(3, "id")
+    common.written(own, "test-dealt")
+    for _ in range(50):
+        if len(shuffles() - before) <= 1:  # that of rows.collect()
+            break
+        time.sleep(0.1)
+    assert len(shuffles() - before) <= 1
+    assert spark.conf.get(common.CLEANUP) == setting
+
+
+def test_band_keys_are_shuffled_once(spark, documents, monkeypatch):
+    plans = {}
+    monkeypatch.setattr(line_dedup, "written", lambda df, name: plans.setdefault(name, df) and common.written(df, name))
+    docs = documents([(i, f"the same long line of text, number {i % 3}") for i in range(30)])
+    line_dedup.summary(docs).collect()
+    found = plans["line-buckets"].withColumn("more", F.lit(1))
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("Initial Plan")[0].count("ReusedExchange") >= 1
