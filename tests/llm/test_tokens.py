@@ -3,10 +3,14 @@
 import base64
 import collections
 import hashlib
+import pathlib
 import random
+import subprocess
+import sys
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 P = pytest.importorskip("public_tokenizers")
@@ -192,3 +196,59 @@ def test_identical_rows_are_numbered_by_many_tasks(documents, monkeypatch):
     rows = packing.packed_pieces(documents([(None, "")] * 500 + [(1, "a b c")] * 300), JSON, 16).collect()
     assert len(rows) == 800 and len({(r.sequence_id, r.offset) for r in rows}) == 800
     assert len({r.sequence_id for r in rows}) == -(-(500 + 300 * 4) // 16)
+
+
+# what packing takes of a worker's memory --------------------------------------------------------------------
+
+def test_packing_takes_little_memory_of_a_worker():
+    """24 MB of words that are mostly new, beyond what a worker takes that has met one document."""
+    script = """
+import random, sys
+import pyarrow as pa
+import pyarrow.compute
+sys.path.insert(0, sys.argv[1])
+from wardline.llm import packing
+
+def used():
+    return int(open("/proc/self/statm").read().split()[1]) * 4096 / 2 ** 20
+
+rng = random.Random(4)
+common = ["".join(rng.choice("etaoinshrdlu") for _ in range(rng.randint(2, 9))) for _ in range(2000)]
+def text():
+    return " ".join(rng.choice(common) if rng.random() < 0.8 else f"{rng.choice(common)}{rng.choice(common)}" for _ in range(2000))
+
+batch = pa.RecordBatch.from_pydict({"doc_id": list(range(1800)), "text": [text() for _ in range(1800)]})
+small = batch.slice(0, 1)
+names = ["doc_id", "piece", "start", "length", "ids_crc32"]
+run = packing._cut(sys.argv[2], 2048, bytes(4), False, names)
+list(run([small]))
+before, most = used(), 0.0
+for _ in run([batch]):
+    most = max(most, used())
+print(batch.nbytes >> 20, most - before)
+"""
+    root = str(pathlib.Path(packing.__file__).parents[2])
+    done = subprocess.run([sys.executable, "-c", script, root, JSON], capture_output=True, text=True, timeout=300)
+    assert done.returncode == 0, done.stderr
+    size, grown = done.stdout.split()
+    assert int(size) >= 20 and float(grown) < 120, done.stdout
+
+
+def test_packing_hands_the_encoder_few_texts_at_a_time_and_drops_what_others_left(monkeypatch):
+    met = []
+
+    class Encoder:
+        def ids(self, texts):
+            met.append(sum(map(len, texts)))
+            return [b"\1\0\0\0" * 3] * len(texts)
+
+    mine = f"packing ids {JSON}"
+    units.forget()
+    units.worker_store().update({"codec": "left", mine: Encoder()})
+    texts = ["x" * 100_000] * 150 + ["y" * 9_000_000]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(151)), "text": texts})
+    rows = [r for b in packing._cut(JSON, 2048, bytes(4), False, ["doc_id", "piece", "start", "length", "ids_crc32"])([batch]) for r in b.to_pylist()]
+    assert [k for k in units.worker_store() if not k.startswith("__")] == [mine]
+    units.forget()
+    assert sorted(met)[-1] == 9_000_000 and sorted(met)[-2] <= 4 << 20 and sum(met) == 24_000_000
+    assert [r["doc_id"] for r in rows] == list(range(151)) and {r["length"] for r in rows} == {4}

@@ -28,12 +28,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import slices, text_of, written
-from .units import worker_store
+from .units import forget, worker_store
 from .words import WordIds
 
 CAPACITY = 2048
-#: Text bytes that are encoded together; a distinct word is handled once in them. Results do not depend on it.
-TEXT_BYTES = 12 << 20
+#: Text bytes that are encoded together; a distinct word is handled once in them, and a worker's memory grows with them.
+#: Results do not depend on it.
+TEXT_BYTES = 4 << 20
 #: Share of a length that one step may cover, fall of its price when all of it is covered, steps per knapsack.
 STEP, FALL, STEPS_PER_KNAPSACK = 1 / 8, 4.0, 32
 #: Pieces that one numbering task sees on average.
@@ -53,11 +54,11 @@ def _encoder(path: str) -> WordIds:
     return store[key]
 
 
-def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = 0, with_ids: bool = True) -> DataFrame:
-    """``doc_id, piece, start, length, ids_crc32`` and, if wanted, ``ids`` (little-endian 32-bit integers)."""
-    end = int(end_id).to_bytes(4, "little")
+def _cut(tokenizer: str, capacity: int, end: bytes, with_ids: bool, names: list[str]):
+    """Texts to pieces, a bounded number of text bytes at a time; each time Arrow gives back what it no longer uses."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget(keep=f"packing ids {tokenizer}")
         encoder = _encoder(tokenizer)
         for part in slices(batches, size=TEXT_BYTES):
             owner, number, start, length, crc, ids = [], [], [], [], [], []
@@ -74,13 +75,19 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: in
                     crc.append(zlib.crc32(cut))
                     if with_ids:
                         ids.append(bytes(cut))
+            pa.default_memory_pool().release_unused()
             columns = [part.column("doc_id").take(pa.array(owner, pa.int64())), pa.array(number, pa.int32()), pa.array(start, pa.int64()),
                        pa.array(length, pa.int64()), pa.array(crc, pa.int64())]
             yield pa.RecordBatch.from_arrays(columns + [pa.array(ids, pa.binary())] * with_ids, names)
+    return run
+
 
+def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = 0, with_ids: bool = True) -> DataFrame:
+    """``doc_id, piece, start, length, ids_crc32`` and, if wanted, ``ids`` (little-endian 32-bit integers)."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids
     names = [part.split()[0] for part in schema.split(", ")]
+    run = _cut(tokenizer, capacity, int(end_id).to_bytes(4, "little"), with_ids, names)
     return docs.select("doc_id", text_of().alias("text")).mapInArrow(run, schema)
 
 

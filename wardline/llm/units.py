@@ -13,6 +13,8 @@ import sys
 import types
 from collections.abc import Callable
 
+import pyarrow as pa
+
 #: Entries a worker's memory of units may hold before it starts anew; results do not depend on it.
 REMEMBERED = 500_000
 #: Text bytes whose distinct units are looked up together.
@@ -47,11 +49,12 @@ def worker_store() -> dict:
     return sys.modules.setdefault("_wardline_worker_store", types.ModuleType("_wardline_worker_store")).__dict__
 
 
-def forget() -> None:
-    """Drop what earlier tasks of other operators left with this worker; operators that keep nothing begin with it."""
+def forget(keep: str | None = None) -> None:
+    """Drop what earlier tasks of other operators left with this worker, all but the entry ``keep``, and Arrow's unused memory."""
     store = worker_store()
-    for key in [k for k in store if not k.startswith("__")]:
+    for key in [k for k in store if not k.startswith("__") and k != keep]:
         del store[key]
+    pa.default_memory_pool().release_unused()
 
 
 def _open_ended(unit: str) -> bool:
