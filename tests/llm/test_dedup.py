@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import random
 import re
 import time
 
@@ -360,3 +361,27 @@ def test_band_keys_are_shuffled_once(spark, documents, monkeypatch):
     found.collect()
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert plan.split("Initial Plan")[0].count("ReusedExchange") >= 1
+
+
+# line dedup: cheap forms of the same answers ------------------------------------------------------------------
+
+def test_blank_lines_are_told_by_their_front_alone(spark):
+    odd = ["", " ", "\t\x0b\x0c\r ", "\xa0", " \xa0", "a", "  a  ", "　", "日本", "\r\x85", "\x1c", "\0", " \0 ", "x" * 1000 + " " * 1000]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(odd)] + [(99, "\n".join(odd)), (100, None)], "doc_id long, text string")
+    worded = [t for t in odd if t.strip(" \t\x0b\x0c\r")]
+    assert sorted(r.line for r in line_dedup.lines(docs).select("line").collect()) == sorted(worded * 2)
+    counts = {r.doc.doc_id: r.n_lines for r in line_dedup._documents(docs).collect()}
+    assert counts == {**{i: int(t in worded) for i, t in enumerate(odd)}, 99: len(worded), 100: 0}
+    for step in (line_dedup.lines(docs), line_dedup._documents(docs)):
+        assert "translate(" not in step._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_shingles_of_lines_are_counted_as_sets_would(monkeypatch):
+    rng = random.Random(8)
+    plain = ["".join(rng.choice("ab é\xff\0") for _ in range(rng.randint(1, 60))) for _ in range(300)] + ["x", "\0", "a" * 5000, "é" * 8]
+    wide = plain + ["日本語🤦" * k for k in range(1, 9)] + ["a" * 30 + "ł", "Ā" * 8]
+    groups = [(x,) for x in wide] + [(rng.choice(wide), rng.choice(wide)) for _ in range(500)]
+    assert line_dedup._distinct(groups) == [len(set().union(*map(line_dedup.shingles, g))) for g in groups]
+    expected = [len(line_dedup.shingles(x)) for x in plain]
+    monkeypatch.setattr(line_dedup, "shingles", None)  # no sets of strings for such lines
+    assert line_dedup._distinct((x,) for x in plain) == expected
