@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import os
 import random
 import re
 import time
@@ -385,3 +386,49 @@ def test_shingles_of_lines_are_counted_as_sets_would(monkeypatch):
     expected = [len(line_dedup.shingles(x)) for x in plain]
     monkeypatch.setattr(line_dedup, "shingles", None)  # no sets of strings for such lines
     assert line_dedup._distinct((x,) for x in plain) == expected
+
+
+# line dedup: what it leaves and what it shuffles --------------------------------------------------------------
+
+def _tables(spark):
+    folder = common.shared_folder(spark).removeprefix("file://")
+    return {os.path.relpath(os.path.join(at, x), folder) for at, names, _ in os.walk(folder) for x in names}
+
+
+def test_line_dedup_leaves_only_its_classes(spark, documents):
+    docs = documents([(i, f"the same long line of text, number {i % 3}\nand one of its own, {i * 7919}") for i in range(60)])
+    before = _tables(spark)
+    found = line_dedup.summary(docs)
+    assert [x.split("-")[:2] for x in _tables(spark) - before] == [["line", "classes"]]
+    assert sum(r.n_removed for r in found.collect()) >= 57
+
+
+def test_a_scratch_block_keeps_what_it_is_told_to(spark):
+    before = _tables(spark)
+    with pytest.raises(ZeroDivisionError), common.scratch(spark) as kept:
+        inner = common.written(spark.range(5), "inner")
+        with common.scratch(spark) as further:
+            outer = further(inner.where("id > 1"), "outer")
+        stays = kept(outer.where("id > 2"), "stays")
+        assert outer.count() == 3 and len(_tables(spark) - before) == 4
+        1 / 0
+    assert [r.id for r in stays.orderBy("id").collect()] == [3, 4]
+    assert [x.split("-")[0] for x in _tables(spark) - before] == ["stays"]
+    readers = [stays.where("id > 3"), stays.where("id > 4")]
+    common.drop_with(readers, stays)
+    del readers[0]
+    assert _tables(spark) != before
+    del readers[0]
+    assert _tables(spark) == before
+    common.drop_with([spark.range(1)], spark.range(2))  # no written table
+
+
+def test_lines_that_meet_no_other_are_not_shuffled(spark, documents, monkeypatch):
+    rng = np.random.default_rng(4)
+    own = ["".join(map(chr, rng.integers(97, 123, 60))) for _ in range(300)]
+    plans = {}
+    monkeypatch.setattr(line_dedup, "written", lambda df, name: plans.setdefault(name, df) and common.written(df, name))
+    docs = documents([(i, x) for i, x in enumerate(own)] + [(1000, own[0] + "x"), (1001, own[0])])
+    out = {r.doc_id: r.n_removed for r in line_dedup.summary(docs).collect()}
+    assert {i for i, n in out.items() if n} == {1000, 1001}
+    assert "getbit" in plans["line-texts"]._jdf.queryExecution().optimizedPlan().toString()

@@ -83,3 +83,17 @@ def test_quoted_line_breaks_stay_in_one_value(spark, tmp_path):
     (tmp_path / "r.csv").write_text('id,Note,x\n1,"two\nlines",3\n2,one,4\n')
     got = read_registry_csv(spark, str(tmp_path / "r.csv"), numeric=["x"], multi_line=True).orderBy("id").collect()
     assert [(r.id, r.note, r.x) for r in got] == [("1", "two\nlines", 3.0), ("2", "one", 4.0)]
+
+
+def test_a_sieve_keeps_every_wanted_row(spark, rows):
+    from wardline.operators import joins as J
+
+    many = spark.range(20_000).selectExpr("case when id % 9 > 0 then id % 5000 end as k", "id as v")
+    wanted = spark.range(0, 5000, 50).selectExpr("case when id > 0 then id end as k")
+    for bits in (16, 20):
+        some = J.sieved(many, "k", wanted, bits)
+        assert sorted(some.join(wanted, "k").collect()) == sorted(many.join(wanted, "k").collect())
+        assert some.count() < 1000 and some.where("k is null").isEmpty()
+    assert J.sieved(many, "k", wanted.limit(0), 16).isEmpty()
+    with pytest.raises(ValueError):
+        J.sieved(many, "k", wanted.selectExpr("cast(k as int) as k"))
