@@ -155,10 +155,16 @@ drawn as (
   from drawn join beside using (icustay_id, charttime))"""
 
 
+def gas_lab_rows(t):
+    return H.observations(t, ["subject_id"], GAS_ITEMS, GAS_VALUE, GAS_TEXT, H.SLOT_MINUTES)
+
+
+def gas_chart_rows(t):
+    return H.observations(t, ["icustay_id"], NEAR_ITEMS, NEAR_VALUE)
+
+
 def gas_frames(t, first_day_only=False):
-    lab = H.observations(t, ["subject_id"], GAS_ITEMS, GAS_VALUE, GAS_TEXT, H.SLOT_MINUTES)
-    near = H.observations(t, ["icustay_id"], NEAR_ITEMS, NEAR_VALUE)
-    return timed.blood_gas(H.stays(t), lab, near, first_day_only)
+    return timed.blood_gas(H.stays(t), gas_lab_rows(t), gas_chart_rows(t), first_day_only)
 
 
 @check("clinical_blood_gas", "CON1 JON4 WIN9 MTH5 MTH6 MTH7 MTH8 SCO11 AGG12", f"""

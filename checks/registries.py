@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from wardline.operators import joins as J
 from wardline.operators import profile as PR
 from wardline.plans import diagnosis, flat, merge, offset, timed
 from wardline.plans import offset_rules as R
@@ -303,20 +304,28 @@ def timed_extract_frame(spark, d):
     stays = H.stays(t)
     full = stays.selectExpr("*", "'src' as dbsource", "'MICU' as first_careunit", "icustay_id % 9 as first_wardid",
                             "cast(icustay_id % 30 as double) as los")
-    vit = timed.vitals(stays, C.vital_rows(t))
-    lab = timed.labs(stays, C.lab_rows(t))
-    gas = timed.blood_gas_summary(stays, C.gas_frames(t, first_day_only=True))
-    coma = timed.coma_scale(stays, H.observations(t, ["icustay_id"], C.COMA_ITEMS, C.COMA_VALUE, C.COMA_TEXT))
+    heart = H.observations(t, ["icustay_id"], C.HR_ITEMS, C.HR_VALUE, C.HR_TEXT)
+    co = timed.cohort(stays, C.patient_rows(t), C.admission_rows(t), C.service_rows(t), heart).where("excluded = 0")
+    # the extract holds included stays only, so events of the others are left out before they are shuffled
+    sieve = J.Sieve(co, ["icustay_id", "hadm_id", "subject_id"])
+    inside = sieve.rows(stays, "icustay_id")
+
+    def near(events, key="icustay_id"):
+        return sieve.rows(events, key)
+
+    vit = timed.vitals(stays, near(C.vital_rows(t)))
+    lab = timed.labs(inside, near(C.lab_rows(t), "hadm_id"))
+    gas = timed.blood_gas_summary(stays, timed.blood_gas(inside, C.gas_lab_rows(t), near(C.gas_chart_rows(t)), True, few_stays=True))
+    coma = timed.coma_scale(stays, near(H.observations(t, ["icustay_id"], C.COMA_ITEMS, C.COMA_VALUE, C.COMA_TEXT)))
     urine_rows = H.observations(t, C.STAY, C.URINE_ITEMS, "l_quantity * 9").drop("value").withColumnRenamed("valuenum", "value")
-    urine = timed.urine_output(stays, urine_rows)
+    urine = timed.urine_output(stays, near(urine_rows))
     codes = t.part.selectExpr("p_partkey - p_partkey % 2 as hadm_id", "case when p_size = 7 then '5855' else '4019' end as icd9_code")
     vent = t.part.where("p_size % 2 = 0").selectExpr("p_partkey as icustay_id", f"{H.spark_time(H.admit('p_partkey') + ' + 3')} as starttime",
                                                      f"{H.spark_time(H.admit('p_partkey') + ' + 9')} as endtime")
     aps = timed.apsiii(stays, vit, lab, gas, coma, urine, codes, vent)
-    demo = timed.demographics(stays, H.observations(t, ["icustay_id"], C.DEMO_ITEMS, C.DEMO_VALUE), C.note_rows(t), C.service_rows(t))
-    chart = H.observations(t, ["icustay_id"], C.HR_ITEMS, C.HR_VALUE, C.HR_TEXT)
-    co = timed.cohort(stays, C.patient_rows(t), C.admission_rows(t), C.service_rows(t), chart)
-    return timed.extract(full, C.patient_rows(t), C.admission_rows(t), co.where("excluded = 0"), demo, vit, lab, gas, aps)
+    # a stay's number among those of its admission counts the stays left out too
+    demo = timed.demographics(stays, near(H.observations(t, ["icustay_id"], C.DEMO_ITEMS, C.DEMO_VALUE)), near(C.note_rows(t), "subject_id"), C.service_rows(t))
+    return timed.extract(full, C.patient_rows(t), C.admission_rows(t), co, demo, vit, lab, gas, aps)
 
 
 CHOSEN = ["encounter_id", "patient_id", "age", "gender", "ethnicity", "hospital_admit_source", "hospital_disch_location", "hospital_los_days",

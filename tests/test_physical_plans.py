@@ -88,3 +88,23 @@ def test_keys_are_spread_where_they_are_dealt(spark):
         last = next(i for i, line in enumerate(lines) if "pivotfirst" in line)
         first = next(i for i, line in enumerate(lines) if "partial_pivotfirst" in line)
         assert last < first and not any("Exchange" in line for line in lines[last:first])
+
+
+def test_the_extract_leaves_events_out_before_they_are_shuffled(spark):
+    """Scans of events but the cohort's own meet the bits of the included stays first; subqueries show the cohort's again."""
+    text = QUERIES["timed_extract_wide"](spark, DATA)._jdf.queryExecution().optimizedPlan().toString()
+    assert sum("Filter" in line and "l_partkey" in line and "getbit" in line for line in text.splitlines()) >= 9
+
+
+def test_a_window_join_for_few_stays_finds_the_same_events(spark):
+    stays = spark.range(0, 400, 40).selectExpr(
+        "if(id = 80, null, id) as k", "timestamp_ntz'2020-01-01 00:00:00' + make_dt_interval(cast(id % 7 as int)) as t0")
+    stays = stays.unionByName(stays.where("k < 100"))
+    events = spark.range(8000).selectExpr("if(id % 11 = 0, null, id % 400) as k", "id as v",
+                                          "if(id % 13 = 0, null, timestamp_ntz'2020-01-01 00:00:00' + make_dt_interval(0, cast(id % 240 as int))) as ts")
+    window = (stays, events, ["k"], "ts", F.col("t0"), F.col("t0") + F.expr("interval 1 day"))
+    some, every = events_in_window(*window, few_stays=True), events_in_window(*window)
+    assert sorted(some.collect()) == sorted(every.collect()) != []
+    assert "getbit" in plan(some) and "getbit" not in plan(every)
+    with pytest.raises(ValueError):
+        events_in_window(stays.withColumn("k", F.col("k").cast("int")), *window[1:], few_stays=True)

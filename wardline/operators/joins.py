@@ -16,29 +16,49 @@ def sorted_join(left: DataFrame, right: DataFrame, on: str | list[str], how: str
     return left.join(right.hint("merge"), on, how)
 
 
-#: Bits of a sieve, as a power of two, unless the caller knows how many keys there are.
-SIEVE_BITS = 23
+#: Bits of a sieve for each of its keys, as a power of two, unless the caller knows how many keys there are.
+SIEVE_BITS = 24
 
 
-def sieved(rows: DataFrame, key: str, wanted: DataFrame, bits: int = SIEVE_BITS) -> DataFrame:
-    """Rows whose ``key`` may be among the values of that column of ``wanted``: all that are, and a few others.
+class Sieve:
+    """Which keys a table holds, as bits, so that rows without a partner are left out before a join shuffles them.
 
-    For the larger side of an inner join on the key, so that rows without a partner are not shuffled. Each known key sets the bit
-    its hash names; the 2^bits bits (16 at least) are a scalar subquery, so their size does not grow with the keys and building the plan starts
-    no job. More keys than bits make it useless, not wrong.
+    Every known value of a key sets the bit its hash names. The 2^bits bits (16 at least) of each key are one scalar subquery, so
+    their size does not grow with the table and building the plan starts no job. More values than bits make it useless, not wrong.
     """
-    if rows.schema[key].dataType != wanted.schema[key].dataType:
-        raise ValueError(f"{key} is of two types, whose hashes differ")
-    at = F.pmod(F.xxhash64(key), F.lit(1 << bits))
-    # 64 bits to a word, 512 words to a row
-    held = wanted.where(F.col(key).isNotNull()).select(at.alias("at")).select(
-        F.shiftright("at", 6).alias("word"), F.expr("shiftleft(1L, cast(at & 63 as int))").alias("w"))
-    blank = rows.sparkSession.range(1 << (bits - 6)).select(F.col("id").alias("word"), F.lit(0).cast("long").alias("w"))
-    words = held.unionByName(blank).groupBy("word").agg(F.bit_or("w").alias("w"))
-    lists = words.groupBy(F.shiftright("word", 9).alias("row")).agg(F.sort_array(F.collect_list(F.struct("word", "w"))).alias("s"))
-    table = lists.select("row", F.col("s.w").alias("s")).agg(F.sort_array(F.collect_list(F.struct("row", "s"))).alias("s")).select("s.s").scalar()
-    word = F.get(F.get(table, F.shiftright(at, 15).cast("int")), F.shiftright(at, 6).bitwiseAND(F.lit(511)).cast("int"))
-    return rows.where(F.col(key).isNotNull() & (F.getbit(word, at.bitwiseAND(F.lit(63)).cast("int")) == 1))
+
+    def __init__(self, wanted: DataFrame, keys: list[str], bits: int = SIEVE_BITS):
+        self.types = {k: wanted.schema[k].dataType for k in keys}
+        self.bits, self.first = bits, {k: i << bits for i, k in enumerate(keys)}
+        # 64 bits to a word, 512 words to a row
+        held = wanted.select(F.explode(F.array(*[F.when(F.col(k).isNotNull(), self._at(k)) for k in keys])).alias("at")).where("at is not null")
+        held = held.select(F.shiftright("at", 6).alias("word"), F.expr("shiftleft(1L, cast(at & 63 as int))").alias("w"))
+        blank = wanted.sparkSession.range(len(keys) << (bits - 6)).select(F.col("id").alias("word"), F.lit(0).cast("long").alias("w"))
+        words = held.unionByName(blank).groupBy("word").agg(F.bit_or("w").alias("w"))
+        lists = words.groupBy(F.shiftright("word", 9).alias("row")).agg(F.sort_array(F.collect_list(F.struct("word", "w"))).alias("s"))
+        self.table = lists.select("row", F.col("s.w").alias("s")).agg(F.sort_array(F.collect_list(F.struct("row", "s"))).alias("s")).select("s.s")
+
+    def _at(self, key: str) -> Column:
+        return F.pmod(F.xxhash64(key), F.lit(1 << self.bits)) + F.lit(self.first[key])
+
+    def rows(self, rows: DataFrame, key: str) -> DataFrame:
+        """Rows whose ``key`` may be among the table's: all that are, and a few others."""
+        if rows.schema[key].dataType != self.types[key]:
+            raise ValueError(f"{key} is of two types, whose hashes differ")
+        asked = F.struct(self.table.scalar().alias("table"), self._at(key).alias("at"))
+
+        def held(x: Column) -> Column:
+            word = F.get(F.get(x["table"], F.shiftright(x["at"], 15).cast("int")), F.shiftright(x["at"], 6).bitwiseAND(F.lit(511)).cast("int"))
+            return F.getbit(word, x["at"].bitwiseAND(F.lit(63)).cast("int")) == 1
+
+        # a lambda, so that the hash is worked out once and the code around stays small enough to be compiled
+        known = rows.where(F.col(key).isNotNull()).withColumn("__sieve", asked)
+        return known.where(F.exists(F.array("__sieve"), held)).select(*[F.col(f"`{c}`") for c in rows.columns])
+
+
+def sieved(rows: DataFrame, key: str, wanted: DataFrame, bits: int = SIEVE_BITS) -> DataFrame:
+    """Rows whose ``key`` may be among the values of that column of ``wanted``, for the larger side of an inner join on it."""
+    return Sieve(wanted, [key], bits).rows(rows, key)
 
 
 def assemble(base: DataFrame, parts: list[DataFrame], key: str) -> DataFrame:

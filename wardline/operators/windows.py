@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import within
 from .balanced import MOST, running
+from .joins import Sieve
 from .ordered import time_cell
 
 
@@ -20,6 +21,7 @@ def events_in_window(
     cell_seconds: int = 6 * 3600,
     lo_closed: bool = True,
     hi_closed: bool = True,
+    few_stays: bool = False,
 ) -> DataFrame:
     """Inner join of stays to the events that fall between ``lo`` and ``hi`` of the stay.
 
@@ -27,7 +29,8 @@ def events_in_window(
     cell. A stay with a huge history therefore spreads over many tasks, and events outside any
     window match nothing. The window of a stay must be of bounded length. Both sides are sorted:
     stays with their cells grow with the stays, and their size is unknown when the plan is made,
-    so they are never broadcast.
+    so they are never broadcast. With ``few_stays``, for stays that few of the events belong to, events whose key
+    and cell no stay lists are left out before they are shuffled.
     """
     bounded = stays.withColumn("__lo", lo).withColumn("__hi", hi)
     ok = F.col("__lo") <= F.col("__hi")
@@ -37,6 +40,11 @@ def events_in_window(
     if clash:
         raise ValueError(f"columns on both sides: {clash}")
     right = events.where(F.col(ts).isNotNull()).withColumn("__cell", time_cell(ts, cell_seconds))
+    if few_stays:
+        if any(left.schema[k].dataType != right.schema[k].dataType for k in on):
+            raise ValueError(f"{on} are of two types, whose hashes differ")
+        place = F.xxhash64(*on, "__cell").alias("__place")
+        right = Sieve(left.select(place), ["__place"]).rows(right.select("*", place), "__place").drop("__place")
     joined = left.hint("merge").join(right, [*on, "__cell"])
     keep = within(ts, F.col("__lo"), F.col("__hi"), lo_closed, hi_closed)
     return joined.where(keep).drop("__lo", "__hi", "__cell")

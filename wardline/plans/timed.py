@@ -103,10 +103,10 @@ def _fio2_chart() -> Column:
     )
 
 
-def blood_gas(stays: DataFrame, lab: DataFrame, chart: DataFrame, first_day_only: bool = False) -> DataFrame:
+def blood_gas(stays: DataFrame, lab: DataFrame, chart: DataFrame, first_day_only: bool = False, few_stays: bool = False) -> DataFrame:
     """One row per stay and gas: measured values, nearest charted SpO2 and FiO2, specimen guess.
 
-    Gases without an oxygen pressure are left out, as are times with two specimens.
+    Gases without an oxygen pressure are left out, as are times with two specimens. ``few_stays``: see ``events_in_window``.
     """
     stay = stays.select(*STAY, "intime", "outtime")
     end = S.shift("outtime", days=1)
@@ -122,7 +122,7 @@ def blood_gas(stays: DataFrame, lab: DataFrame, chart: DataFrame, first_day_only
     # the specimen text travels beside the values, so the laboratory table is read once
     text = F.when(F.col("itemid") == R.GAS_SPECIMEN_ITEM, F.col("value")).alias("specimen")
     draws = rows.select("subject_id", "charttime", "label", scaled.alias("v"), text)
-    seen = events_in_window(stay, draws, ["subject_id"], "charttime", start, end, DAY)
+    seen = events_in_window(stay, draws, ["subject_id"], "charttime", start, end, DAY, few_stays=few_stays)
     measured = seen.groupBy(*keys).agg(
         *[F.max(F.when(F.col("label") == name, F.col("v"))).alias(name) for name, *_ in R.GASES],
         F.max("specimen").alias("specimen"), F.count("specimen").alias("n_sp"))
